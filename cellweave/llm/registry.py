@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellweave.llm import bpe, langid, neardup, packing, quality, rules
+from cellweave.llm import bpe, langid, neardup, packing, quality, rules, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": packing.query,
     "op3_minhash_near_duplicates": neardup.query,
+    "op4_secret_ownership": secrets.query,
     "op5_bpe_codec": bpe.query,
     "op6_language_id": langid.query,
     "op9_quality_rules": rules.query,
