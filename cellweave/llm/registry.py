@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellweave.llm import bpe, langid, neardup, packing, quality, rules, secrets
+from cellweave.llm import annforest, bpe, langid, licences, neardup, packing, quality, rules, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licence_classifier": licences.query,
     "op2_best_fit_packing": packing.query,
     "op3_minhash_near_duplicates": neardup.query,
     "op4_secret_ownership": secrets.query,
     "op5_bpe_codec": bpe.query,
     "op6_language_id": langid.query,
+    "op7_warc_chunks": warc.query,
+    "op8_hash_prefix_forest": annforest.query,
     "op9_quality_rules": rules.query,
     "op10_quality_classifier": quality.query,
 }
