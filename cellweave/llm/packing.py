@@ -264,14 +264,15 @@ def pack(made: DataFrame, size: int = SIZE) -> DataFrame:
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     ranked = made.join(first, ["length", "task"]).withColumn("rank", F.col("first") + F.col("local")).drop("task", "local", "first")
-    n = len(ranked.columns)
-    length_at, rank_at = ranked.columns.index("length"), ranked.columns.index("rank")
+    names = ranked.columns
+    length_at, rank_at = names.index("length"), names.index("rank")
+    kept = [i for i in range(len(names)) if i != rank_at]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sequence, offset = shared.value.find(batch.column(length_at).to_numpy(), batch.column(rank_at).to_numpy())
-            columns = [batch.column(i) for i in range(n) if i != rank_at]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sequence), pa.array(offset)], names=[*(c for c in ranked.columns if c != "rank"), "sequence_id", "offset"])
+            columns = [batch.column(i) for i in kept]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(sequence), pa.array(offset)], names=[*(names[i] for i in kept), "sequence_id", "offset"])
 
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in ranked.schema if f.name != "rank"]
     return ranked.mapInArrow(run, ", ".join([*fields, "sequence_id long", "offset long"]))
