@@ -1,12 +1,14 @@
 """Near-duplicates through an inverted join of MinHash signature coordinates.
 
 Every distinct shingle set has a signature. A set is posted under each coordinate-value pair of
-its prefix: its ``K - T + 1`` rarest pairs, in one order for all sets, so that two signatures
-that agree on ``T`` coordinates meet in some posting list. Lists are merged in two steps. First
+its prefix: its ``K - T + 12`` rarest pairs, in one order for all sets, so that two signatures
+that agree on ``T`` coordinates meet in 12 posting lists at least, and a set that shares fewer
+with any others is done with. Lists are merged in two steps. First
 each set meets a few hubs of its lists only; sets that turn out linked through hubs share a
-component and need not meet again, which keeps a group of many near copies linear. Then all
-pairs of one list that are still in different components meet. Pairs skip on when fewer than
-``T`` coordinates agree, and the rest are confirmed on their full sets.
+component and need not meet again, which keeps a group of many near copies linear. Sets of
+lists that still hold several components are posted anew under their rarest shingles, and all
+pairs that meet there in different components are merged. Pairs skip on when fewer than ``T``
+coordinates agree, and the rest are confirmed on their full sets.
 
 Texts with equal sets are one class from the start, so copies are never paired.
 """
@@ -17,11 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellweave.llm.batches import map_texts
-from cellweave.llm.textkit import Texts, mixed
+from cellweave.llm.textkit import Texts, chunks, mixed
 from cellweave.session import prepare, written
 
 WORDS = 5
@@ -30,10 +32,14 @@ SHARE = 75
 #: Coordinates of a signature, and how many must agree. At a similarity of 0.75 fewer than
 #: 76 of 128 agree about once in 50,000 pairs; above it sooner never.
 K, T = 128, 76
-PREFIX = K - T + 1
+#: Signatures that agree on T coordinates have so many pairs in common among their first PREFIX.
+SHARED = 12
+PREFIX = K - T + SHARED
 #: Frequencies of coordinate-value pairs are counted in so many buckets (their order only
 #: decides how long the lists in use are, not which pairs are found).
 SKETCH_LOG2 = 16
+#: Bits of the map that tells tasks which texts' sets are wanted (2 MB).
+MARKS_LOG2 = 24
 #: Hubs tried for each list in a round, and rounds at most.
 HUBS, ROUNDS = 4, 6
 
@@ -154,12 +160,44 @@ def agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs whose full shingle sets are similar enough. ``texts``: (id, text), one for each class."""
-    pairs = written(pairs, "agreeing")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    needed = texts.join(ids, "id", "left_semi")
-    sets = written(map_texts(needed, "text", lambda batch: {"shingles": [s.tobytes() for s in shingle_sets(batch)]}, "shingles binary", keep=["id"]), "sets")
+def _marks(ids: np.ndarray) -> np.ndarray:
+    return (mixed(ids.astype(np.uint64)) >> np.uint64(64 - MARKS_LOG2)).astype(np.int64)
+
+
+def class_sets(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, shingles) of the ``texts`` (id, text) named in ``ids``, and perhaps of a few more.
+
+    The ids travel to the texts, not the texts to the ids: as a bit map of fixed size. Where it
+    is crowded it lets more texts through, which costs time and changes no result.
+    """
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = np.zeros(1 << (MARKS_LOG2 - 5), np.int64)
+        for batch in batches:
+            at = _marks(batch.column(0).to_numpy())
+            np.bitwise_or.at(words, at >> 5, np.int64(1) << (at & 31))
+        used = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(words[used])], names=["word", "bits"])
+
+    rows = ids.select("id").mapInArrow(mark, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    words = np.zeros(1 << (MARKS_LOG2 - 5), np.uint32)
+    words[rows["word"]] = rows["bits"]
+    shared = texts.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _marks(batch.column(0).to_numpy())
+            batch = batch.filter(pa.array((shared.value[at >> 5] >> (at & 31).astype(np.uint32) & 1).astype(bool)))
+            strings = batch.column(1).to_pylist()
+            for low, high in chunks(strings):
+                made = [x.tobytes() for x in shingle_sets(strings[low:high])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), pa.array(made, pa.binary())], names=["id", "shingles"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, shingles binary")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs whose full shingle sets are similar enough."""
     both = (
         pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
         .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
@@ -203,48 +241,99 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
-def _with_component(lists: DataFrame, found: DataFrame | None) -> DataFrame:
+def _open(lists: DataFrame, found: DataFrame | None) -> tuple[DataFrame, int, int]:
+    """Lists that still hold sets of several components, their number and their pairs of such sets."""
     if found is None:
-        return lists.withColumn("component", F.col("id"))
-    return lists.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        current = lists.withColumn("component", F.col("id"))
+    else:
+        current = lists.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    members = current.groupBy("key", "component").agg(F.count("*").alias("m"))
+    per_key = members.groupBy("key").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"), F.count("*").alias("parts")).where("parts > 1")
+    per_key = written(per_key.select("key", ((F.col("m") * F.col("m") - F.col("mm")) / 2).cast("long").alias("pairs")), "open-lists")
+    total = per_key.agg(F.sum("pairs").alias("pairs"), F.count("*").alias("n")).first()
+    return written(current.join(per_key.select("key"), "key", "left_semi"), "open-postings"), total["n"], total["pairs"] or 0
+
+
+def _busy(lists: DataFrame) -> DataFrame:
+    """Rows of the sets that are still in as many lists as a partner shares with them."""
+    return lists.join(lists.groupBy("id").agg(F.count("*").alias("m")).where(F.col("m") >= SHARED).select("id"), "id", "left_semi")
+
+
+def _several(lists: DataFrame) -> DataFrame:
+    """Rows of lists that hold more than one set."""
+    return lists.join(lists.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"), "key", "left_semi")
+
+
+def _enough(support: str, a: str, b: str):
+    """Whether ``support`` shared shingles can link sets of these sizes."""
+    return (100 + SHARE) * F.col(support) >= SHARE * (F.col(a) + F.col(b))
+
+
+def rare_postings(lists: DataFrame, sets: DataFrame) -> DataFrame:
+    """Posting lists of the sets in open lists, now under their own rarest shingles.
+
+    A large group of edited copies leaves many sets that are near to all others, though to none
+    near enough; signatures of T in K cannot tell. Shingles are counted among these sets and put
+    in one order, rarest first, those no other set has before all. A set is posted under the
+    first of them, as far as a partner could still share the rest; ``support`` is how many
+    shingles there are from there on, the most a partner that it first meets there can share.
+    """
+    ids = lists.select("id").distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                keys = np.frombuffer(x.as_buffer(), np.int64)
+                made = [pa.array(keys), pa.array(np.full(len(keys), i)), pa.array(np.full(len(keys), len(keys)))]
+                yield pa.RecordBatch.from_arrays(made, names=["key", "id", "n"])
+
+    rows = sets.join(ids, "id", "left_semi").select("id", "shingles").mapInArrow(run, "key long, id long, n long")
+    several = rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    own = Window.partitionBy("id")
+    place = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("m", "key")) - 1
+    placed = rows.join(several, "key").withColumn("place", place).where(100 * F.col("place") <= (100 - SHARE) * F.col("n"))
+    placed = placed.select("key", "id", "n", (F.col("n") - F.col("place")).alias("support"))
+    least = placed.groupBy("key").agg(F.min("n").alias("least"))
+    return placed.join(least, "key").where(_enough("support", "n", "least")).drop("least")
 
 
 def links(classes: DataFrame, texts: DataFrame) -> DataFrame | None:
-    """(id, component) of all classes that are linked to others; None if no lists are shared.
+    """(id, component) of all classes that are linked to others; None if none are.
 
-    ``classes``: (id, n, signature), n the size of the set.
+    ``classes``: (id, n, signature), n the size of the set; ``texts``: (id, text).
     """
-    lists = written(postings(classes, frequency_sketch(classes)), "postings")
-    several = lists.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    lists = written(lists.join(several.select("key"), "key", "left_semi"), "shared-postings")
+    made = postings(classes, frequency_sketch(classes))
+    lists = written(_several(made), "shared-postings")
+    lists = written(_several(_busy(lists)).withColumn("support", F.col("n")), "shared-postings")
+    sets = written(class_sets(texts, lists.select("id").distinct()), "sets")
     edges: DataFrame | None = None
     found: DataFrame | None = None
-    pairs_left: int | None = None
+    before: int | None = None
     for turn in range(ROUNDS + 1):
-        current = _with_component(lists, found)
-        members = current.groupBy("key", "component").agg(F.count("*").alias("m"))
-        per_key = members.groupBy("key").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"), F.count("*").alias("parts")).where("parts > 1")
-        per_key = written(per_key.select("key", ((F.col("m") * F.col("m") - F.col("mm")) / 2).cast("long").alias("pairs")), "open-lists")
-        total = per_key.agg(F.sum("pairs").alias("pairs"), F.count("*").alias("n")).first()
-        if not total["n"]:
+        current, n, pairs_left = _open(lists, found)
+        if n and turn == 1:
+            current, n, pairs_left = _open(rare_postings(_busy(current), sets), found)
+        if not n:
             break
-        current = current.join(per_key.select("key"), "key", "left_semi")
-        last = turn == ROUNDS or total["pairs"] <= 8 * total["n"] or (pairs_left is not None and total["pairs"] > 0.7 * pairs_left)
-        pairs_left = total["pairs"]
+        lists = current.drop("component")
+        last = turn == ROUNDS or (turn > 0 and (pairs_left <= 8 * n or (before is not None and pairs_left > 0.7 * before)))
+        before = pairs_left if turn else None
         if last:
-            current = written(current, "open-postings")
-            left = current.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-            right = current.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-            pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _size_fits("na", "nb"))
+            left = current.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("support").alias("pa"))
+            right = current.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("support").alias("pb"))
+            pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
         else:
             hubs = current.groupBy("key").agg(*(
-                F.min_by(F.struct("id", "n", "component"), F.xxhash64(F.col("id"), F.lit(100 * turn + i))).alias(f"h{i}") for i in range(HUBS)
+                F.min_by(F.struct("id", "n", "component", "support"), F.xxhash64(F.col("id"), F.lit(100 * turn + i))).alias(f"h{i}") for i in range(HUBS)
             ))
             hubs = hubs.select("key", F.explode(F.array_distinct(F.array(*(f"h{i}" for i in range(HUBS))))).alias("hub"))
             met = current.join(hubs, "key").where((F.col("id") != F.col("hub.id")) & (F.col("component") != F.col("hub.component")))
-            pairs = met.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"), F.col("n").alias("na"), F.col("hub.n").alias("nb"))
-            pairs = pairs.where(_size_fits("na", "nb"))
-        good = written(confirmed(agreeing(pairs.select("a", "b").distinct(), classes), texts), "links")
+            pairs = met.select(
+                F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"), F.col("n").alias("na"), F.col("hub.n").alias("nb"),
+                F.col("support").alias("pa"), F.col("hub.support").alias("pb"),
+            )
+        pairs = pairs.where(_size_fits("na", "nb") & _enough("pa", "na", "nb") & _enough("pb", "na", "nb"))
+        good = written(confirmed(agreeing(pairs.select("a", "b").distinct(), classes), sets), "links")
         edges = good if edges is None else edges.unionByName(good)
         if not good.isEmpty():
             found = written(components(edges), "components")
