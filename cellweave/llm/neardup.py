@@ -7,8 +7,8 @@ with any others is done with. Lists are merged in two steps. First
 each set meets a few hubs of its lists only; sets that turn out linked through hubs share a
 component and need not meet again, which keeps a group of many near copies linear. Sets of
 lists that still hold several components are posted anew under their rarest shingles, and all
-pairs that meet there in different components are merged. Pairs skip on when fewer than ``T``
-coordinates agree, and the rest are confirmed on their full sets.
+pairs that meet there in different components are merged. Pairs met under coordinates skip on
+when fewer than ``T`` agree; all others are confirmed on their full sets.
 
 Texts with equal sets are one class from the start, so copies are never paired.
 """
@@ -40,7 +40,7 @@ PREFIX = K - T + SHARED
 SKETCH_LOG2 = 16
 #: Bits of the map that tells tasks which texts' sets are wanted (2 MB).
 MARKS_LOG2 = 24
-#: Hubs tried for each list in a round, and rounds at most.
+#: Hubs of each list in a round and hubs tried for each set, and rounds at most.
 HUBS, ROUNDS = 4, 6
 
 _rng = np.random.default_rng(1234577)
@@ -269,6 +269,21 @@ def _enough(support: str, a: str, b: str):
     return (100 + SHARE) * F.col(support) >= SHARE * (F.col(a) + F.col(b))
 
 
+def _possible(pairs: DataFrame) -> DataFrame:
+    return pairs.where(_size_fits("na", "nb") & _enough("pa", "na", "nb") & _enough("pb", "na", "nb"))
+
+
+def _best_met(met: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each set with the hubs that it met most often, ``HUBS`` at most.
+
+    A hub round only has to link what it can; pairs left out meet in the last round, unless
+    their components are one by then.
+    """
+    counted = _possible(met).groupBy("id", "hub").agg(F.count("*").alias("met"))
+    best = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("met"), "hub"))
+    return counted.withColumn("best", best).where(F.col("best") <= HUBS).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
+
+
 def rare_postings(lists: DataFrame, sets: DataFrame) -> DataFrame:
     """Posting lists of the sets in open lists, now under their own rarest shingles.
 
@@ -328,12 +343,12 @@ def links(classes: DataFrame, texts: DataFrame) -> DataFrame | None:
             ))
             hubs = hubs.select("key", F.explode(F.array_distinct(F.array(*(f"h{i}" for i in range(HUBS))))).alias("hub"))
             met = current.join(hubs, "key").where((F.col("id") != F.col("hub.id")) & (F.col("component") != F.col("hub.component")))
-            pairs = met.select(
-                F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"), F.col("n").alias("na"), F.col("hub.n").alias("nb"),
-                F.col("support").alias("pa"), F.col("hub.support").alias("pb"),
-            )
-        pairs = pairs.where(_size_fits("na", "nb") & _enough("pa", "na", "nb") & _enough("pb", "na", "nb"))
-        good = written(confirmed(agreeing(pairs.select("a", "b").distinct(), classes), sets), "links")
+            pairs = _best_met(met.select("id", F.col("hub.id").alias("hub"), F.col("n").alias("na"), F.col("hub.n").alias("nb"), F.col("support").alias("pa"), F.col("hub.support").alias("pb")))
+        if last:
+            pairs = _possible(pairs).select("a", "b")
+        pairs = pairs.distinct()
+        # pairs from rarest shingles are judged on their sets alone: nearly all of their signatures agree
+        good = written(confirmed(agreeing(pairs, classes) if turn == 0 else pairs, sets), "links")
         edges = good if edges is None else edges.unionByName(good)
         if not good.isEmpty():
             found = written(components(edges), "components")
