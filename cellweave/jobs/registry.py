@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.functions.sequences import reverse_complement
-from cellweave.operators import matrix, reads, umi
-from cellweave.sources.bridge import ALIGNMENTS, alignments
+from cellweave.operators import extract, matrix, reads, umi
+from cellweave.sources.bridge import ALIGNMENTS, LINKER, READS, alignments
+from cellweave.sources.bridge import reads as bridge_reads
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -218,3 +220,22 @@ def pair_zip_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = rows.where("file_pair = 0").select("file_pair", "rec_idx", F.col("cb").alias("seq"))
     second = rows.where("file_pair = 1").select(F.lit(0).alias("file_pair"), "rec_idx", F.col("ur").alias("seq"))
     return reads.pair_reads(first, second)
+
+
+_LAYOUT = extract.Layout((
+    extract.Block("barcodeList", "cellBarcode", tuple("".join("ACGT"[int(c, 16) % 4] for c in hashlib.md5(str(i).encode()).hexdigest()[:8]) for i in range(16))),
+    extract.Block("constantRegion", "linker", (LINKER,)),
+    extract.Block("randomBarcode", "UMI", length=6),
+))
+_ALL = " UNION ALL ".join(f"SELECT '{s}' AS barcode" for s in dict.fromkeys(_LAYOUT.blocks[0].sequence))
+
+
+@_query("barcode_extract", _ctes(f"rd AS ({READS.replace('as string', 'as varchar')})", f"wl AS ({_ALL})") + f""", raws AS (SELECT DISTINCT substr(seq,1,8) AS raw FROM rd),
+ near AS (SELECT raw, barcode, levenshtein(raw, barcode) AS d FROM raws, wl WHERE levenshtein(raw, barcode)<=1),
+ best AS (SELECT raw, min(d) AS d FROM near GROUP BY raw),
+ pick AS (SELECT n.raw, CASE WHEN count(*)=1 THEN min(barcode) END AS cb FROM near n JOIN best b ON n.raw=b.raw AND n.d=b.d GROUP BY n.raw)
+ SELECT rec_idx, cast(0.44 as double) AS score, cb, CASE WHEN cb IS NOT NULL THEN substr(seq,1,8) END AS cr, CASE WHEN cb IS NOT NULL THEN 11 END AS fl,
+ CASE WHEN cb IS NOT NULL THEN substr(seq,20,6) END AS ur, CASE WHEN cb IS NOT NULL THEN substr(seq,26) END AS trimmed FROM rd LEFT JOIN pick ON raw=substr(seq,1,8)""")
+def barcode_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract.extract(bridge_reads(spark, sf_dir), _LAYOUT)
+    return found.select("rec_idx", F.round("score", 6).alias("score"), "cb", "cr", "fl", "ur", "trimmed")

@@ -37,3 +37,13 @@ FROM events
 def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type", "value")
     return spark.sql(ALIGNMENTS.replace("FROM events", "FROM {events}"), events=events)
+
+
+LINKER = "GATTACAGATC"
+
+#: One read for each event: raw barcode, linker, a UMI of six letters, and more letters.
+READS = f"SELECT read_no AS rec_idx, file_pair, cr || '{LINKER}' || ur || {dna('read_no', 30)} AS seq FROM aln"
+
+
+def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(READS.replace("FROM aln", "FROM {aln}"), aln=alignments(spark, sf_dir))
