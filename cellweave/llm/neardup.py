@@ -324,6 +324,7 @@ def links(classes: DataFrame, texts: DataFrame) -> DataFrame | None:
     edges: DataFrame | None = None
     found: DataFrame | None = None
     before: int | None = None
+    few = classes.count()
     for turn in range(ROUNDS + 1):
         current, n, pairs_left = _open(lists, found)
         if n and turn == 1:
@@ -331,7 +332,7 @@ def links(classes: DataFrame, texts: DataFrame) -> DataFrame | None:
         if not n:
             break
         lists = current.drop("component")
-        last = turn == ROUNDS or (turn > 0 and (pairs_left <= 8 * n or (before is not None and pairs_left > 0.9 * before)))
+        last = turn == ROUNDS or (turn > 0 and (pairs_left <= max(8 * n, few) or (before is not None and pairs_left > 0.9 * before)))
         before = pairs_left if turn else None
         if last:
             left = current.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("support").alias("pa"))
