@@ -2,9 +2,10 @@
 
 Word uni- and bigrams of a paragraph have weights for each licence family and for ``unknown``,
 learnt by logistic regression from the templates below, varied, and from text that only
-sounds like them. A prediction stands if its probability reaches the calibrated threshold and
-enough of the family's template is found in the paragraph. Scoring is joins and sums on Spark;
-the model and the templates have a fixed size.
+sounds like them. A paragraph ends at a blank line, and is scored in passages: its lines, and
+overlapping windows of its words that run on over ends of lines. A prediction stands if its
+probability reaches the calibrated threshold and enough of the family's template is found in
+the passage. Scoring is joins and sums on Spark; the model and the templates have a fixed size.
 """
 
 from __future__ import annotations
@@ -40,9 +41,11 @@ OTHERS = (
     "version 2.0 of the plan", "in source and binary forms", "all roads reserved for the public", "rights of the person",
 )
 #: Every template holds one of these; a paragraph without any can't be confirmed and is unknown.
-ANCHOR = r"(?i)licen[sc]e|permission|redistribution|rights reserved"
+ANCHOR = r"(?i)licen[sc]e|permission|redistribution|rights[^a-z0-9]+reserved"
 WORD = r"[a-z0-9]+"
 CONFIRM = 0.6
+#: Words of a window and from one to the next: a statement of up to 49 words is whole in one.
+WINDOW, STEP = 64, 16
 
 
 def grams_of(text: str) -> set[str]:
@@ -102,32 +105,46 @@ def _grams(text: Column) -> Column:
     return F.array_distinct(F.concat(words, pairs))
 
 
+def _passages(paragraph: Column) -> Column:
+    """Distinct lines and windows that hold an anchor, in lower case, one space between words."""
+    low = F.lower(paragraph)
+    # a match begins at a word, so that no run of other characters is tried at each of its places
+    word = "(?:[a-z0-9]++[^a-z0-9]*+)"
+    windows = F.regexp_extract_all(low, F.lit(f"(?=({word}{{1,{WINDOW}}}+)){word}{{1,{STEP}}}+"), F.lit(1))
+    plain = F.transform(F.concat(F.split(low, "\n"), windows), lambda x: F.trim(F.regexp_replace(x, "[^a-z0-9]+", " ")))
+    return F.array_distinct(F.filter(plain, lambda x: x.rlike(ANCHOR)))
+
+
 def paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, paragraph, hash) of the lines that hold an anchor, of every whole text."""
-    lines = docs.where(F.col(text).cast("string").rlike(ANCHOR)).select(F.col(key).alias("doc_id"), F.explode(F.split(F.col(text).cast("string"), "\n")).alias("paragraph"))
-    return lines.where(F.col("paragraph").rlike(ANCHOR)).withColumn("hash", F.xxhash64("paragraph", F.lit(1)))
+    """(doc_id, number, passage, hash) of the passages of paragraphs that hold an anchor, of every whole text.
+
+    ``number`` is one for each paragraph of each row, and only means something once written.
+    """
+    parts = docs.where(F.col(text).cast("string").rlike(ANCHOR)).select(F.col(key).alias("doc_id"), F.explode(F.split(F.col(text).cast("string"), r"\n\s*\n")).alias("paragraph"))
+    parts = parts.where(F.col("paragraph").rlike(ANCHOR)).withColumn("number", F.monotonically_increasing_id())
+    return parts.select("doc_id", "number", F.explode_outer(_passages(F.col("paragraph"))).alias("passage")).withColumn("hash", F.xxhash64("passage", F.lit(1)))
 
 
 def classify(distinct: DataFrame) -> DataFrame:
-    """(paragraph, family, probability, found) of distinct paragraphs."""
+    """(passage, family, probability, found) of distinct passages."""
     spark = distinct.sparkSession
     families, weights, bias, threshold = train()
     table = spark.createDataFrame([(g, [float(x) for x in w]) for g, w in weights.items()], "gram string, weights array<double>")
     templates = spark.createDataFrame(
         [(t, f, len(grams_of(s)), g) for t, (f, s) in enumerate(TEMPLATES) for g in sorted(grams_of(s))], "template int, family string, size int, gram string",
     )
-    grams = written(distinct.select("paragraph", F.explode(_grams(F.col("paragraph"))).alias("gram")), "licence-grams")
+    grams = written(distinct.select("passage", F.explode(_grams(F.col("passage"))).alias("gram")), "licence-grams")
     # both tables are as large as the templates above, whatever the corpus
     sums = [F.sum(F.get("weights", F.lit(i))).alias(f"w{i}") for i in range(len(families))]
-    scores = grams.join(F.broadcast(table), "gram").groupBy("paragraph").agg(*sums)
+    scores = grams.join(F.broadcast(table), "gram").groupBy("passage").agg(*sums)
     logits = [F.round(F.col(f"w{i}") + float(bias[i]), 9) for i in range(len(families))]
     top = F.greatest(*logits)
     best = F.coalesce(*(F.when(x == top, F.lit(f)) for f, x in zip(families, logits, strict=True)))
     total = sum((F.exp(x - top) for x in logits[1:]), F.exp(logits[0] - top))
-    scores = scores.select("paragraph", best.alias("family"), F.round(1 / total, 9).alias("probability"))
-    match = grams.join(F.broadcast(templates), "gram").groupBy("paragraph", "family", "template").agg((F.count("*") / F.max("size")).alias("found"))
-    match = match.groupBy("paragraph", "family").agg(F.max("found").alias("found"))
-    both = scores.join(match, ["paragraph", "family"], "left").withColumn("found", F.coalesce("found", F.lit(0.0)))
+    scores = scores.select("passage", best.alias("family"), F.round(1 / total, 9).alias("probability"))
+    match = grams.join(F.broadcast(templates), "gram").groupBy("passage", "family", "template").agg((F.count("*") / F.max("size")).alias("found"))
+    match = match.groupBy("passage", "family").agg(F.max("found").alias("found"))
+    both = scores.join(match, ["passage", "family"], "left").withColumn("found", F.coalesce("found", F.lit(0.0)))
     sure = (F.col("probability") >= threshold) & (F.col("found") >= CONFIRM)
     return both.withColumn("family", F.when(sure, F.col("family")).otherwise(F.lit(UNKNOWN)))
 
@@ -137,17 +154,18 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
     Returns doc_id, n_paragraphs (with an anchor), n_licences (of them with a family), families
     (sorted, comma-joined; empty if none) and confidence (greatest probability of a named
-    family, else 0). A paragraph that many documents share is classified once. Null and empty
-    texts have no paragraphs; rows that repeat a key share their paragraphs' result.
+    family, else 0). A paragraph has the families of all its passages. A passage that many
+    documents share is classified once. Null and empty texts have no paragraphs; rows that
+    repeat a key share their paragraphs' result.
     """
     prepare(docs.sparkSession)
     found = written(paragraphs(docs, key, text), "licence-paragraphs")
-    classes = written(classify(found.select("paragraph").distinct()).withColumn("hash", F.xxhash64("paragraph", F.lit(1))), "licence-classes")
-    named = found.select("doc_id", "hash").join(classes.select("hash", "family", "probability"), "hash", "left")
-    family = F.when(F.col("family") != UNKNOWN, F.col("family"))
-    per_doc = named.groupBy(F.col("doc_id").alias("_doc_id")).agg(
-        F.count("*").alias("n_paragraphs"), F.count(family).alias("n_licences"), F.concat_ws(",", F.array_sort(F.collect_set(family))).alias("families"),
-        F.max(F.when(F.col("family") != UNKNOWN, F.col("probability"))).alias("confidence"),
+    classes = written(classify(found.where("passage IS NOT NULL").select("passage").distinct()).withColumn("hash", F.xxhash64("passage", F.lit(1))), "licence-classes")
+    named = found.select("doc_id", "number", "hash").join(classes.where(F.col("family") != UNKNOWN).select("hash", "family", "probability"), "hash", "left")
+    each = named.groupBy("doc_id", "number").agg(F.collect_set("family").alias("families"), F.max("probability").alias("confidence"))
+    per_doc = each.groupBy(F.col("doc_id").alias("_doc_id")).agg(
+        F.count("*").alias("n_paragraphs"), F.count_if(F.size("families") > 0).alias("n_licences"),
+        F.concat_ws(",", F.array_sort(F.array_distinct(F.flatten(F.collect_list("families"))))).alias("families"), F.max("confidence").alias("confidence"),
     )
     out = docs.select(F.col(key).alias("doc_id")).join(per_doc, F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left")
     zero = F.lit(0).cast("long")

@@ -162,3 +162,30 @@ def test_licences(spark, odd):
     got = {r.doc_id: r.families for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: "Apache-2.0", 2: "MIT", 3: "", 4: "", 5: "proprietary"}
     assert licences.scan(odd).count() == odd.count()
+
+
+def test_licences_of_wrapped_notices(spark):
+    gpl = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:"""
+    mit = """Permission is hereby granted, free of charge,
+to any person
+obtaining a copy of this software and associated documentation files"""
+    other = "The general public came to see this work and had\npermission to enter; a licence\nof the driver was\nrenewed at the office."
+    before = "Words that came before it and go on for long.\n" * 40
+    made = {"gpl": "GPL-3.0", "bsd": "BSD", "mit": "MIT", "other": ""}
+    texts = {"gpl": gpl, "bsd": bsd, "mit": mit, "other": other}
+    rows, want = [], {}
+    for name, text in texts.items():
+        narrow = "\n".join(text.split())
+        comment = "\n".join(f" * {x}" for x in text.split("\n"))
+        for how, t in {"as is": text, "narrow": narrow, "comment": comment, "crlf": text.replace("\n", "\r\n"), "inside": before + text + "\n" + before, "one line": text.replace("\n", " ")}.items():
+            rows.append((f"{name} {how}", t))
+            want[f"{name} {how}"] = (1, int(bool(made[name])), made[name])
+    rows += [("three", f"{gpl}\n \n{mit}\n\n\n{other}"), ("rights", "All rights\nreserved."), ("both", "Released under the MIT License.\nLicensed under CC BY 4.0.")]
+    want |= {"three": (3, 2, "GPL-3.0,MIT"), "rights": (1, 1, "proprietary"), "both": (1, 1, "CC-BY,MIT")}
+    got = {r.doc_id: (r.n_paragraphs, r.n_licences, r.families) for r in licences.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == want
