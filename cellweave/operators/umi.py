@@ -10,12 +10,19 @@ from cellweave.operators.matrix import exploded
 from cellweave.session import written
 
 GROUP = ["ref", "cb", "gx", "gn"]
+#: What tells which of two alignments comes first.
+PLACE = ("pos", "is_reverse", "align_ordinal")
 
 
 def umi_counts(alignments: DataFrame) -> DataFrame:
-    """Alignments and first place of each raw UMI of each group, both mates and all features."""
-    rows = exploded(alignments.select("ref", "cb", "ur", "gx", "gn", "pos"))
-    return rows.groupBy(*GROUP, "ur").agg(F.count("*").alias("cnt"), F.min("pos").alias("ord"))
+    """Alignments and first place of each raw UMI of each group, both mates and all features.
+
+    The place is the position; where alignments have ``is_reverse`` and ``align_ordinal`` (a
+    record's number in the file), it is a struct of all that they have, in this order.
+    """
+    place = [c for c in PLACE if c in alignments.columns]
+    rows = exploded(alignments.select("ref", "cb", "ur", "gx", "gn", *place))
+    return rows.groupBy(*GROUP, "ur").agg(F.count("*").alias("cnt"), F.min(F.struct(*place) if len(place) > 1 else "pos").alias("ord"))
 
 
 def edges(counts: DataFrame, distance: str = "freediv") -> DataFrame:
@@ -39,15 +46,16 @@ def edges(counts: DataFrame, distance: str = "freediv") -> DataFrame:
 
 def parents(counts: DataFrame, distance: str = "freediv") -> DataFrame:
     """(group, ur, parent): of the neighbours that come before a UMI by count and place and have at
-    least twice its count less one, the first; UMIs without one are left out."""
+    least twice its count less one, the first; UMIs without one are left out. UMIs of equal count
+    and place are ordered as text, so one of any two comes before the other."""
     near = edges(counts, distance)
     both = near.unionByName(near.select(*GROUP, F.col("b").alias("a"), F.col("a").alias("b")))
     own = counts.select(*GROUP, F.col("ur").alias("a"), F.col("cnt").alias("ca"), F.col("ord").alias("oa"))
     other = counts.select(*GROUP, F.col("ur").alias("b"), F.col("cnt").alias("cb_"), F.col("ord").alias("ob"))
     both = both.join(own, [*GROUP, "a"]).join(other, [*GROUP, "b"])
-    before = (F.col("cb_") > F.col("ca")) | ((F.col("cb_") == F.col("ca")) & (F.col("ob") < F.col("oa")))
+    before = (F.col("cb_") > F.col("ca")) | ((F.col("cb_") == F.col("ca")) & (F.struct(F.col("ob").alias("o"), F.col("b").alias("u")) < F.struct(F.col("oa").alias("o"), F.col("a").alias("u"))))
     fit = both.where(before & (F.col("cb_") >= 2 * F.col("ca") - 1))
-    first = Window.partitionBy(*GROUP, "a").orderBy(F.desc("cb_"), "ob")
+    first = Window.partitionBy(*GROUP, "a").orderBy(F.desc("cb_"), "ob", "b")
     return fit.withColumn("place", F.row_number().over(first)).where("place = 1").select(*GROUP, F.col("a").alias("ur"), F.col("b").alias("parent"))
 
 
