@@ -22,7 +22,8 @@ NEEDS = {"assign": r"(?i:password|passwd|secret|token|api_?key)", "access": r"AK
 #: A candidate seen with so many owners, or in so many repositories, is a copied example.
 OWNERS, REPOSITORIES = 3, 20
 LIVE = "live"
-MASK = "[SECRET]"
+#: What the pipeline puts in the place of a live secret, and of a copied example.
+MASK, COPIED_MASK = "[SECRET]", "[EXAMPLE]"
 
 _FOUND = "array<struct<start:bigint,end:bigint,value:string>>"
 
@@ -85,6 +86,22 @@ def ownership(candidates: DataFrame) -> DataFrame:
     return both.withColumn("copied", (F.col("n_owners") >= OWNERS) | (F.col("n_repositories") >= REPOSITORIES))
 
 
+def _found(docs: DataFrame, key: str, text: str, owner: str, repository: str) -> DataFrame:
+    """(doc_id, owner, repository, text_hash, spans) of each row."""
+    return docs.select(
+        F.col(key).alias("doc_id"), F.col(owner).cast("string").alias("owner"), F.col(repository).cast("string").alias("repository"),
+        F.xxhash64(F.col(text).cast("string")).alias("text_hash"), base_spans(F.col(text)).alias("spans"),
+    )
+
+
+def _known(found: DataFrame) -> DataFrame:
+    """(hash, doc_id, text_hash, s, n_owners, n_repositories, copied): each span with its secret's verdict."""
+    each = found.where(F.size("spans") > 0).select("doc_id", "text_hash", "owner", "repository", F.explode("spans").alias("s"))
+    each = each.withColumn("hash", F.sha2(F.col("s.value"), 256))
+    owned = ownership(each.select("hash", "owner", "repository"))
+    return each.select("doc_id", "text_hash", "s", "hash").distinct().join(owned, "hash")
+
+
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "doc_id") -> DataFrame:
     """Secrets of each row of ``docs``.
 
@@ -94,15 +111,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str =
     owner or repository.
     """
     prepare(docs.sparkSession)
-    narrow = docs.select(
-        F.col(key).alias("doc_id"), F.col(owner).cast("string").alias("owner"), F.col(repository).cast("string").alias("repository"),
-        F.xxhash64(F.col(text).cast("string")).alias("text_hash"), base_spans(F.col(text)).alias("spans"),
-    )
-    found = written(narrow, "secret-spans")
-    each = found.where(F.size("spans") > 0).select("doc_id", "text_hash", "owner", "repository", F.explode("spans").alias("s"))
-    each = each.withColumn("hash", F.sha2(F.col("s.value"), 256))
-    owned = ownership(each.select("hash", "owner", "repository"))
-    known = each.select("doc_id", "text_hash", "s", "hash").distinct().join(owned, "hash")
+    found = written(_found(docs, key, text, owner, repository), "secret-spans")
+    known = _known(found)
     live = F.struct(
         (F.col("s.end") - F.length("s.value")).alias("start"), F.lit(len(PATTERNS)).alias("rank"), F.col("s.end").alias("end"), F.lit(LIVE).alias("kind"), F.col("s.value").alias("value"),
     )
@@ -125,25 +135,45 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-def masked(text: Column) -> Column:
-    """The text with every base span replaced; overlapping spans are replaced together."""
+def _needed(text: Column) -> Column:
+    """Whether a text may hold a base span."""
+    return F.coalesce(text.rlike("|".join(NEEDS.values())), F.lit(False))
+
+
+def masked(text: Column, live: Column) -> Column:
+    """The text with every base span replaced; overlapping spans are replaced together.
+
+    ``live`` holds the hashes of live secrets: a replaced place with one of them gets ``MASK``,
+    any other ``COPIED_MASK``.
+    """
     spans = F.array_sort(base_spans(text))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("done"))
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("done"), F.lit("").alias("mark"))
 
     def step(state: Column, x: Column) -> Column:
+        apart = x["start"] >= state["at"]
         kept = F.substr(text, state["at"] + 1, x["start"] - state["at"])
-        done = F.when(x["start"] >= state["at"], F.concat(state["done"], kept, F.lit(MASK))).otherwise(state["done"])
-        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), done.alias("done"))
+        done = F.when(apart, F.concat(state["done"], state["mark"], kept)).otherwise(state["done"])
+        is_live = F.array_contains(live, F.sha2(x["value"], 256)) | (~apart & (state["mark"] == MASK))
+        mark = F.when(is_live, F.lit(MASK)).otherwise(F.lit(COPIED_MASK))
+        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), done.alias("done"), mark.alias("mark"))
 
-    rest = F.aggregate(spans, start, step, lambda s: F.concat(s["done"], F.substr(text, s["at"] + 1)))
-    needed = text.rlike("|".join(NEEDS.values()))
-    return F.when(needed, rest).otherwise(text)
+    return F.aggregate(spans, start, step, lambda s: F.concat(s["done"], s["mark"], F.substr(text, s["at"] + 1)))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str | None = None) -> DataFrame:
-    """Pipeline stage: every document stays, its secrets masked and its length brought up to date."""
-    new = masked(F.col("text"))
-    out = docs.withColumn("text", new)
+    """Pipeline stage: every document stays, its secrets masked and its length brought up to date.
+
+    What owners and repositories in all of ``docs`` say of a secret decides its mark: nothing
+    that looks like a secret stays, and live secrets are told from copied examples. Only
+    documents that may hold a secret are moved.
+    """
+    may = _needed(F.col("text"))
+    found = written(_found(docs.where(may), "doc_id", "text", "source", "doc_id").where(F.size("spans") > 0), "secret-spans")
+    live = _known(found).where(~F.col("copied")).groupBy(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")).agg(F.collect_set("hash").alias("_live"))
+    text_hash = F.xxhash64(F.col("text").cast("string"))
+    held = docs.where(may).join(live, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (text_hash == F.col("_text_hash")), "left")
+    none = F.array().cast("array<string>")
+    out = held.withColumn("text", masked(F.col("text"), F.coalesce("_live", none))).select(docs.columns).unionByName(docs.where(~may))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    return out

@@ -3,7 +3,7 @@
 1. quality classifier: documents scored under 0.3 go;
 2. quality rules: documents that the weighed rules reject go;
 3. near-duplicates: the document with the smallest id of each group stays;
-4. secrets: every document stays, its secrets masked;
+4. secrets: every document stays, its secrets masked, live ones and copied examples under marks of their own;
 5. packing: the pieces of what is left and their places in sequences of 2048 tokens.
 
 SQL cannot express the trained stages, so there is no SQL for the whole.
