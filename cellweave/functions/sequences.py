@@ -55,10 +55,28 @@ def deletions(seq: Column, most: int) -> Column:
     return out
 
 
-def divergence_keys(seq: Column) -> Column:
-    """Keys of which two strings within one free-divergence edit share one at least."""
-    shorter = deletions(seq, 1)
-    return F.array_union(shorter, F.transform(shorter, lambda d: F.substr(d, F.lit(1), F.length(d) - 1)))
+def free_divergence(a: Column, b: Column, most: int) -> Column:
+    """The fewest edits that let either string be used up, the other's rest being free; -1 if
+    more than ``most`` or if lengths differ by more than that."""
+
+    def upto(x: Column, y: Column) -> list[Column]:
+        # a prefix that much shorter than lengths allow needs more edits than ``most``
+        return [F.levenshtein(x, F.substr(y, F.lit(1), F.length(y) - i), most) for i in range(2 * most + 1)]
+
+    every = [F.when(d >= 0, d) for d in upto(a, b) + upto(b, a)]
+    return F.when(F.abs(F.length(a) - F.length(b)) <= most, F.coalesce(F.least(*every), F.lit(-1))).otherwise(-1)
+
+
+def divergence_keys(seq: Column, most: int = 1) -> Column:
+    """Keys of which two strings within ``most`` free-divergence edits share one at least.
+
+    For one edit, deletions and their prefixes by a letter; for more, deletions of all prefixes
+    that could be the part of a string which the other uses up.
+    """
+    if most == 1:
+        shorter = deletions(seq, 1)
+        return F.array_union(shorter, F.transform(shorter, lambda d: F.substr(d, F.lit(1), F.length(d) - 1)))
+    return F.array_distinct(F.concat(*(deletions(F.substr(seq, F.lit(1), F.length(seq) - i), most) for i in range(2 * most + 1))))
 
 
 def without_positions(name: Column, positions: list[int]) -> Column:
@@ -70,18 +88,6 @@ def without_positions(name: Column, positions: list[int]) -> Column:
     return F.concat(*parts, F.substr(name, F.lit(start + 1)))
 
 
-def mate_positions(first: str, second: str) -> list[int]:
-    """Places where the first names of two paired files differ."""
-    return [i for i, (a, b) in enumerate(zip(first, second, strict=False)) if a != b]
-
-
-def names_may_pair(a: Column, b: Column) -> Column:
-    """Whether all characters up to the shorter name's end are equal or the digits 1 and 2."""
-    n = F.least(F.length(a), F.length(b))
-    letters = [F.split(F.substr(x, F.lit(1), n), "") for x in (a, b)]
-    return F.forall(F.zip_with(*letters, lambda x, y: (x == y) | (F.array_sort(F.array(x, y)) == F.array(F.lit("1"), F.lit("2")))), lambda ok: ok)
-
-
 def features(gx: Column, gn: Column) -> Column:
     """Array of (gx, gn) from ``;``-separated lists, as long as the shorter; empty if either is null."""
     left, right = F.split(gx, ";"), F.split(gn, ";")

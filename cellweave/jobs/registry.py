@@ -27,7 +27,7 @@ def _ctes(*more: str) -> str:
 
 _FEATURES = """feat AS (SELECT a.*, string_split(gx,';')[i] AS fx, string_split(gn,';')[i] AS fn, i
  FROM aln a, unnest(range(1, least(len(string_split(gx,';')), len(string_split(gn,';'))) + 1)) AS u(i) WHERE gx IS NOT NULL AND gn IS NOT NULL)"""
-_COUNTS = "cnts AS (SELECT ref, cb, fx AS gx, fn AS gn, ur, count(*) AS cnt, min(pos) AS ord FROM feat GROUP BY ALL)"
+_COUNTS = "cnts AS (SELECT ref, cb, fx AS gx, fn AS gn, ur, count(*) AS cnt, min({'p': pos, 'r': is_reverse, 'o': align_ordinal}) AS ord FROM feat GROUP BY ALL)"
 _PC = "(starts_with({0},{1}) OR starts_with({1},{0}))"
 
 
@@ -38,10 +38,20 @@ def _near(a: str, b: str) -> str:
     return f"(abs(length({a})-length({b}))<=1 AND len(list_filter(range(0, least(length({a}),length({b}))+1), lambda k: {inner}))>0)"
 
 
+def _divergence(a: str, b: str, most: int) -> str:
+    """Fewest edits that let either string be used up, as far as ``most`` edits can tell."""
+    every = [f"levenshtein({x}, left({y}, greatest(length({y})-{i}, 0)))" for x, y in ((a, b), (b, a)) for i in range(2 * most + 1)]
+    return f"CASE WHEN abs(length({a})-length({b}))<={most} THEN least({', '.join(every)}) ELSE 99 END"
+
+
 _SAME = "a.ref=b.ref AND a.cb=b.cb AND a.gx=b.gx AND a.gn=b.gn"
-_PARENTS = f"""par AS (SELECT ref, cb, gx, gn, ur, parent FROM (
+def _parents(near: str) -> str:
+    return f"""par AS (SELECT ref, cb, gx, gn, ur, parent FROM (
  SELECT a.ref, a.cb, a.gx, a.gn, a.ur, b.ur AS parent, row_number() OVER (PARTITION BY a.ref, a.cb, a.gx, a.gn, a.ur ORDER BY b.cnt DESC, b.ord) AS place
- FROM cnts a JOIN cnts b ON {_SAME} AND a.ur<>b.ur AND (b.cnt>a.cnt OR (b.cnt=a.cnt AND b.ord<a.ord)) AND b.cnt>=2*a.cnt-1 AND {_near("a.ur", "b.ur")}) WHERE place=1)"""
+ FROM cnts a JOIN cnts b ON {_SAME} AND a.ur<>b.ur AND (b.cnt>a.cnt OR (b.cnt=a.cnt AND b.ord<a.ord)) AND b.cnt>=2*a.cnt-1 AND {near}) WHERE place=1)"""
+
+
+_PARENTS = _parents(_near("a.ur", "b.ur"))
 _ROOTS = """walk AS (SELECT ref, cb, gx, gn, ur, ur AS at FROM cnts UNION ALL
  SELECT w.ref, w.cb, w.gx, w.gn, w.ur, p.parent FROM walk w JOIN par p ON w.ref=p.ref AND w.cb=p.cb AND w.gx=p.gx AND w.gn=p.gn AND w.at=p.ur),
 ubs AS (SELECT w.ref, w.cb, w.gx, w.gn, w.ur, w.at AS ub FROM walk w LEFT JOIN par p ON w.ref=p.ref AND w.cb=p.cb AND w.gx=p.gx AND w.gn=p.gn AND w.at=p.ur WHERE p.ur IS NULL)"""
@@ -92,9 +102,9 @@ def feature_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matrix.exploded(alignments(spark, sf_dir)).select("read_no", "gx", "gn")
 
 
-@_query("umi_counts", _ctes(_FEATURES, _COUNTS) + "SELECT * FROM cnts")
+@_query("umi_counts", _ctes(_FEATURES, _COUNTS) + "SELECT * EXCLUDE ord, ord.p AS pos, ord.r AS is_reverse, ord.o AS align_ordinal FROM cnts")
 def umi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return umi.umi_counts(alignments(spark, sf_dir))
+    return umi.umi_counts(alignments(spark, sf_dir)).select(*umi.GROUP, "ur", "cnt", "ord.*")
 
 
 def _edge_sql(condition: str) -> str:
@@ -126,6 +136,16 @@ def umi_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mapped(spark, sf_dir)[1]
 
 
+@_query("umi_edges_freediv_2", _edge_sql(f"{_divergence('a.ur', 'b.ur', 2)}<=2"))
+def umi_edges_freediv_2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return umi.edges(umi.umi_counts(alignments(spark, sf_dir)), "freediv", 2)
+
+
+@_query("umi_corrected_2", _ctes(_FEATURES, _COUNTS, _parents("levenshtein(a.ur, b.ur)<=2"), _ROOTS) + "SELECT * FROM ubs")
+def umi_corrected_2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return umi.corrected(umi.umi_counts(alignments(spark, sf_dir)), "levenshtein", 2)
+
+
 @_query("umi_undirected", _ctes(_FEATURES, _COUNTS, f"""reach AS (SELECT ref, cb, gx, gn, ur, ur AS at FROM cnts UNION
  SELECT a.ref, a.cb, a.gx, a.gn, a.ur, b.ur FROM reach a JOIN cnts b ON {_SAME} AND a.at<>b.ur AND {_near("a.at", "b.ur")})""")
  + """SELECT r.ref, r.cb, r.gx, r.gn, r.ur, arg_min(c.ur, {'c': -c.cnt, 'o': c.ord, 'u': c.ur}) AS ub FROM reach r
@@ -141,9 +161,9 @@ def _decode_sql(within: str, distance: str) -> str:
  SELECT r.raw, p.decoded FROM raws r LEFT JOIN pick p ON r.raw=p.raw"""
 
 
-def _decoded(spark: SparkSession, sf_dir: str, distance: str) -> DataFrame:
+def _decoded(spark: SparkSession, sf_dir: str, distance: str, most: int = 1) -> DataFrame:
     rows = alignments(spark, sf_dir)
-    return reads.decode(rows.select(F.col("cr").alias("raw")), rows.select(F.col("cb").alias("barcode")), 1, distance)
+    return reads.decode(rows.select(F.col("cr").alias("raw")), rows.select(F.col("cb").alias("barcode")), most, distance)
 
 
 @_query("whitelist_levenshtein", _decode_sql("levenshtein(raw, barcode)<=1", "levenshtein(raw, barcode)"))
@@ -156,6 +176,16 @@ def whitelist_freediv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decoded(spark, sf_dir, "freediv")
 
 
+@_query("whitelist_levenshtein_2", _decode_sql("levenshtein(raw, barcode)<=2", "levenshtein(raw, barcode)"))
+def whitelist_levenshtein_2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _decoded(spark, sf_dir, "levenshtein", 2)
+
+
+@_query("whitelist_freediv_2", _decode_sql(f"{_divergence('raw', 'barcode', 2)}<=2", f"greatest(1, {_divergence('raw', 'barcode', 2)})"))
+def whitelist_freediv_2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _decoded(spark, sf_dir, "freediv", 2)
+
+
 @_query("whitelist_exact", _ctes(_WHITELIST) + "SELECT raw FROM raws WHERE raw IN (SELECT barcode FROM wl)")
 def whitelist_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = alignments(spark, sf_dir)
@@ -167,9 +197,9 @@ def hamming_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.hamming_pairs(alignments(spark, sf_dir).select(F.col("cr").alias("barcode")), 2)
 
 
-@_query("score_threshold", _ctes() + "SELECT file_pair, round(avg(score) - 2*stddev_pop(score), 6) AS threshold FROM aln WHERE read_no<=10000 GROUP BY 1")
+@_query("score_threshold", _ctes() + "SELECT file_pair, round(avg(score) - 2*stddev_pop(score), 6) AS threshold FROM aln WHERE read_no//4<=10000 GROUP BY 1")
 def score_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = alignments(spark, sf_dir).withColumnRenamed("read_no", "rec_idx")
+    rows = alignments(spark, sf_dir).withColumn("rec_idx", F.expr("read_no div 4"))
     return reads.score_thresholds(rows).select("file_pair", F.round("threshold", 6).alias("threshold"))
 
 
@@ -214,11 +244,12 @@ def revcomp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignments(spark, sf_dir).select("read_no", reverse_complement(F.concat("cb", "ur")).alias("rc"))
 
 
-@_query("pair_zip_join", _ctes() + "SELECT x.file_pair, cast(x.read_no//4 as bigint) AS rec_idx, x.cb AS seq_1, y.ur AS seq_2 FROM aln x JOIN aln y ON x.read_no//4=y.read_no//4 AND x.file_pair=0 AND y.file_pair=1")
+@_query("pair_zip_join", _ctes() + "SELECT cast(x.file_pair//2 as int) AS file_pair, cast(x.read_no//4 as bigint) AS rec_idx, x.cb AS seq_1, y.ur AS seq_2 FROM aln x JOIN aln y ON x.read_no//4=y.read_no//4 AND x.file_pair%2=0 AND y.file_pair=x.file_pair+1")
 def pair_zip_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = alignments(spark, sf_dir).withColumn("rec_idx", F.expr("read_no div 4"))
-    first = rows.where("file_pair = 0").select("file_pair", "rec_idx", F.col("cb").alias("seq"))
-    second = rows.where("file_pair = 1").select(F.lit(0).alias("file_pair"), "rec_idx", F.col("ur").alias("seq"))
+    pair = F.expr("cast(file_pair div 2 as int)").alias("file_pair")
+    first = rows.where("file_pair % 2 = 0").select(pair, "rec_idx", F.col("cb").alias("seq"))
+    second = rows.where("file_pair % 2 = 1").select(pair, "rec_idx", F.col("ur").alias("seq"))
     return reads.pair_reads(first, second)
 
 

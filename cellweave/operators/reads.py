@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.functions.sequences import decoder_input, deletions, divergence_keys, free_divergence_within_one, hamming, without_positions
+from cellweave.functions.sequences import decoder_input, deletions, divergence_keys, free_divergence, free_divergence_within_one, hamming, without_positions
 
 SAMPLE = 10_000  # the last record number of the threshold sample
 
@@ -15,22 +15,23 @@ def decode(raws: DataFrame, whitelist: DataFrame, most: int = 1, distance: str =
     ``most`` edits, or to null if there is none or a tie.
 
     ``raws``: (raw); ``whitelist``: (barcode). Works on distinct raw barcodes; fuzzy candidates
-    share a key made by deletions, so neither side is broadcast or crossed.
+    share a key made by deletions, so neither side is broadcast or crossed. By free divergence
+    all that is not a member is one edit away at least.
     """
-    if distance == "freediv" and most != 1:
-        raise ValueError("free divergence is defined here for one edit")
     raw = raws.select("raw").distinct().withColumn("want", decoder_input(F.col("raw")))
     listed = whitelist.select("barcode").distinct()
     exact = raw.join(listed, raw["want"] == listed["barcode"]).select("raw", "barcode", F.lit(0).alias("d"))
     rest = raw.join(listed, raw["want"] == listed["barcode"], "left_anti")
-    keys = divergence_keys if distance == "freediv" else (lambda s: deletions(s, most))
+    keys = divergence_keys if distance == "freediv" else deletions
     pairs = (
-        rest.select("raw", "want", F.explode(keys(F.col("want"))).alias("key"))
-        .join(listed.select("barcode", F.explode(keys(F.col("barcode"))).alias("key")), "key")
+        rest.select("raw", "want", F.explode(keys(F.col("want"), most)).alias("key"))
+        .join(listed.select("barcode", F.explode(keys(F.col("barcode"), most)).alias("key")), "key")
         .select("raw", "want", "barcode").distinct()
     )
-    if distance == "freediv":
+    if distance == "freediv" and most == 1:
         near = pairs.where(free_divergence_within_one(F.col("want"), F.col("barcode"))).select("raw", "barcode", F.lit(1).alias("d"))
+    elif distance == "freediv":
+        near = pairs.select("raw", "barcode", free_divergence(F.col("want"), F.col("barcode"), most).alias("d")).where("d >= 0").withColumn("d", F.greatest("d", F.lit(1)))
     else:
         near = pairs.select("raw", "barcode", F.levenshtein("want", "barcode", most).alias("d")).where("d >= 0")
     best = exact.unionByName(near).groupBy("raw", "d").agg(F.count("*").alias("ties"), F.min("barcode").alias("barcode"))

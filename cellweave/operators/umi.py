@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.functions.sequences import deletions, divergence_keys, features, free_divergence_within_one, hamming
+from cellweave.functions.sequences import deletions, divergence_keys, features, free_divergence, free_divergence_within_one, hamming
+from cellweave.operators.components import components
 from cellweave.operators.matrix import exploded
 from cellweave.session import written
 
@@ -25,47 +28,56 @@ def umi_counts(alignments: DataFrame) -> DataFrame:
     return rows.groupBy(*GROUP, "ur").agg(F.count("*").alias("cnt"), F.min(F.struct(*place) if len(place) > 1 else "pos").alias("ord"))
 
 
-def edges(counts: DataFrame, distance: str = "freediv") -> DataFrame:
-    """Pairs (a, b), a before b as text, of UMIs of one group within one edit.
+def _rule(distance: str, most: int) -> tuple[Callable[[Column], Column], Callable[[Column, Column], Column]]:
+    """Keys of which two near UMIs share one, and whether two UMIs are near."""
+    if distance == "freediv":
+        within = free_divergence_within_one if most == 1 else lambda a, b: free_divergence(a, b, most) >= 0
+        return lambda s: divergence_keys(s, most), within
+    if distance == "levenshtein":
+        return lambda s: deletions(s, most), lambda a, b: F.levenshtein(a, b, most) >= 0
+    if distance == "hamming":
+        return lambda s: deletions(s, most), lambda a, b: hamming(a, b) <= most
+    raise ValueError("distance must be one of freediv, levenshtein, hamming")
+
+
+def _near(counts: DataFrame, distance: str, most: int, kept: Callable[[Column, Column], Column]) -> DataFrame:
+    """(group, a, b) of UMIs of one group, as nodes (c, o, u) that sort by falling count, then
+    place, then text, within ``most`` edits and as ``kept`` wants them; once for each pair.
 
     Candidates share a key made by deletions, an equi-join that misses no pair, so that a group
-    with many UMIs is not paired with itself.
+    with many UMIs is not paired with itself: how many share a key depends on the UMIs' length.
     """
-    rules = {
-        "freediv": (divergence_keys, free_divergence_within_one),
-        "levenshtein": (lambda s: deletions(s, 1), lambda a, b: F.levenshtein(a, b, 1) >= 0),
-        "hamming": (lambda s: deletions(s, 1), lambda a, b: hamming(a, b) <= 1),
-    }
-    if distance not in rules:
-        raise ValueError(f"distance must be one of {', '.join(rules)}")
-    keys, within = rules[distance]
-    posted = counts.select(*GROUP, "ur", F.explode(keys(F.col("ur"))).alias("key"))
-    pairs = posted.withColumnRenamed("ur", "a").join(posted.withColumnRenamed("ur", "b"), [*GROUP, "key"])
-    return pairs.where(F.col("a") < F.col("b")).select(*GROUP, "a", "b").distinct().where(within(F.col("a"), F.col("b")))
-
-
-def parents(counts: DataFrame, distance: str = "freediv") -> DataFrame:
+    keys, within = _rule(distance, most)
+    node = F.struct((-F.col("cnt")).alias("c"), F.col("ord").alias("o"), F.col("ur").alias("u"))
+    posted = counts.select(*GROUP, node.alias("a"), F.explode(keys(F.col("ur"))).alias("key"))
+    pairs = posted.join(posted.withColumnRenamed("a", "b"), [*GROUP, "key"]).where(kept(F.col("a"), F.col("b"))).select(*GROUP, "a", "b")
+    # dealt by the UMI that later steps group by, so that dropping repeated pairs moves nothing more
+    return pairs.repartition(*GROUP, "a").distinct().where(within(F.col("a.u"), F.col("b.u")))
+
+
+def edges(counts: DataFrame, distance: str = "freediv", most: int = 1) -> DataFrame:
+    """Pairs (a, b), a before b as text, of UMIs of one group within ``most`` edits."""
+    near = _near(counts, distance, most, lambda a, b: a["u"] < b["u"])
+    return near.select(*GROUP, F.col("a.u").alias("a"), F.col("b.u").alias("b"))
+
+
+def parents(counts: DataFrame, distance: str = "freediv", most: int = 1) -> DataFrame:
     """(group, ur, parent): of the neighbours that come before a UMI by count and place and have at
     least twice its count less one, the first; UMIs without one are left out. UMIs of equal count
     and place are ordered as text, so one of any two comes before the other."""
-    near = edges(counts, distance)
-    both = near.unionByName(near.select(*GROUP, F.col("b").alias("a"), F.col("a").alias("b")))
-    own = counts.select(*GROUP, F.col("ur").alias("a"), F.col("cnt").alias("ca"), F.col("ord").alias("oa"))
-    other = counts.select(*GROUP, F.col("ur").alias("b"), F.col("cnt").alias("cb_"), F.col("ord").alias("ob"))
-    both = both.join(own, [*GROUP, "a"]).join(other, [*GROUP, "b"])
-    before = (F.col("cb_") > F.col("ca")) | ((F.col("cb_") == F.col("ca")) & (F.struct(F.col("ob").alias("o"), F.col("b").alias("u")) < F.struct(F.col("oa").alias("o"), F.col("a").alias("u"))))
-    fit = both.where(before & (F.col("cb_") >= 2 * F.col("ca") - 1))
-    first = Window.partitionBy(*GROUP, "a").orderBy(F.desc("cb_"), "ob", "b")
-    return fit.withColumn("place", F.row_number().over(first)).where("place = 1").select(*GROUP, F.col("a").alias("ur"), F.col("b").alias("parent"))
-
-
-def corrected(counts: DataFrame, distance: str = "freediv") -> DataFrame:
+    near = _near(counts, distance, most, lambda a, b: (b < a) & (-b["c"] >= -2 * a["c"] - 1))
+    first = near.groupBy(*GROUP, "a").agg(F.min("b").alias("b"))
+    return first.select(*GROUP, F.col("a.u").alias("ur"), F.col("b.u").alias("parent"))
+
+
+def corrected(counts: DataFrame, distance: str = "freediv", most: int = 1) -> DataFrame:
     """(group, ur, ub): each UMI and the root of its tree of parents.
 
     Pointers jump to their targets' targets, so the number of rounds is the logarithm of the
-    deepest tree.
+    deepest tree. An empty table gives no rows.
     """
-    jump = written(parents(counts, distance), "umi-parents")
+    counts = written(counts, "umi-counts")
+    jump = written(parents(counts, distance, most), "umi-parents")
     while True:
         onward = jump.select(*GROUP, F.col("ur").alias("parent"), F.col("parent").alias("next"))
         moved = jump.join(onward, [*GROUP, "parent"], "left").select(*GROUP, "ur", F.coalesce("next", "parent").alias("parent"), F.col("next").isNotNull().alias("moved"))
@@ -76,20 +88,13 @@ def corrected(counts: DataFrame, distance: str = "freediv") -> DataFrame:
     return counts.select(*GROUP, "ur").join(jump, [*GROUP, "ur"], "left").select(*GROUP, "ur", F.coalesce("parent", "ur").alias("ub"))
 
 
-def undirected(counts: DataFrame, distance: str = "freediv") -> DataFrame:
+def undirected(counts: DataFrame, distance: str = "freediv", most: int = 1) -> DataFrame:
     """(group, ur, ub): components of the graph, each named by its most frequent, then first UMI."""
-    near = edges(counts, distance)
-    both = written(near.unionByName(near.select(*GROUP, F.col("b").alias("a"), F.col("a").alias("b"))), "umi-edges")
-    best = F.struct((-F.col("cnt")).alias("c"), F.col("ord").alias("o"), F.col("ur").alias("u"))
-    label = written(counts.select(*GROUP, "ur", best.alias("best")), "umi-labels")
-    while True:
-        seen = both.join(label.select(*GROUP, F.col("ur").alias("b"), F.col("best").alias("theirs")), [*GROUP, "b"])
-        seen = seen.groupBy(*GROUP, F.col("a").alias("ur")).agg(F.min("theirs").alias("theirs"))
-        new = label.join(seen, [*GROUP, "ur"], "left").withColumn("new", F.least("best", "theirs"))
-        new = written(new.select(*GROUP, "ur", "new", (F.col("new") < F.col("best")).alias("moved")), "umi-labels")
-        label = new.select(*GROUP, "ur", F.col("new").alias("best"))
-        if new.where("moved").isEmpty():
-            return label.select(*GROUP, "ur", F.col("best.u").alias("ub"))
+    counts = written(counts, "umi-counts")
+    near = _near(counts, distance, most, lambda a, b: b < a)
+    found = components(near.select(*GROUP, F.col("a").alias("v"), F.col("b").alias("u")), GROUP)
+    named = found.select(*GROUP, F.col("v.u").alias("ur"), F.col("u.u").alias("ub"))
+    return counts.select(*GROUP, "ur").join(named, [*GROUP, "ur"], "left").select(*GROUP, "ur", F.coalesce("ub", "ur").alias("ub"))
 
 
 def apply(alignments: DataFrame, mapping: DataFrame) -> DataFrame:

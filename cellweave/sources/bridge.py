@@ -17,11 +17,12 @@ _UR = dna("event_id % 40", 6)
 _CB = dna("user_id % 16", 8)
 
 #: One alignment for each event: some UMIs and barcodes with a letter exchanged, some reads with
-#: two features, none, or lists of unequal length, mates mapped and unmapped.
+#: two features, none, or lists of unequal length, mates mapped and unmapped. Many alignments
+#: share a position and UMIs share counts, so strands and ordinals decide ties.
 ALIGNMENTS = f"""
 SELECT event_id AS read_no,
   'run.' || cast(event_id as string) || '/' || CASE WHEN event_id % 4 = 2 THEN '2' ELSE '1' END AS query_name,
-  'chr' || cast(event_id % 3 as string) AS ref, event_id AS pos,
+  'chr' || cast(event_id % 3 as string) AS ref, cast(floor(event_id / 50) as bigint) % 4 AS pos, cast(floor(event_id / 7) as bigint) % 3 = 1 AS is_reverse, event_id AS align_ordinal,
   event_id % 2 = 0 AS is_paired, event_id % 4 = 0 AS is_read1, event_id % 4 = 2 AS is_read2, event_id % 8 = 2 AS mate_is_unmapped,
   {_CB} AS cb,
   CASE WHEN event_id % 9 = 0 THEN substr({_CB},1,3) || translate(substr({_CB},4,1),'ACGT','CGTA') || substr({_CB},5) ELSE {_CB} END AS cr,
