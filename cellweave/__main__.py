@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cellweave.jobs import count as jobs
 from cellweave.operators.extract import read_config
 from cellweave.session import prepare
-from cellweave.sources import fastq, files, simulate
+from cellweave.sources import fastq, simulate
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -20,17 +20,18 @@ def arguments() -> argparse.ArgumentParser:
     one.add_argument("fastq_dir")
     one.add_argument("--config", required=True)
     one.add_argument("--output-dir", default=".")
-    one = commands.add_parser("count", help="tag aligned reads, correct UMIs and count")
+    one = commands.add_parser("count", help="take barcodes off reads, tag their alignments, correct UMIs and count")
     one.add_argument("fastq_dir")
-    one.add_argument("--tags", required=True, help="the tags that preprocess wrote")
-    one.add_argument("--alignments", required=True, action="append", help="BAM, SAM or Parquet; may be repeated")
+    one.add_argument("--config", required=True)
+    one.add_argument("--preprocessed", help="where preprocess wrote, if it has run")
+    one.add_argument("--alignments", required=True, action="append", help="BAM, SAM or Parquet; one of each pair of files in order, or any number for all")
     one.add_argument("--output-dir", default=".")
     one = commands.add_parser("count_matrix", help="count tagged alignments")
     one.add_argument("alignments", nargs="+")
     one.add_argument("--output-dir", default=".")
     one = commands.add_parser("simulate_reads", help="reads with known barcodes")
     one.add_argument("--config", required=True)
-    one.add_argument("--fastq-prefix", required=True)
+    one.add_argument("--fastq-prefix", required=True, help="FOLDER/NAME: read files FOLDER/name=NAME_1 and, with barcodes in both mates, FOLDER/name=NAME_2")
     one.add_argument("--nreads", type=int, required=True)
     one.add_argument("--unique-umis", type=float, default=0.5)
     one.add_argument("--seed", type=int, default=42)
@@ -46,8 +47,7 @@ def run(spark: SparkSession, given: list[str] | None = None) -> None:
     if args.command == "preprocess":
         jobs.preprocess(spark, args.fastq_dir, read_config(args.config), args.output_dir)
     elif args.command == "count":
-        positions = jobs.name_positions(fastq.read(spark, files.paired(args.fastq_dir)))
-        jobs.count(jobs.load_alignments(spark, args.alignments), spark.read.parquet(args.tags), positions, args.output_dir)
+        jobs.count_reads(spark, args.fastq_dir, read_config(args.config), args.alignments, args.output_dir, args.preprocessed)
     elif args.command == "count_matrix":
         jobs.matrices(jobs.load_alignments(spark, args.alignments), args.output_dir)
     else:
@@ -57,7 +57,8 @@ def run(spark: SparkSession, given: list[str] | None = None) -> None:
             spark, structs, args.nreads, bool(config["unknown_read_orientation"]), args.unique_umis, args.seed,
             args.error_probability, args.substitution_probability, args.insertion_probability,
         )
-        fastq.write(reads.withColumn("name", F.concat(F.lit("mate_"), F.col("mate").cast("string"))), args.fastq_prefix)
+        folder, _, name = args.fastq_prefix.rpartition("/")
+        fastq.write(reads.withColumn("name", F.concat(F.lit(f"{name}_"), F.col("mate").cast("string"))), folder or ".")
 
 
 if __name__ == "__main__":

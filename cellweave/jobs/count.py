@@ -12,7 +12,7 @@ from cellweave.operators import matrix, reads, umi
 from cellweave.operators.extract import Layout, aligned, extract
 from cellweave.session import written
 from cellweave.sources import alignments as sam
-from cellweave.sources import fastq, files, market
+from cellweave.sources import fastq, files, lists, market
 
 #: Last record of the sample that tells which file holds the barcodes. Fixed value.
 ORIENTATION_SAMPLE = 500
@@ -30,75 +30,93 @@ def barcode_mate(rows: DataFrame, layout: Layout, either_strand: bool) -> int:
     return 1 if found.get(1, float("-inf")) > found.get(2, float("-inf")) else 2
 
 
-def _passing(rows: DataFrame, layout: Layout, either_strand: bool, forward_slice: bool) -> DataFrame:
+def _cut(found: DataFrame, forward_slice: bool) -> DataFrame:
     """Decoded reads over their file's threshold, cut after the barcodes.
 
     ``forward_slice`` cuts the read as it was given, even where its other strand was aligned;
     otherwise that strand is what is left.
     """
-    found = written(extract(rows, layout, either_strand), "extracted")
-    good = reads.passing(found).where("end_pos IS NOT NULL")
+    good = found.where(F.col("passes") & F.col("end_pos").isNotNull())
     cut = F.substr("seq", F.col("end_pos") + 1)
+    gone = ("trimmed", "end_pos", "score", "passes", "mate")
     if forward_slice:
-        return good.withColumns({"seq": cut, "qual": F.substr("qual", F.col("end_pos") + 1)}).drop("trimmed", "end_pos", "score")
+        return good.withColumns({"seq": cut, "qual": F.substr("qual", F.col("end_pos") + 1)}).drop(*gone)
     as_given = cut == F.col("trimmed")
     qual = F.substr(F.when(as_given, F.col("qual")).otherwise(F.reverse("qual")), F.col("end_pos") + 1)
-    return good.withColumns({"qual": qual, "seq": F.col("trimmed")}).drop("trimmed", "end_pos", "score")
+    return good.withColumns({"qual": qual, "seq": F.col("trimmed")}).drop(*gone)
 
 
-def extracted_pairs(rows: DataFrame, config: dict, forward_slice: bool = True) -> DataFrame:
+def extracted(rows: DataFrame, config: dict) -> dict[int, DataFrame]:
+    """For each mate with barcodes its reads with tags and ``passes``, written."""
+    either, first = bool(config["unknown_read_orientation"]), Layout.of(config["barcode_struct_r1"])
+    layouts = {1: first, 2: Layout.of(config["barcode_struct_r2"])} if both_barcoded(config) else {barcode_mate(rows, first, either): first}
+    return {m: written(reads.judged(written(extract(rows.where(F.col("mate") == m), x, either), "extracted")), "judged") for m, x in layouts.items()}
+
+
+def paired_up(rows: DataFrame, found: dict[int, DataFrame], forward_slice: bool = True) -> DataFrame:
     """One row for each pair that passes: tags, and read_id, description, seq and qual of both mates.
 
-    ``rows`` as :func:`cellweave.sources.fastq.read` gives them. With barcodes in both mates both
-    have to pass, strings are dot-joined and linker lengths added.
+    ``found`` as :func:`extracted` gives it. With barcodes in both mates both have to pass,
+    strings are dot-joined and linker lengths added.
     """
-    either, two = bool(config["unknown_read_orientation"]), both_barcoded(config)
-    first = Layout.of(config["barcode_struct_r1"])
-    mate = 1 if two else barcode_mate(rows, first, either)
-    one = _passing(rows.where(F.col("mate") == mate), first, either, forward_slice).drop("mate")
-    other = rows.where(F.col("mate") == 3 - mate)
-    other = _passing(other, Layout.of(config["barcode_struct_r2"]), either, forward_slice).drop("mate") if two else other.drop("mate")
-    names = ["read_id", "description", "seq", "qual"]
-    mates = {mate: one, 3 - mate: other}
-    joined = reads.pair_reads(mates[1], mates[2])
-    tags = {}
-    for n in ("cb", "cr", "ur"):
-        tags[n] = F.concat_ws(".", f"{n}_1", f"{n}_2") if two else F.col(f"{n}_{mate}")
+    mates = {m: _cut(found[m], forward_slice) if m in found else rows.where(F.col("mate") == m).drop("mate") for m in (1, 2)}
+    joined, two, mate = reads.pair_reads(mates[1], mates[2]), len(found) == 2, min(found)
+    tags = {n: F.concat_ws(".", f"{n}_1", f"{n}_2") if two else F.col(f"{n}_{mate}") for n in ("cb", "cr", "ur")}
     tags["fl"] = F.col("fl_1") + F.col("fl_2") if two else F.col(f"fl_{mate}")
-    return joined.select(*_KEY, F.lit(mate).alias("barcode_mate"), *(c.alias(n) for n, c in tags.items()), *(f"{n}_{i}" for i in (1, 2) for n in names))
+    names = [f"{n}_{i}" for i in (1, 2) for n in ("read_id", "description", "seq", "qual")]
+    return joined.select(*_KEY, F.lit(mate).alias("barcode_mate"), *(c.alias(n) for n, c in tags.items()), *names)
+
+
+def extracted_pairs(rows: DataFrame, config: dict, forward_slice: bool = True) -> DataFrame:
+    """Passing pairs of ``rows`` as :func:`cellweave.sources.fastq.read` gives them."""
+    return paired_up(rows, extracted(rows, config), forward_slice)
+
 
+def counters(found: dict[int, DataFrame], pairs: DataFrame) -> DataFrame:
+    """(key, n): for each pair of files and barcoded mate the records read, decoded and at the threshold, and the pairs written."""
+    of = lambda *parts: F.concat_ws(" ", *(F.lit(x) if isinstance(x, str) else x for x in parts))
+    pair = F.col("file_pair").cast("string")
+    out = pairs.groupBy("file_pair").agg(F.count("*").alias("n")).select(of("pair", pair, "written").alias("key"), "n")
+    for mate, rows in found.items():
+        each = rows.groupBy("file_pair").agg(F.count("*").alias("read"), F.count_if(F.col("end_pos").isNotNull()).alias("decoded"), F.count_if("passes").alias("passing"))
+        named = each.unpivot("file_pair", ["read", "decoded", "passing"], "what", "n")
+        out = out.unionByName(named.select(of("pair", pair, f"mate {mate}", F.col("what")).alias("key"), "n"))
+    return out
 
-def name_positions(rows: DataFrame) -> list[int]:
-    """The places in which mates' names differ, from each pair's first records."""
+
+def name_positions(rows: DataFrame) -> dict[int, list[int]]:
+    """For each pair of files the places in which mates' names differ, from their first records."""
     heads = rows.where("rec_idx = 0").groupBy("file_pair").pivot("mate", [1, 2]).agg(F.first("read_id"))
-    found = {tuple(files.difference_positions(r["1"], r["2"])) for r in heads.collect() if r["1"] is not None and r["2"] is not None}
-    if len(found) > 1:
-        raise ValueError("file pairs number their mates at different places of the names")
-    return list(found.pop()) if found else []
+    return {r["file_pair"]: files.difference_positions(r["1"] or "", r["2"] or "") for r in heads.collect()}
 
 
 def preprocess(spark: SparkSession, folder: str, config: dict, out: str, forward_slice: bool = True) -> DataFrame:
-    """Write ``out/reads`` (FASTQ without barcodes), ``out/tags`` and ``out/tag-lines``; give the tags back.
+    """Write ``out/reads`` (FASTQ without barcodes), ``out/tags``, ``out/tag-lines``, ``out/names`` and ``out/counters``; give the tags back.
 
     A mate with barcodes is written only if its struct keeps what is left of it. An output that exists is an error.
     """
     pairs = files.paired(folder)
     rows = fastq.read(spark, pairs)
-    found = written(extracted_pairs(rows, config, forward_slice), "pairs")
+    if files.exists(f"{out}/tags"):
+        raise FileExistsError(f"{out}/tags")
+    places = name_positions(rows)
+    mates = extracted(rows, config)
+    found = written(paired_up(rows, mates, forward_slice), "pairs")
     names = spark.createDataFrame([(i, files.prefix(a), files.prefix(b)) for i, (a, b) in enumerate(pairs)], "file_pair int, name_1 string, name_2 string")
     keep = {1: bool(config["barcode_struct_r1"].get("keep_nonbarcode")), 2: bool(config.get("barcode_struct_r2", {}).get("keep_nonbarcode"))}
     two = both_barcoded(config)
     sides = []
     for i in (1, 2):
         wanted = F.lit(keep[i]) if two else (F.col("barcode_mate") != i) | F.lit(keep[1])
-        side = found.join(names, "file_pair").where(wanted)
+        side = found.join(F.broadcast(names), "file_pair").where(wanted)
         sides.append(side.select(F.concat(F.lit("sans_bc_"), f"name_{i}").alias("name"), "rec_idx", *(F.col(f"{n}_{i}").alias(n) for n in ("description", "seq", "qual"))))
     fastq.write(sides[0].unionByName(sides[1]), f"{out}/reads")
+    lists.write_counters(counters(mates, found), f"{out}/counters")
+    spark.createDataFrame(list(places.items()) or [], "file_pair int, positions array<int>").write.mode("errorifexists").parquet(f"{out}/names")
     tags = found.select("file_pair", F.when(F.col("barcode_mate") == 1, F.col("read_id_1")).otherwise(F.col("read_id_2")).alias("read_id"), "cb", "cr", "fl", "ur")
+    reads.format_tags(tags).write.mode("errorifexists").text(f"{out}/tag-lines")
     tags.write.mode("errorifexists").parquet(f"{out}/tags")
-    written_tags = spark.read.parquet(f"{out}/tags")
-    reads.format_tags(written_tags).write.mode("errorifexists").text(f"{out}/tag-lines")
-    return written_tags
+    return spark.read.parquet(f"{out}/tags")
 
 
 def with_umis(rows: DataFrame) -> DataFrame:
@@ -116,19 +134,48 @@ def matrices(rows: DataFrame, out: str) -> None:
     market.write(made, rows, out, value)
 
 
-def count(rows: DataFrame, tags: DataFrame, positions: list[int], out: str) -> DataFrame:
-    """Tag alignments by their reads' names, correct UMIs, write ``out/alignments`` and the matrices."""
-    tagged = reads.annotate(rows.drop("cb", "cr", "ur", "ub", "fl"), tags.drop("file_pair"), positions)
+def count(rows: DataFrame, tags: DataFrame, positions: list[int] | dict[int, list[int]], out: str) -> DataFrame:
+    """Tag alignments by their reads' names, correct UMIs, write ``out/alignments`` and the matrices.
+
+    Where pairs of files number their mates at different places of the names, ``rows`` have to
+    tell their ``file_pair``.
+    """
+    if isinstance(positions, dict):
+        if len({tuple(p) for p in positions.values()}) < 2:
+            positions = next(iter(positions.values()), [])
+        elif "file_pair" not in rows.columns:
+            raise ValueError("pairs of files number their mates at different places: give each pair's alignments by itself")
+    if files.exists(f"{out}/alignments"):
+        raise FileExistsError(f"{out}/alignments")
+    known = rows.drop("cb", "cr", "ur", "ub", "fl")
+    tagged = reads.annotate(known, tags, positions) if isinstance(positions, dict) else reads.annotate(known, tags.drop("file_pair"), positions)
     umis = tags.where("ur IS NOT NULL").limit(1).count() > 0
     made = with_umis(tagged) if umis else tagged.withColumn("ub", F.lit(None).cast("string"))
-    made.repartitionByRange("ref", "pos").sortWithinPartitions("ref", "pos").write.mode("errorifexists").parquet(f"{out}/alignments")
+    sam.coordinate_sorted(made).write.mode("errorifexists").parquet(f"{out}/alignments")
     done = rows.sparkSession.read.parquet(f"{out}/alignments")
     matrices(done, out)
     return done
 
 
+def count_reads(spark: SparkSession, folder: str, config: dict, paths: list[str], out: str, prepared: str | None = None) -> DataFrame:
+    """From read files and their alignments to matrices; ``prepared`` is where :func:`preprocess` wrote, if it has run.
+
+    ``paths``: alignments, one of each pair of files in order if there are as many.
+    """
+    tags = spark.read.parquet(f"{prepared}/tags") if prepared else preprocess(spark, folder, config, f"{out}/preprocessed")
+    places = {r["file_pair"]: list(r["positions"]) for r in spark.read.parquet(f"{prepared or out + '/preprocessed'}/names").collect()}
+    if len(paths) == len(places) > 1:
+        each = [load_alignments(spark, [p]).withColumn("file_pair", F.lit(i)) for i, p in zip(sorted(places), paths, strict=True)]
+        rows = each[0]
+        for more in each[1:]:
+            rows = rows.unionByName(more)
+    else:
+        rows = load_alignments(spark, paths)
+    return count(rows, tags, places, out)
+
+
 def load_alignments(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Alignments from BAM files, SAM text or Parquet, by the first path's ending."""
+    """Alignments from BAM files or folders of them, SAM text or Parquet, by the first path's ending."""
     if paths[0].endswith(".bam"):
         return sam.read_bam(spark, paths)
     return sam.read_sam(spark, paths) if paths[0].endswith((".sam", ".sam.gz")) else spark.read.parquet(*paths)

@@ -6,7 +6,6 @@ whitelist is never held by a task, and everything else is built-in expressions.
 
 from __future__ import annotations
 
-import gzip
 import itertools
 import json
 from collections.abc import Iterator
@@ -20,7 +19,9 @@ from pyspark.sql import functions as F
 from cellweave.functions.alignment import PREFIX, align, boundaries, encoded
 from cellweave.functions.sequences import reverse_complement
 from cellweave.operators.reads import decode
+from cellweave.operators.skew import split_join
 from cellweave.session import written
+from cellweave.sources.files import read_text
 
 BATCH = 1000
 
@@ -77,10 +78,8 @@ class Layout:
 
 
 def read_config(path: str) -> dict:
-    """A JSON configuration, gzipped or not."""
-    with open(path, "rb") as f:
-        raw = f.read()
-    return json.loads(gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw)
+    """A JSON configuration of any file system, gzipped or not."""
+    return json.loads(read_text(path))
 
 
 def _cut(read: str, bounds: np.ndarray) -> list[str]:
@@ -133,18 +132,40 @@ def aligned(reads: DataFrame, layout: Layout, either_strand: bool = False, seq:
     return prepared.mapInArrow(run, f"{kept}, oriented string, score double, aligned boolean, variant int, pieces array<string>, end_pos int")
 
 
+def _decoded(rows: DataFrame, layout: Layout) -> DataFrame:
+    """``rows`` (written, with ``_id`` and ``pieces``) with a column d<place> for each list block.
+
+    Only ids and raw pieces are moved to the decoded ones; a piece that many reads have is dealt
+    over several tasks. Whole reads are moved once, by their ids.
+    """
+    lists = layout.places("barcodeList")
+    named = rows.where("aligned").select("_id", *(F.col("pieces")[i].alias(f"p{i}") for i in lists))
+    for i in lists:
+        block = layout.blocks[i]
+        listed = rows.sparkSession.createDataFrame([(s,) for s in block.sequence], "barcode string")
+        raws = written(named.groupBy(F.col(f"p{i}").alias("raw")).agg(F.count("*").alias("n")).where("raw IS NOT NULL"), "raws")
+        found = decode(raws, listed, block.maxerrors, layout.distance(i)).join(raws, "raw")
+        found = written(found.select(F.col("raw").alias(f"p{i}"), F.col("decoded").alias(f"d{i}"), "n"), "decoded")
+        named = split_join(named, found, [f"p{i}"], "n").drop(f"p{i}", "n")
+    return rows.join(named, "_id", "left")
+
+
 def _realigned(rows: DataFrame, layout: Layout) -> DataFrame:
-    """``rows`` with ``final``: pieces by a template of the decoded barcodes and chosen constants."""
+    """``rows`` with ``final``: pieces by a template of the decoded barcodes and chosen constants.
+
+    Null where ``_whole`` is false or the boundaries are undefined.
+    """
     variants, lists = layout.variants, layout.places("barcodeList")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for low in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(low, BATCH)
-                texts, chosen = batch.column("oriented").to_pylist(), batch.column("variant").to_numpy()
+                texts = batch.column("oriented").to_pylist()
+                chosen = np.where(batch.column("_whole").to_numpy(zero_copy_only=False), batch.column("variant").to_numpy(zero_copy_only=False), -1)
                 decoded = [batch.column(f"d{i}").to_pylist() for i in lists]
                 out: list = [None] * len(texts)
-                for k in np.unique(chosen):
+                for k in np.unique(chosen[chosen >= 0]).astype(int):
                     at = np.flatnonzero(chosen == k)
                     pieces = list(variants[k])
                     made = ["".join(decoded[lists.index(i)][r] if i in lists else p for i, p in enumerate(pieces)) for r in at]
@@ -165,23 +186,15 @@ def extract(reads: DataFrame, layout: Layout, either_strand: bool = False) -> Da
     taken over all scores. ``cb`` and ``cr`` dot-join the barcodes, ``ur`` the UMIs, ``fl`` adds
     the lengths of the template's constants; blocks to discard take no part in any.
     """
-    spark = reads.sparkSession
-    rows = written(aligned(reads, layout, either_strand), "aligned")
-    lists = layout.places("barcodeList")
-    for i in lists:
-        block = layout.blocks[i]
-        listed = spark.createDataFrame([(s,) for s in block.sequence], "barcode string")
-        raws = rows.where("aligned").select(F.col("pieces")[i].alias("raw"))
-        found = decode(raws, listed, block.maxerrors, layout.distance(i)).select(F.col("raw").alias(f"r{i}"), F.col("decoded").alias(f"d{i}"))
-        rows = rows.join(found, F.col("pieces")[i] == F.col(f"r{i}"), "left").drop(f"r{i}")
+    rows = written(aligned(reads, layout, either_strand).withColumn("_id", F.monotonically_increasing_id()), "aligned")
+    lists, random = layout.places("barcodeList"), layout.places("randomBarcode")
+    rows = _decoded(rows, layout) if lists else rows
     decoded = F.col("aligned")
     for i in lists:
         decoded = decoded & F.col(f"d{i}").isNotNull()
-    random = layout.places("randomBarcode")
     if random:
-        good, bad = rows.where(decoded), rows.where(~decoded)
-        rows = _realigned(good, layout).unionByName(bad.withColumn("final", F.lit(None).cast("array<string>")))
-        decoded = decoded & F.col("final").isNotNull()
+        rows = _realigned(rows.withColumn("_whole", decoded), layout)
+        decoded = F.col("_whole") & F.col("final").isNotNull()
     used = [i for i, b in enumerate(layout.blocks) if b.blockfunction != "discard"]
     cells = [i for i in used if i in lists or (i in random and layout.blocks[i].blockfunction != "UMI")]
     umis = [i for i in used if layout.blocks[i].blockfunction == "UMI" and i in lists + random]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.functions.sequences import decoder_input, deletions, divergence_keys, free_divergence, free_divergence_within_one, hamming, without_positions
@@ -63,19 +63,39 @@ def score_thresholds(scores: DataFrame, last: int = SAMPLE) -> DataFrame:
     return sample.agg((F.avg("score") - 2 * F.stddev_pop("score")).alias("threshold"))
 
 
+def judged(scores: DataFrame, last: int = SAMPLE) -> DataFrame:
+    """Records with ``passes``: whether they reach their file's threshold; a file without a sample lets all pass.
+
+    There is one threshold for each pair of files, which is what is sent to every task.
+    """
+    found = scores.join(F.broadcast(score_thresholds(scores, last)), "file_pair", "left")
+    return found.withColumn("passes", F.col("threshold").isNull() | (F.col("score") >= F.col("threshold"))).drop("threshold")
+
+
 def passing(scores: DataFrame, last: int = SAMPLE) -> DataFrame:
-    """Records that reach their file's threshold; a file without a sample lets all pass."""
-    found = scores.join(score_thresholds(scores, last), "file_pair", "left")
-    return found.where(F.col("threshold").isNull() | (F.col("score") >= F.col("threshold"))).drop("threshold")
+    """Records that reach their file's threshold."""
+    return judged(scores, last).where("passes").drop("passes")
 
 
-def annotate(alignments: DataFrame, tags: DataFrame, positions: list[int]) -> DataFrame:
+def annotate(alignments: DataFrame, tags: DataFrame, positions: list[int] | dict[int, list[int]]) -> DataFrame:
     """Alignments with the tags of their read: an equi-join on names without the mate positions.
 
-    ``tags``: (read_id, tag columns). A read may have several alignments.
+    ``tags``: (read_id, tag columns). A read may have several alignments. Pairs of files whose
+    mates' names differ at places of their own give ``positions`` for each ``file_pair``, which
+    both sides then have.
     """
-    keyed = tags.withColumn("name_key", without_positions(F.col("read_id"), positions)).drop("read_id")
-    return alignments.withColumn("name_key", without_positions(F.col("query_name"), positions)).join(keyed, "name_key").drop("name_key")
+    if isinstance(positions, list):
+        keyed = tags.withColumn("name_key", without_positions(F.col("read_id"), positions)).drop("read_id")
+        return alignments.withColumn("name_key", without_positions(F.col("query_name"), positions)).join(keyed, "name_key").drop("name_key")
+
+    def key(name: str) -> Column:
+        by_places: dict[tuple[int, ...], list[int]] = {}
+        for pair, places in positions.items():
+            by_places.setdefault(tuple(places), []).append(pair)
+        return F.coalesce(F.lit(None).cast("string"), *(F.when(F.col("file_pair").isin(pairs), without_positions(F.col(name), list(p))) for p, pairs in by_places.items()))
+
+    keyed = tags.withColumn("name_key", key("read_id")).drop("read_id")
+    return alignments.withColumn("name_key", key("query_name")).join(keyed, ["file_pair", "name_key"]).drop("name_key")
 
 
 def format_tags(reads: DataFrame) -> DataFrame:

@@ -1,18 +1,31 @@
-"""Alignments from SAM text or BAM files, and back to SAM text in coordinate order."""
+"""Alignments from SAM text or BAM files, and back to either in coordinate order.
+
+BAM files are split at the blocks that they are compressed in. Where the first record of a share
+begins is found by its form, and held against where the share before ends: a file whose shares
+do not meet is read as a whole. ``align_ordinal`` orders records as their files hold them.
+"""
 
 from __future__ import annotations
 
+import bisect
+import io
 import json
+import os
 import struct
-from collections.abc import Iterator
+import uuid
+import zlib
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from cellweave.session import prepare
-from cellweave.sources.files import opened
+from cellweave.sources.files import exists, located, opened
 
 #: Bits of a record's flag. Fixed values.
 PAIRED, UNMAPPED, MATE_UNMAPPED, REVERSE, READ1, READ2 = 0x1, 0x4, 0x8, 0x10, 0x40, 0x80
@@ -39,9 +52,11 @@ def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
     text = {"query_name": 0, "ref": 2, "cigar": 5, "seq": 9, "qual": 10}
     columns = {n: F.get(part, F.lit(i)) for n, i in text.items()} | {n: F.get(part, F.lit(i)).cast("int") for n, i in whole.items()}
     columns |= {"pos": F.get(part, F.lit(3)).cast("long") - 1, "tags": F.slice(part, F.lit(12), F.greatest(F.size(part) - 11, F.lit(0)))}
-    lines = spark.read.text(path).where("value <> '' AND NOT value RLIKE '^@[A-Za-z][A-Za-z]\t'")
+    # lines of one block of a file keep their order in a task
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(path).select("value", place.alias("align_ordinal")).where("value <> '' AND NOT value RLIKE '^@[A-Za-z][A-Za-z]\t'")
     names = [c.split()[0] for c in RAW.split(", ")]
-    return _typed(lines.select(*(columns[n].alias(n) for n in names)))
+    return _typed(lines.select(*(columns[n].alias(n) for n in names), "align_ordinal"))
 
 
 _BASES, _STEPS = "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
@@ -69,51 +84,200 @@ def _bam_tags(data: bytes) -> list[str]:
     return out
 
 
-def _bam_records(stream) -> Iterator[tuple]:
-    number = lambda: struct.unpack("<i", stream.read(4))[0]
-    if stream.read(4) != b"BAM\1":
+def _parsed(data: bytes, refs: list[str]) -> tuple:
+    ref, pos, n_name, mapq, _, n_steps, flag, n, *_ = struct.unpack_from("<iiBBHHHiiii", data)
+    at = 32 + n_name
+    steps = struct.unpack_from(f"<{n_steps}I", data, at)
+    at += 4 * n_steps
+    packed = data[at : at + (n + 1) // 2]
+    seq = "".join(_BASES[b >> 4] + _BASES[b & 15] for b in packed)[:n] or "*"
+    at += (n + 1) // 2
+    qual = data[at : at + n]
+    shown = "*" if not n or qual[0] == 255 else bytes(q + 33 for q in qual).decode()
+    cigar = "".join(f"{s >> 4}{_STEPS[s & 15]}" for s in steps) or "*"
+    return data[32 : 31 + n_name].decode(), flag, refs[ref] if ref >= 0 else "*", pos, mapq, cigar, seq, shown, _bam_tags(data[at + n :])
+
+
+def _header(stream) -> tuple[list[str], int]:
+    """Names of the references, and how many bytes the header takes."""
+    taken = 0
+
+    def take(n: int) -> bytes:
+        nonlocal taken
+        taken += n
+        return stream.read(n)
+
+    number = lambda: struct.unpack("<i", take(4))[0]
+    if take(4) != b"BAM\1":
         raise ValueError("not a BAM file")
-    stream.read(number())
+    take(number())
     refs = []
     for _ in range(number()):
-        refs.append(stream.read(number())[:-1].decode())
+        refs.append(take(number())[:-1].decode())
         number()
-    while head := stream.read(4):
-        data = stream.read(struct.unpack("<i", head)[0])
-        ref, pos, n_name, mapq, _, n_steps, flag, n, *_ = struct.unpack_from("<iiBBHHHiiii", data)
-        at = 32 + n_name
-        steps = struct.unpack_from(f"<{n_steps}I", data, at)
-        at += 4 * n_steps
-        packed = data[at : at + (n + 1) // 2]
-        seq = "".join(_BASES[b >> 4] + _BASES[b & 15] for b in packed)[:n] or "*"
-        at += (n + 1) // 2
-        qual = data[at : at + n]
-        shown = "*" if not n or qual[0] == 255 else bytes(q + 33 for q in qual).decode()
-        cigar = "".join(f"{s >> 4}{_STEPS[s & 15]}" for s in steps) or "*"
-        yield data[32 : 31 + n_name].decode(), flag, refs[ref] if ref >= 0 else "*", pos, mapq, cigar, seq, shown, _bam_tags(data[at + n :])
+    return refs, taken
+
+
+_BLOCK = b"\x1f\x8b\x08\x04"
+#: Compressed bytes of a share of a file.
+SHARE = 64 << 20
+
+
+def _block_size(head: bytes) -> int:
+    """Size of the block that ``head`` begins; 0 if it begins none."""
+    if head[:4] != _BLOCK or len(head) < 18:
+        return 0
+    extra, at = head[12 : 12 + struct.unpack_from("<H", head, 10)[0]], 0
+    while at + 6 <= len(extra):
+        size = struct.unpack_from("<H", extra, at + 2)[0]
+        if extra[at : at + 2] == b"BC" and size == 2:
+            return struct.unpack_from("<H", extra, at + 4)[0] + 1
+        at += 4 + size
+    return 0
+
+
+def _blocks(raw: io.BufferedReader, at: int) -> Iterator[tuple[int, bytes]]:
+    """(offset, data) of the blocks from offset ``at``."""
+    raw.seek(at)
+    while head := raw.read(18):
+        size = _block_size(head)
+        if not size:
+            raise ValueError(f"no block at {at}")
+        whole = head + raw.read(size - 18)
+        extra = struct.unpack_from("<H", whole, 10)[0]
+        yield at, zlib.decompress(whole[12 + extra : -8], -15)
+        at += size
+
+
+def _first_block(raw: io.BufferedReader, start: int, size: int) -> int:
+    """Offset of the first block at ``start`` or later, which another one or the end follows; ``size`` if none."""
+    raw.seek(start)
+    data = raw.read(1 << 18)
+    at = data.find(_BLOCK)
+    while at >= 0:
+        n = _block_size(data[at : at + 64])
+        if n and (start + at + n == size or data[at + n : at + n + 4] == _BLOCK):
+            return start + at
+        at = data.find(_BLOCK, at + 1)
+    return size
+
+
+END = (-1, 0)
+
+
+class _Walk:
+    """Records that begin in the blocks from offset ``start`` up to ``end``, from ``inner`` bytes into the first.
+
+    With ``inner`` -1 the first record is looked for. ``begin`` and ``after`` tell where the
+    first record begins and where the first one that belongs to the next share does.
+    """
+
+    def __init__(self, raw: io.BufferedReader, start: int, end: int, inner: int, n_refs: int) -> None:
+        self.blocks, self.end, self.n_refs = _blocks(raw, start), end, n_refs
+        self.data, self.bounds, self.at = b"", [], max(inner, 0)  # type: ignore[var-annotated]
+        self.after = END
+        if inner < 0:
+            while not self._is_record(self.at, 3):
+                self.at += 1
+                if self.at >= len(self.data) and not self._more():
+                    break
+        self.begin = self._place()
+
+    def _more(self) -> bool:
+        found = next(self.blocks, None)
+        if found is None:
+            return False
+        keep = min(self.at, len(self.data))
+        kept = [(s - keep, o) for s, o in self.bounds]
+        self.bounds = kept[max(0, bisect.bisect_right(kept, (0, 1 << 62)) - 1) :] + [(len(self.data) - keep, found[0])]
+        self.data, self.at = self.data[keep:] + found[1], self.at - keep
+        return True
+
+    def _has(self, n: int) -> bool:
+        while len(self.data) < self.at + n:
+            if not self._more():
+                return False
+        return True
+
+    def _is_record(self, at: int, chain: int) -> bool:
+        """Whether ``chain`` records may follow one another from here, or fewer and the end."""
+        skip = at - self.at
+        for k in range(chain):
+            if not self._has(skip + 36):
+                return k > 0 and len(self.data) == self.at + skip
+            n, ref, pos, n_name, _, _, n_steps, _, n_seq, mate, mate_pos, _ = struct.unpack_from("<iiiBBHHHiiii", self.data, self.at + skip)
+            if not (32 <= n < 1 << 28 and -1 <= ref < self.n_refs and -1 <= mate < self.n_refs and pos >= -1 and mate_pos >= -1 and n_name and n_seq >= 0):
+                return False
+            if 32 + n_name + 4 * n_steps + (n_seq + 1) // 2 + n_seq > n or not self._has(skip + 36 + n_name):
+                return False
+            name = self.data[self.at + skip + 36 : self.at + skip + 36 + n_name]
+            if name[-1] or not all(33 <= c < 127 for c in name[:-1]):
+                return False
+            skip += 4 + n
+        return True
+
+    def _place(self) -> tuple[int, int]:
+        if not self._has(1):
+            return END
+        start, offset = self.bounds[bisect.bisect_right(self.bounds, (self.at, 1 << 62)) - 1]
+        return offset, self.at - start
+
+    def __iter__(self) -> Iterator[bytes]:
+        while True:
+            place = self._place()
+            if place == END or place[0] >= self.end:
+                self.after = place
+                return
+            if not self._has(4) or not self._has(4 + struct.unpack_from("<i", self.data, self.at)[0]):
+                raise ValueError("the file ends inside a record")
+            n = struct.unpack_from("<i", self.data, self.at)[0]
+            yield self.data[self.at + 4 : self.at + 4 + n]
+            self.at += 4 + n
 
 
 _BAM_ARROW = pa.schema([
     ("query_name", pa.string()), ("flag", pa.int32()), ("ref", pa.string()), ("pos", pa.int64()), ("mapq", pa.int32()),
-    ("cigar", pa.string()), ("seq", pa.string()), ("qual", pa.string()), ("tags", pa.list_(pa.string())),
+    ("cigar", pa.string()), ("seq", pa.string()), ("qual", pa.string()), ("tags", pa.list_(pa.string())), ("align_ordinal", pa.int64()),
 ])
 
 
 class _BamReader(DataSourceReader):
-    def __init__(self, files: list[str]) -> None:
-        self.files = files
+    """Shares [path, start, end, inner, base]; end -1: a whole file, compressed in any way."""
+
+    def __init__(self, shares: list[list], only_count: bool) -> None:
+        self.shares, self.only_count = shares, only_count
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(f) for f in self.files]
+        return [InputPartition(s) for s in self.shares]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        path, start, end, inner, base = partition.value
+        with opened(path) as stream:
+            refs, _ = _header(stream)
+            if end < 0:
+                yield from self._batches(self._all(stream), refs, base)
+        if end >= 0:
+            store, name = located(path)
+            with store.open_input_file(name) as file:
+                walk = _Walk(io.BufferedReader(file, 1 << 20), start, end, inner, len(refs))
+                if self.only_count:
+                    n = sum(1 for _ in walk)
+                    yield self._batch([(path, 0, json.dumps([start, n, walk.begin, walk.after]), 0, 0, "", "", "", [], 0)])
+                else:
+                    yield from self._batches(iter(walk), refs, base)
+
+    @staticmethod
+    def _all(stream) -> Iterator[bytes]:
+        while head := stream.read(4):
+            yield stream.read(struct.unpack("<i", head)[0])
+
+    def _batches(self, found: Iterator[bytes], refs: list[str], base: int) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        with opened(partition.value) as stream:
-            for row in _bam_records(stream):
-                rows.append(row)
-                if len(rows) == 2000:
-                    yield self._batch(rows)
-                    rows = []
+        for i, data in enumerate(found, base):
+            rows.append((*_parsed(data, refs), i))
+            if len(rows) == 2000:
+                yield self._batch(rows)
+                rows = []
         if rows:
             yield self._batch(rows)
 
@@ -122,33 +286,218 @@ class _BamReader(DataSourceReader):
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _BAM_ARROW, strict=True)], schema=_BAM_ARROW)
 
 
+def _compressed(data: bytes) -> bytes:
+    """``data``, 65,280 bytes at most, as one block."""
+    pack = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = pack.compress(data) + pack.flush()
+    return _BLOCK + struct.pack("<IBBHBBHH", 0, 0, 255, 6, 66, 67, 2, len(body) + 25) + body + struct.pack("<II", zlib.crc32(data), len(data))
+
+
+def _bin(begin: int, end: int) -> int:
+    """The smallest bin of the format's index that holds [begin, end)."""
+    for shift, first in ((14, 4681), (17, 585), (20, 73), (23, 9), (26, 1)):
+        if begin >> shift == (end - 1) >> shift:
+            return first + (begin >> shift)
+    return 0
+
+
+def _encoded(row: dict, refs: dict[str, int]) -> bytes:
+    steps, number, span = [], "", 0
+    for c in "" if row["cigar"] == "*" else row["cigar"]:
+        if c.isdigit():
+            number += c
+        else:
+            steps.append(int(number) << 4 | _STEPS.index(c))
+            span += int(number) if c in "MDN=X" else 0
+            number = ""
+    seq = "" if row["seq"] == "*" else row["seq"]
+    codes = [_BASES.index(c) if c in _BASES else 15 for c in seq.upper()] + [0] * (len(seq) % 2)
+    qual = bytes(ord(c) - 33 for c in row["qual"]) if row["qual"] != "*" else b"\xff" * len(seq)
+    tags = b""
+    for tag in row["tags"]:
+        name, kind, value = tag.split(":", 2)
+        tags += name.encode() + (b"i" + struct.pack("<i", int(value)) if kind == "i" else b"Z" + value.encode() + b"\0")
+    name = row["query_name"].encode() + b"\0"
+    body = struct.pack(
+        "<iiBBHHHiiii", refs[row["ref"]], row["pos"], len(name), row["mapq"], _bin(row["pos"], row["pos"] + max(span, 1)), len(steps), row["flag"], len(seq), -1, -1, 0,
+    ) + name + struct.pack(f"<{len(steps)}I", *steps) + bytes(a << 4 | b for a, b in zip(codes[::2], codes[1::2], strict=True)) + qual + tags
+    return struct.pack("<i", len(body)) + body
+
+
+def header_text(references: list[tuple[str, int]]) -> str:
+    return "@HD\tVN:1.6\tSO:coordinate\n" + "".join(f"@SQ\tSN:{n}\tLN:{x}\n" for n, x in references)
+
+
+@dataclass
+class _Wrote(WriterCommitMessage):
+    path: str
+
+
+class _BamWriter(DataSourceArrowWriter):
+    """A whole file for each task, named only once every task is done."""
+
+    def __init__(self, folder: str, references: list) -> None:
+        self.folder, self.references = folder, references
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
+        text = header_text(self.references).encode()
+        head = b"BAM\1" + struct.pack("<i", len(text)) + text + struct.pack("<i", len(self.references))
+        for name, length in self.references:
+            head += struct.pack("<i", len(name) + 1) + name.encode() + b"\0" + struct.pack("<i", length)
+        refs = {"*": -1} | {n: i for i, (n, _) in enumerate(self.references)}
+        store, folder = located(self.folder)
+        path = f"{folder}/.part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}"
+        left = head
+        with store.open_output_stream(path, compression=None) as out:
+            for batch in iterator:
+                for row in batch.to_pylist():
+                    left += _encoded(row, refs)
+                    while len(left) >= 65280:
+                        out.write(_compressed(left[:65280]))
+                        left = left[65280:]
+            if left:
+                out.write(_compressed(left))
+            out.write(_compressed(b""))
+        return _Wrote(path)
+
+    def commit(self, messages: list) -> None:
+        store, _ = located(self.folder)
+        for i, m in enumerate(sorted(messages, key=lambda m: os.path.basename(m.path))):
+            store.move(m.path, f"{os.path.dirname(m.path)}/part-{i:05d}.bam")
+
+    def abort(self, messages: list) -> None:
+        store, _ = located(self.folder)
+        for m in messages:
+            if m is not None:
+                store.delete_file(m.path)
+
+
 class BamSource(DataSource):
-    """``files``: a JSON list of paths, one partition each."""
+    """``shares``: a JSON list of what the reader takes; with ``count`` where shares begin and end is all that is given."""
 
     @classmethod
     def name(cls) -> str:
         return "cellweave_bam"
 
     def schema(self) -> str:
-        return RAW
+        return RAW + ", align_ordinal long"
 
     def reader(self, schema) -> _BamReader:
-        return _BamReader(json.loads(self.options["files"]))
+        return _BamReader(json.loads(self.options["shares"]), "count" in self.options)
+
+    def writer(self, schema, overwrite: bool) -> _BamWriter:
+        return _BamWriter(self.options["path"], json.loads(self.options["references"]))
 
 
-def read_bam(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Mapped records of BAM files, in the columns of :func:`read_sam`."""
+#: Ordinals of one file's records begin a multiple of this.
+FILE = 1 << 40
+
+
+def _split(path: str, share: int) -> list[list]:
+    """[path, start, end, inner] of the shares of a file; one with end -1 if it has to be read as a whole."""
+    store, name = located(path)
+    with store.open_input_file(name) as file:
+        raw, size = io.BufferedReader(file, 1 << 16), file.size()
+        if size <= share or not _block_size(raw.peek(64)[:64]):
+            return [[path, 0, -1, 0]]
+        with opened(path) as stream:
+            _, left = _header(stream)
+        for start, data in _blocks(raw, 0):
+            if left < len(data):
+                break
+            left -= len(data)
+        else:
+            return [[path, 0, -1, 0]]
+        out = [[path, start, 0, left]]
+        for at in range(start + share, size, share):
+            block = _first_block(raw, at, size)
+            if out[-1][1] < block < size:
+                out[-1][2] = block
+                out.append([path, block, 0, -1])
+        out[-1][2] = size
+        return out
+
+
+def read_bam(spark: SparkSession, paths: list[str], share: int = SHARE) -> DataFrame:
+    """Mapped records of BAM files, in the columns of :func:`read_sam`, with ``align_ordinal`` a whole number.
+
+    A folder stands for the BAM files in it. The driver sees a count for each share of a file.
+    """
     prepare(spark).dataSource.register(BamSource)
-    return _typed(spark.read.format("cellweave_bam").option("files", json.dumps(paths)).load())
+    files = []
+    for path in paths:
+        store, name = located(path)
+        if exists(path) and not store.get_file_info(name).is_file:
+            scheme = path.split("://")[0] + "://" if "://" in path else ""
+            files += sorted(f"{scheme}{i.path}" for i in store.get_file_info(pa.fs.FileSelector(name)) if i.base_name.endswith(".bam"))
+        else:
+            files.append(path)
+    load: Callable = lambda shares: spark.read.format("cellweave_bam").option("shares", json.dumps(shares))
+    split = [_split(f, share) for f in files]
+    several = [[*s, 0] for shares in split if len(shares) > 1 for s in shares]
+    met: dict[tuple[str, int], tuple] = {}
+    if several:
+        for r in load(several).option("count", "1").load().select("query_name", "ref").collect():
+            start, *rest = json.loads(r["ref"])
+            met[r["query_name"], start] = tuple(rest)
+    out = []
+    for number, shares in enumerate(split):
+        base = number * FILE
+        if len(shares) > 1:
+            found = [met[s[0], s[1]] for s in shares]
+            if any(a[2] != b[1] for a, b in zip(found, found[1:], strict=False)):
+                out.append([shares[0][0], 0, -1, 0, base])
+                continue
+            for s, (n, begin, _) in zip(shares, found, strict=True):
+                if n:
+                    out.append([s[0], begin[0], s[2], begin[1], base])
+                base += n
+        else:
+            out.append([*shares[0], base])
+    return _typed(load(out).load())
 
 
-def write_sam(rows: DataFrame, folder: str) -> None:
-    """Headless SAM text by reference and position, ranges of which are what a task writes.
+def _tag_texts(rows: DataFrame) -> list[Column]:
+    """Tags as ``NAME:type:value``; a null tag is null."""
+    return [F.when(F.col(n).isNotNull(), F.concat(F.lit(f"{n.upper()}:{'i' if n == 'fl' else 'Z'}:"), F.col(n).cast("string"))) for n in TAGS if n in rows.columns]
 
-    Mate fields are left out (``*``, 0, 0); null tags too. An existing folder is an error.
+
+def coordinate_sorted(rows: DataFrame) -> DataFrame:
+    """Rows by reference, position, strand and their order before: ranges of them are what a task holds."""
+    order = [c for c in ("ref", "pos", "is_reverse", "align_ordinal", "query_name", "flag") if c in rows.columns]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def write_bam(rows: DataFrame, folder: str, references: list[tuple[str, int]]) -> None:
+    """``folder/part-*.bam`` in coordinate order, each a file of its own with the whole header.
+
+    ``references``: name and length of each, in the order that sorts them too. Mate fields are
+    left out. An existing folder is an error.
+    """
+    spark = prepare(rows.sparkSession)
+    spark.dataSource.register(BamSource)
+    if exists(folder):
+        raise FileExistsError(folder)
+    store, name = located(folder)
+    store.create_dir(name, recursive=True)
+    tags = F.filter(F.array(*_tag_texts(rows)), lambda t: t.isNotNull()).alias("tags")
+    number = F.create_map(*(x for i, (n, _) in enumerate(references) for x in (F.lit(n), F.lit(i)))) if references else F.create_map()
+    placed = rows.withColumns({"_name": F.col("ref"), "ref": number[F.col("ref")]})
+    names = [c.split()[0] for c in RAW.split(", ")][:-1]
+    ordered = coordinate_sorted(placed).drop("ref").withColumnRenamed("_name", "ref").select(*names, tags)
+    ordered.write.format("cellweave_bam").option("references", json.dumps(references)).mode("append").save(folder)
+
+
+def write_sam(rows: DataFrame, folder: str, references: list[tuple[str, int]] | None = None) -> None:
+    """SAM text in coordinate order, ranges of which are what a task writes.
+
+    With ``references`` (name and length) the first part is the header. Mate fields are left out
+    (``*``, 0, 0); null tags too. An existing folder is an error.
     """
-    tags = [F.when(F.col(n).isNotNull(), F.concat(F.lit(f"{n.upper()}:{'i' if n == 'fl' else 'Z'}:"), F.col(n).cast("string"))) for n in TAGS if n in rows.columns]
     text = lambda c: F.col(c).cast("string")
-    line = F.concat_ws("\t", "query_name", text("flag"), "ref", (F.col("pos") + 1).cast("string"), text("mapq"), "cigar", F.lit("*\t0\t0"), "seq", "qual", *tags)
-    ordered = rows.repartitionByRange("ref", "pos").sortWithinPartitions("ref", "pos", "query_name", "flag")
-    ordered.select(line.alias("value")).write.mode("errorifexists").text(folder)
+    line = F.concat_ws("\t", "query_name", text("flag"), "ref", (F.col("pos") + 1).cast("string"), text("mapq"), "cigar", F.lit("*\t0\t0"), "seq", "qual", *_tag_texts(rows))
+    lines = coordinate_sorted(rows).select(line.alias("value"))
+    if references:
+        head = rows.sparkSession.createDataFrame([(header_text(references).rstrip("\n"),)], "value string").coalesce(1)
+        lines = head.unionByName(lines)
+    lines.write.mode("errorifexists").text(folder)

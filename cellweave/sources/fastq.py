@@ -1,11 +1,13 @@
-"""Reads from FASTQ files, one partition for each file, and reads back into such files.
+"""Reads from FASTQ files, and reads back into such files.
 
-Records are numbered by their place in the file, which is what pairs mates. A gzipped file
-cannot be split, so a run's parallelism is its number of files.
+A read file is a file or a folder of parts. Files that are not gzipped are split by byte
+ranges, so one file is read by many tasks. Records are numbered by their place in the file,
+which is what pairs mates: where a file has several shares, their records are counted first.
 """
 
 from __future__ import annotations
 
+import io
 import json
 from collections.abc import Iterator
 from typing import BinaryIO
@@ -16,11 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from cellweave.session import prepare
-from cellweave.sources.files import opened
+from cellweave.sources import files as names
+from cellweave.sources.files import located, opened
 
 SCHEMA = "file_pair int, mate int, rec_idx long, read_id string, description string, seq string, qual string"
 _ARROW = pa.schema([("file_pair", pa.int32()), ("mate", pa.int32()), ("rec_idx", pa.int64()), *((n, pa.string()) for n in ("read_id", "description", "seq", "qual"))])
 ROWS, BYTES = 2000, 8 << 20
+#: Bytes of a share of a file.
+SHARE = 64 << 20
 
 
 def records(lines: BinaryIO) -> Iterator[tuple[str, str, str]]:
@@ -50,29 +55,112 @@ def records(lines: BinaryIO) -> Iterator[tuple[str, str, str]]:
         yield title[1:], seq, qual
 
 
-class _File(InputPartition):
-    def __init__(self, path: str, pair: int, mate: int) -> None:
-        super().__init__((path, pair, mate))
+def _plain(lines: list[bytes]) -> bool:
+    """Whether lines begin with a record of four lines."""
+    cut = [x.rstrip(b"\r\n") for x in lines[:4]]
+    return len(cut) == 4 and cut[0][:1] == b"@" and cut[2][:1] == b"+" and len(cut[1]) == len(cut[3])
+
+
+def first_record(stream: BinaryIO, start: int) -> int:
+    """Where the first record of four lines that begins at ``start`` or later begins.
+
+    A quality line may begin with ``@`` too, but then the line two after it is letters.
+    """
+    stream.seek(max(0, start - 1))
+    at = start
+    if start:
+        at += len(stream.readline()) - 1
+    window: list[bytes] = []
+    while True:
+        while len(window) < 4 and (line := stream.readline()):
+            window.append(line)
+        if len(window) < 4:
+            return at + sum(map(len, window))
+        if _plain(window):
+            return at
+        at += len(window.pop(0))
+
+
+def _in_range(stream: BinaryIO, start: int, end: int) -> Iterator[tuple[str, str, str]]:
+    """Records that begin in [start, end)."""
+    at, beyond = first_record(stream, start), first_record(stream, end)
+    stream.seek(at)
+    return records(io.BufferedReader(_Limited(stream, beyond - at), 1 << 20))
+
+
+class _Limited(io.RawIOBase):
+    """The next ``size`` bytes of a stream."""
+
+    def __init__(self, stream: BinaryIO, size: int) -> None:
+        self.stream, self.left = stream, size
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:  # type: ignore[override]
+        data = self.stream.read(min(len(buffer), self.left))
+        buffer[: len(data)] = data
+        self.left -= len(data)
+        return len(data)
+
+
+class _Share(InputPartition):
+    """A byte range (end -1: the whole file) whose first record has number ``base`` in its mate."""
+
+    def __init__(self, path: str, start: int, end: int, pair: int, mate: int, place: int, base: int) -> None:
+        super().__init__((path, start, end, pair, mate, place, base))
+
+
+def _shares(pairs: list[tuple[str, ...]], size: int) -> list[tuple]:
+    """(path, start, end, file_pair, mate, place): the shares of each mate in order."""
+    out = []
+    for pair, both in enumerate(pairs):
+        for mate, file in enumerate(both, 1):
+            place = 0
+            for path in names.parts(file):
+                store, name = located(path)
+                with store.open_input_file(name) as f:
+                    head, length = f.read(1 << 16), f.size()
+                ends = [(0, -1)]
+                if length > size and head[:2] != names.GZIP and _plain(head.split(b"\n")):
+                    ends = [(at, min(at + size, length)) for at in range(0, length, size)]
+                for start, end in ends:
+                    out.append((path, start, end, pair, mate, place))
+                    place += 1
+    return out
+
+
+def _of_share(path: str, start: int, end: int) -> Iterator[tuple[str, str, str]]:
+    if end < 0:
+        with opened(path) as stream:
+            yield from records(stream)
+    else:
+        store, name = located(path)
+        with store.open_input_file(name) as file:
+            yield from _in_range(io.BufferedReader(file, 1 << 20), start, end)  # type: ignore[arg-type]
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, files: list[list]) -> None:
-        self.files = files
+    def __init__(self, shares: list[list], only_count: bool) -> None:
+        self.shares, self.only_count = shares, only_count
 
     def partitions(self) -> list[InputPartition]:
-        return [_File(*f) for f in self.files]
+        return [_Share(*s) for s in self.shares]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        path, pair, mate = partition.value
+        path, start, end, pair, mate, place, base = partition.value
+        if self.only_count:
+            n = sum(1 for _ in _of_share(path, start, end))
+            yield self._batch([(pair, mate, n, str(place), "", "", "")])
+            return
         rows: list[tuple] = []
         size = 0
-        with opened(path) as stream:
-            for i, (title, seq, qual) in enumerate(records(stream)):
-                rows.append((pair, mate, i, title.split(None, 1)[0] if title.strip() else "", title, seq, qual))
-                size += len(title) + 2 * len(seq)
-                if len(rows) == ROWS or size > BYTES:
-                    yield self._batch(rows)
-                    rows, size = [], 0
+        for i, (title, seq, qual) in enumerate(_of_share(path, start, end), base):
+            rows.append((pair, mate, i, title.split(None, 1)[0] if title.strip() else "", title, seq, qual))
+            size += len(title) + 2 * len(seq)
+            if len(rows) == ROWS or size > BYTES:
+                yield self._batch(rows)
+                rows, size = [], 0
         if rows:
             yield self._batch(rows)
 
@@ -82,7 +170,7 @@ class _Reader(DataSourceReader):
 
 
 class FastqSource(DataSource):
-    """``files``: a JSON list of [path, file_pair, mate]."""
+    """``shares``: a JSON list of what :class:`_Share` takes; with ``count`` their sizes are all that is given."""
 
     @classmethod
     def name(cls) -> str:
@@ -92,16 +180,30 @@ class FastqSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> _Reader:
-        return _Reader(json.loads(self.options["files"]))
+        return _Reader(json.loads(self.options["shares"]), "count" in self.options)
 
 
-def read(spark: SparkSession, pairs: list[tuple[str, ...]]) -> DataFrame:
-    """(file_pair, mate, rec_idx, read_id, description, seq, qual) of pairs of files, mates numbered from 1."""
+def read(spark: SparkSession, pairs: list[tuple[str, ...]], share: int = SHARE) -> DataFrame:
+    """(file_pair, mate, rec_idx, read_id, description, seq, qual) of pairs of files, mates numbered from 1.
+
+    No files at all are an error; files without records give no rows. The driver sees one
+    count for each share of a file.
+    """
     prepare(spark).dataSource.register(FastqSource)
-    files = [[path, i, mate] for i, pair in enumerate(pairs) for mate, path in enumerate(pair, 1)]
-    if not files:
-        return spark.createDataFrame([], SCHEMA)
-    return spark.read.format("cellweave_fastq").option("files", json.dumps(files)).load()
+    shares = _shares(pairs, share)
+    if not shares:
+        raise ValueError("no read files")
+    load = lambda with_base: spark.read.format("cellweave_fastq").option("shares", json.dumps(with_base))
+    base = [0] * len(shares)
+    several = [i for i, s in enumerate(shares) if s[5]]
+    if several:
+        mates = {shares[i][3:5] for i in several}
+        counted = [(*s, 0) for s in shares if s[3:5] in mates]
+        found = {(r["file_pair"], r["mate"], int(r["read_id"])): r["rec_idx"] for r in load(counted).option("count", "1").load().collect()}
+        for i in several:
+            pair, mate, place = shares[i][3:]
+            base[i] = base[i - 1] + found[pair, mate, place - 1]
+    return load([(*s, b) for s, b in zip(shares, base, strict=True)]).load()
 
 
 def entry() -> Column:
@@ -110,8 +212,9 @@ def entry() -> Column:
 
 
 def write(reads: DataFrame, folder: str, name: str = "name") -> None:
-    """Files ``folder/name=.../part-*`` that hold, in the order of their names, records by ``rec_idx``.
+    """Read files ``folder/name=.../part-*`` that hold, in the order of their names, records by ``rec_idx``.
 
+    Such a folder can be read by :func:`cellweave.sources.files.paired` and :func:`read`.
     Ranges of records, not whole files, are what a task writes. An existing folder is an error.
     """
     ranged = reads.repartitionByRange(name, "rec_idx").sortWithinPartitions(name, "rec_idx")

@@ -10,7 +10,9 @@ from typing import BinaryIO
 import pyarrow.fs as pafs
 
 SUFFIXES = tuple(s + z for s in (".fastq", ".fq", ".txt") for z in ("", ".gz"))
-_GZIP = b"\x1f\x8b"
+GZIP = b"\x1f\x8b"
+#: A folder of parts that stands for one read file is named by Spark's way to write it.
+NAMED = "name="
 
 
 def located(path: str) -> tuple[pafs.FileSystem, str]:
@@ -21,7 +23,7 @@ def opened(path: str) -> BinaryIO:
     """A buffered stream of ``path``, unzipped if its first bytes (not its name) say so."""
     store, name = located(path)
     with store.open_input_file(name) as f:
-        zipped = f.read(2) == _GZIP
+        zipped = f.read(2) == GZIP
     raw = store.open_input_stream(name, compression=None)
     return io.BufferedReader(gzip.GzipFile(fileobj=raw) if zipped else raw, 1 << 20)  # type: ignore[arg-type]
 
@@ -37,14 +39,33 @@ def difference_positions(a: str, b: str) -> list[int]:
 
 def prefix(path: str) -> str:
     """A file's name without folder, ``.gz`` and one extension."""
-    return os.path.splitext(os.path.basename(path.removesuffix(".gz")))[0]
+    return os.path.splitext(os.path.basename(path.removesuffix(".gz")).removeprefix(NAMED))[0]
 
 
-def paired(folder: str) -> list[tuple[str, str]]:
-    """Neighbours of the sorted read files of ``folder``; an odd file or names that do not pair are errors."""
+def _listed(folder: str) -> list[pafs.FileInfo]:
     store, name = located(folder)
+    return store.get_file_info(pafs.FileSelector(name))
+
+
+def parts(path: str) -> list[str]:
+    """The files that make up a read file: itself, or the parts in its folder by name."""
+    store, name = located(path)
+    if store.get_file_info(name).type != pafs.FileType.Directory:
+        return [path]
+    scheme = path.split("://")[0] + "://" if "://" in path else ""
+    return sorted(f"{scheme}{i.path}" for i in _listed(path) if i.is_file and i.base_name.startswith("part-"))
+
+
+def paired(folder: str) -> list[tuple[str, str]]:
+    """Neighbours of the sorted read files of ``folder``.
+
+    A read file is a file with one of ``SUFFIXES``, or a folder ``name=...`` of parts. No read
+    files, an odd number of them, and names that do not pair are errors.
+    """
     scheme = folder.split("://")[0] + "://" if "://" in folder else ""
-    found = sorted(f"{scheme}{i.path}" for i in store.get_file_info(pafs.FileSelector(name)) if i.is_file and i.base_name.endswith(SUFFIXES))
+    found = sorted(f"{scheme}{i.path}" for i in _listed(folder) if (i.base_name.endswith(SUFFIXES) if i.is_file else i.base_name.startswith(NAMED)))
+    if not found:
+        raise ValueError(f"no read files in {folder}")
     if len(found) % 2:
         raise ValueError(f"an odd number of read files in {folder}")
     pairs = list(zip(found[::2], found[1::2], strict=True))
@@ -52,3 +73,21 @@ def paired(folder: str) -> list[tuple[str, str]]:
         if not names_pair(a, b):
             raise ValueError(f"files do not pair: {a} {b}")
     return pairs
+
+
+def read_text(path: str) -> str:
+    """A small text file, gzipped or not, of any file system."""
+    with opened(path) as stream:
+        return stream.read().decode()
+
+
+def exists(path: str) -> bool:
+    store, name = located(path)
+    return store.get_file_info(name).type != pafs.FileType.NotFound
+
+
+def write_text(path: str, text: str) -> None:
+    store, name = located(path)
+    store.create_dir(os.path.dirname(name), recursive=True)
+    with store.open_output_stream(name, compression=None) as out:
+        out.write(text.encode())
