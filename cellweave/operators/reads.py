@@ -66,10 +66,12 @@ def score_thresholds(scores: DataFrame, last: int = SAMPLE) -> DataFrame:
 def judged(scores: DataFrame, last: int = SAMPLE) -> DataFrame:
     """Records with ``passes``: whether they reach their file's threshold; a file without a sample lets all pass.
 
-    There is one threshold for each pair of files, which is what is sent to every task.
+    There is one threshold for each pair of files, which is what is sent to every task. Sums of
+    many scores are not exact: a score that misses the threshold by a billionth passes, so that
+    scores that are all equal do.
     """
     found = scores.join(F.broadcast(score_thresholds(scores, last)), "file_pair", "left")
-    return found.withColumn("passes", F.col("threshold").isNull() | (F.col("score") >= F.col("threshold"))).drop("threshold")
+    return found.withColumn("passes", F.col("threshold").isNull() | (F.col("score") >= F.col("threshold") - 1e-9)).drop("threshold")
 
 
 def passing(scores: DataFrame, last: int = SAMPLE) -> DataFrame:

@@ -48,3 +48,26 @@ READS = f"SELECT read_no AS rec_idx, file_pair, cr || '{LINKER}' || ur || {dna('
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(READS.replace("FROM aln", "FROM {aln}"), aln=alignments(spark, sf_dir))
+
+
+#: A second constant, of another length, and barcodes of a second list.
+OTHER_LINKER = "CCGTTGGACCATG"
+_SECOND = f"({dna('(event_id % 13) + 1000', 3)} || 'CAGTC')"
+
+#: Two mates for each event, in two pairs of files. ``kind`` tells what was done to the parts: 0
+#: nothing, 1 a letter of the linker gone, 2 one put into it, 3 a letter of the barcode gone, 4
+#: the other linker, 5 (in the table of mates also 6 to 9: nothing) a letter of the linker exchanged.
+KINDS = f"""
+SELECT read_no, cast(read_no % 2 as int) AS file_pair, cast(floor(read_no / 2) as bigint) AS rec_idx, 'r' || lpad(cast(read_no as string), 12, '0') AS name, kind, cb, cr, ur, second, seconds,
+  CASE WHEN kind = 3 THEN substr(cr,1,3) || substr(cr,5) ELSE cr END AS raw,
+  CASE kind WHEN 1 THEN 'GATTAAGATC' WHEN 2 THEN 'GATCTACAGATC' WHEN 4 THEN '{OTHER_LINKER}' WHEN 5 THEN 'GATTATAGATC' ELSE '{LINKER}' END AS linker,
+  {dna("read_no", 30)} AS tail, {dna("read_no + 77777", 25)} AS other
+FROM (SELECT read_no, cb, cr, CASE WHEN length(ur) = 6 THEN ur ELSE ur || 'C' END AS ur, read_no % 10 AS kind,
+  {_SECOND.replace("event_id", "read_no")} AS second,
+  CASE WHEN read_no % 5 = 0 THEN substr({_SECOND.replace("event_id", "read_no")},1,2) || substr({_SECOND.replace("event_id", "read_no")},4) ELSE {_SECOND.replace("event_id", "read_no")} END AS seconds
+  FROM aln)
+"""
+
+
+def kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(KINDS.replace("FROM aln", "FROM {aln}"), aln=alignments(spark, sf_dir))

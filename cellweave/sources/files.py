@@ -16,6 +16,8 @@ NAMED = "name="
 
 
 def located(path: str) -> tuple[pafs.FileSystem, str]:
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = path[5:]
     return pafs.FileSystem.from_uri(path if "://" in path else os.path.abspath(path))
 
 

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from cellweave.jobs.registry import ORACLE_SQL, QUERIES
+from cellweave.jobs.file_registry import ORACLE_SQL, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 
