@@ -2,11 +2,10 @@
 
 Lengths of all pieces form a histogram of at most ``size`` rows. A configuration linear program
 over it (how often to use each multiset of lengths that fits one sequence) is solved by
-multiplicative weights: dual prices start in proportion to length, a knapsack dynamic program
-over all lengths prices the best configuration, and prices of what has been covered fall. The
-solution is rounded down, what is left goes best-fit by decreasing length on the histogram.
-Pieces find their places through their rank among pieces of one length, so no piece list
-ever passes through the driver or one task.
+multiplicative weights with a knapsack dynamic program as its pricing, which also gives a lower
+bound. The solution is rounded down, and what is left goes best-fit by decreasing length, on the
+histogram. Pieces find their places through their rank among pieces of one length, so no piece
+list ever passes through the driver or one task.
 """
 
 from __future__ import annotations
@@ -112,67 +111,94 @@ def pieces(docs: DataFrame, size: int = SIZE, encoder: Callable[[], Callable[[st
 # ---------------------------------------------------------------- the plan
 
 
-def best_configuration(lengths: np.ndarray, value: np.ndarray, size: int) -> dict[int, int]:
-    """The multiset of lengths of the greatest value that fits ``size``: an unbounded knapsack.
+def knapsack(value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each room the greatest value of a multiset of lengths that fits, and a length in it (0: a place left empty).
 
-    ``lengths`` ascend. Returns how often each index is used.
+    ``value[x]`` is the price of length x, -inf where there is none; each length may be used any
+    number of times.
     """
-    best = np.zeros(size + 1)
-    took = np.full(size + 1, -1)
-    upto = np.searchsorted(lengths, np.arange(size + 1), "right")
+    size = len(value) - 1
+    best, took = np.zeros(size + 1), np.zeros(size + 1, np.int64)
     for room in range(1, size + 1):
-        best[room], took[room] = best[room - 1], -1
-        k = upto[room]
-        if k:
-            total = best[room - lengths[:k]] + value[:k]
-            i = int(total.argmax())
-            if total[i] > best[room]:
-                best[room], took[room] = total[i], i
+        total = best[room - 1 :: -1][:room] + value[1 : room + 1]
+        x = int(total.argmax())
+        if total[x] > best[room - 1]:
+            best[room], took[room] = total[x], x + 1
+        else:
+            best[room] = best[room - 1]
+    return best, took
+
+
+def _contents(took: np.ndarray, room: int) -> dict[int, int]:
     out: dict[int, int] = {}
-    room = size
     while room > 0:
-        i = int(took[room])
-        if i < 0:
-            room -= 1
-        else:
-            out[i] = out.get(i, 0) + 1
-            room -= int(lengths[i])
+        x = int(took[room])
+        if x:
+            out[x] = out.get(x, 0) + 1
+        room -= x or 1
     return out
 
 
-def configuration_lp(histogram: dict[int, int], size: int = SIZE, rounds: int = 250, rate: float = 3.0) -> list[tuple[dict[int, int], float]]:
-    """Configurations (length -> times) and how often to use each, by multiplicative weights.
+def configuration_lp(histogram: dict[int, int], size: int = SIZE, rounds: int = 10, steps: int = 16, rate: float = 5.0, near: float = 0.03) -> tuple[list[tuple[dict[int, int], float]], float]:
+    """Configurations (length -> times) with how often to use each, and a lower bound of the optimum.
 
-    Every round prices lengths, takes the best configuration and uses it until half of what
-    is left of its scarcest length is covered. Lengths of which less than one piece is left
-    have no value any more.
+    Multiplicative weights: a length's price is its size times a weight that falls exponentially
+    with the share of its pieces covered. In each round every length is to be covered by one more
+    ``rounds``-th of its pieces. A dynamic program prices the best configuration, alone and with
+    each single length in it; those worth nearly as much are used, the least covered lengths'
+    first, until one of their lengths is a round ahead, which then has no value for the round's
+    next pricings. Prices over the best configuration's worth are a feasible dual solution, so
+    the pieces' total price over it bounds the optimum. It ends early where no length can be
+    covered further.
     """
     lengths = np.array(sorted(histogram))
     demand = np.array([histogram[x] for x in lengths], float)
+    place = np.zeros(size + 1, np.int64)
+    place[lengths] = np.arange(len(lengths))
     covered = np.zeros(len(lengths))
     used: dict[tuple, float] = {}
-    for _ in range(rounds):
-        left = demand - covered
-        open_ = left >= 1
-        if not open_.any():
-            break
-        weight = np.exp(-rate * covered / demand)
-        value = np.where(open_, lengths * weight / weight[open_].max(), 0.0)
-        keep = np.flatnonzero(value > 0)
-        chosen = {int(keep[i]): n for i, n in best_configuration(lengths[keep], value[keep], size).items()}
-        chosen = {i: min(n, int(left[i])) for i, n in chosen.items()}
-        step = min(left[i] / n for i, n in chosen.items())
-        step = step if step < 2 else step / 2
-        for i, n in chosen.items():
-            covered[i] += n * step
-        key = tuple(sorted((int(lengths[i]), n) for i, n in chosen.items()))
-        used[key] = used.get(key, 0.0) + step
-    return [(dict(k), x) for k, x in used.items()]
-
-
-def best_fit(histogram: dict[int, int], size: int = SIZE) -> list[tuple[dict[int, int], int]]:
-    """Best-fit by decreasing length, on counts: sequences with equal contents are one entry."""
+    bound = 0.0
+    for turn in range(1, rounds + 1):
+        goal, most = demand * turn / rounds, np.minimum(demand, demand * (turn + 1) / rounds)
+        for step in range(steps):
+            open_ = most - covered > 1e-9 * demand
+            if not (covered < goal * (1 - 1e-9)).any():
+                break
+            price = lengths * np.exp(rate * (turn / rounds - covered / demand))
+            value = np.full(size + 1, -np.inf)
+            value[lengths[open_]] = price[open_]
+            best, took = knapsack(value)
+            if step == 0 and open_.all():
+                bound = max(bound, float(demand @ price / best[size]))
+            good = np.flatnonzero(open_ & (covered < goal) & (price + best[size - lengths] >= best[size] * (1 - near)))
+            moved = False
+            for i in good[np.argsort((covered / demand)[good], kind="stable")]:
+                if covered[i] >= goal[i]:
+                    continue
+                contents = _contents(took, size - int(lengths[i]))
+                contents[int(lengths[i])] = contents.get(int(lengths[i]), 0) + 1
+                at, times = place[list(contents)], np.array(list(contents.values()))
+                amount = float(((most[at] - covered[at]) / times).min())
+                if amount > 1e-9:
+                    covered[at] += times * amount
+                    key = tuple(sorted(contents.items()))
+                    used[key] = used.get(key, 0.0) + amount
+                    moved = True
+            if not moved:
+                break
+    return [(dict(k), x) for k, x in used.items()], bound
+
+
+def best_fit(histogram: dict[int, int], size: int = SIZE, opened: list[tuple[dict[int, int], int]] | None = None) -> list[tuple[dict[int, int], int]]:
+    """Best-fit by decreasing length, on counts: sequences with equal contents are one entry.
+
+    ``opened`` sequences are there from the start, and are filled like all others.
+    """
     room: dict[int, dict[tuple, int]] = {}
+    for contents, count in opened or []:
+        at = room.setdefault(size - sum(x * n for x, n in contents.items()), {})
+        key = tuple(sorted(contents.items()))
+        at[key] = at.get(key, 0) + count
     for length in sorted(histogram, reverse=True):
         left = histogram[length]
         while left > 0:
@@ -201,18 +227,47 @@ def best_fit(histogram: dict[int, int], size: int = SIZE) -> list[tuple[dict[int
     return [(dict(k), n) for at in room.values() for k, n in at.items()]
 
 
-def plan(histogram: dict[int, int], size: int = SIZE) -> list[tuple[dict[int, int], int]]:
+#: A configuration of the program is kept where it fills this share of a sequence; the least of the plans is taken.
+FILLS = (1.0, 0.996, 0.0)
+
+
+@dataclass(frozen=True)
+class Plan:
     """Configurations and whole counts that hold every piece of the histogram exactly once."""
-    left = dict(histogram)
-    out: list[tuple[dict[int, int], int]] = []
-    for contents, times in sorted(configuration_lp(histogram, size), key=lambda x: -x[1]) if histogram else ():
-        whole = min([int(times + 1e-9), *(left[x] // n for x, n in contents.items())])
-        # a configuration that leaves room is better filled by best fit
-        if whole and sum(x * n for x, n in contents.items()) >= size - size // 256:
-            out.append((contents, whole))
-            for x, n in contents.items():
-                left[x] -= n * whole
-    return out + best_fit({x: n for x, n in left.items() if n}, size)
+
+    configurations: list[tuple[dict[int, int], int]]
+    #: Sequences that the linear program begins, and a lower bound of their least number.
+    from_program: int
+    bound: int
+
+    @property
+    def sequences(self) -> int:
+        return sum(n for _, n in self.configurations)
+
+
+def plan(histogram: dict[int, int], size: int = SIZE) -> Plan:
+    """The linear program's solution rounded down, with what is left placed by best fit, in its gaps too.
+
+    Rounding and approximation may cost more than the program gains where best fit alone is
+    nearly optimal, so that is the last of the plans compared. None uses more sequences than it.
+    """
+    if not histogram:
+        return Plan([], 0, 0)
+    configurations, dual = configuration_lp(histogram, size)
+    bound = max(-(-sum(x * n for x, n in histogram.items()) // size), int(np.ceil(dual * (1 - 1e-9))))
+    plans = []
+    for least in FILLS:
+        left, begun = dict(histogram), []
+        for contents, times in sorted(configurations, key=lambda c: -c[1]):
+            whole = min([int(times + 1e-9), *(left[x] // n for x, n in contents.items())])
+            if whole and sum(x * n for x, n in contents.items()) >= least * size:
+                begun.append((contents, whole))
+                for x, n in contents.items():
+                    left[x] -= n * whole
+        filled = best_fit({x: n for x, n in left.items() if n}, size, begun)
+        plans.append(Plan(filled, sum(n for _, n in begun), bound))
+    plans.append(Plan(best_fit(histogram, size), 0, bound))
+    return min(plans, key=lambda p: (p.sequences, -p.from_program))
 
 
 @dataclass(frozen=True)
@@ -254,13 +309,15 @@ def pack(made: DataFrame, size: int = SIZE) -> DataFrame:
 
     The driver sees one count for each length; the configurations it sends back depend on the
     histogram's support only. Ranks come from counts by task and length, so a length that a
-    third of all pieces share is ranked by many tasks.
+    third of all pieces share is ranked by many tasks. Spark sends these counts to every task
+    only where they are smaller than its broadcast limit; else both sides are dealt by length
+    and task, which splits the hot length too.
     """
     spark = made.sparkSession
     counts = made.groupBy("length", "task").agg(F.count("*").alias("n"))
     counts = written(counts, "piece-counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    shared = spark.sparkContext.broadcast(places(plan(histogram, size)))
+    shared = spark.sparkContext.broadcast(places(plan(histogram, size).configurations))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     ranked = made.join(first, ["length", "task"]).withColumn("rank", F.col("first") + F.col("local")).drop("task", "local", "first")
@@ -282,7 +339,8 @@ def pack_documents(docs: DataFrame, size: int = SIZE, with_ids: bool = False) ->
     """Pack the tokens of every whole text; ``with_ids`` returns the ids of each piece too.
 
     Repeated rows are packed each for itself; a null or empty text is the end id alone; an
-    empty table gives no rows.
+    empty table gives no rows. A null id stays null. Very long texts are cut into pieces of the
+    full size. Only ``doc_id`` and ``text`` are read, so other columns' names do not matter.
     """
     made = written(pieces(docs, size, with_ids=with_ids), "pieces")
     packed = pack(made, size)

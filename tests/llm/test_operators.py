@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -38,18 +39,59 @@ def test_packing_places_every_piece_once(spark, odd):
     assert packing.pack_documents(odd.where("false")).collect() == []
 
 
-def test_plan_is_near_the_lower_bound():
+def drawn(name):
     rng = np.random.default_rng(1)
-    lengths = np.clip(rng.lognormal(6, 1, 20000), 1, 2048).astype(int)
+    return {
+        "lognormal": lambda: np.clip(rng.lognormal(6, 1, 20000), 1, 2048).astype(int), "uniform": lambda: rng.integers(1, 2049, 20000),
+        "three a sequence": lambda: rng.integers(300, 901, 50000), "thirds and halves": lambda: np.concatenate([rng.integers(600, 720, 9000), rng.integers(980, 1070, 7000)]),
+        "few": lambda: np.array([2048, 2048, 1, 5, 1500]), "one": lambda: np.array([7]),
+    }[name]()
+
+
+@pytest.mark.parametrize("name,most", [("lognormal", 1.0005), ("uniform", 1.006), ("three a sequence", 1.008), ("thirds and halves", 1.03), ("few", 1), ("one", 1)])
+def test_plan_is_near_the_lower_bound_and_no_worse_than_best_fit(name, most):
+    lengths = drawn(name)
     histogram = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True)), strict=True))
     made = packing.plan(histogram)
     held: dict[int, int] = {}
-    for contents, n in made:
+    for contents, n in made.configurations:
         assert sum(x * k for x, k in contents.items()) <= 2048
         for x, k in contents.items():
             held[x] = held.get(x, 0) + k * n
     assert held == histogram
-    assert sum(n for _, n in made) <= 1.01 * lengths.sum() / 2048 + 1
+    assert -(-lengths.sum() // 2048) <= made.bound <= made.sequences <= most * made.bound + 1
+    assert made.sequences <= sum(n for _, n in packing.best_fit(histogram))
+
+
+def test_the_dual_bound_sees_what_sizes_do_not():
+    # two of them never fit together, which the sum of sizes cannot tell
+    assert packing.plan({1100: 50}).bound == packing.plan({1100: 50}).sequences == 50
+    assert packing.plan({}).configurations == []
+
+
+def test_knapsack_equals_trying_all():
+    rng = np.random.default_rng(3)
+    value = np.full(31, -np.inf)
+    value[[3, 5, 8, 13]] = rng.random(4) * [3, 5, 8, 13]
+    best, took = packing.knapsack(value)
+    for room in range(31):
+        tried = max(sum(n * value[x] for n, x in zip(c, (3, 5, 8, 13), strict=True)) for c in itertools.product(range(11), range(7), range(4), range(3)) if sum(n * x for n, x in zip(c, (3, 5, 8, 13), strict=True)) <= room)
+        inside = packing._contents(took, room)
+        assert abs(best[room] - tried) < 1e-9 and abs(sum(n * value[x] for x, n in inside.items()) - tried) < 1e-9
+
+
+def test_packed_ids_equal_the_library():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    library.no_truncation()
+    library.no_padding()
+    encode, rng = packing.tokenizer(), random.Random(9)
+    letters = "aàbcdeEÉ  .'strmvl0123½ßΣİ日<|>\x1c\x85\xa0​\t\ń\r\U0001f600"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(700)] + ["<|endoftext|>", "x <|endoftext|>y", "", " " * 300, "it's we'll I'M"]
+    for text in texts:
+        assert list(encode(text)) == library.encode(text, add_special_tokens=False).ids
 
 
 def test_bpe_equals_the_library(spark, odd):
