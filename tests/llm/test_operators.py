@@ -231,3 +231,58 @@ obtaining a copy of this software and associated documentation files"""
     want |= {"three": (3, 2, "GPL-3.0,MIT"), "rights": (1, 1, "proprietary"), "both": (1, 1, "CC-BY,MIT")}
     got = {r.doc_id: (r.n_paragraphs, r.n_licences, r.families) for r in licences.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
     assert got == want
+
+
+NOTICES = {
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.": "GPL-2.0",
+    "This library is free software; it is under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.": "LGPL-2.1",
+    "Text is licensed under CC BY-SA 4.0": "CC-BY-SA", "Licensed under CC BY 4.0": "CC-BY", "Licensed under CC BY-NC 4.0": "CC-BY-NC", "Licensed under CC BY-NC-SA 4.0": "CC-BY-NC-SA",
+    "licensed under a Creative Commons Attribution-ShareAlike license": "CC-BY-SA", "// SPDX-License-Identifier: MIT": "MIT", "# SPDX-License-Identifier: GPL-2.0-only": "GPL-2.0", "SPDX-License-Identifier: LGPL-3.0-or-later": "LGPL-3.0",
+    "SPDX-License-Identifier: EPL-2.0": "EPL-2.0", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007": "GPL-3.0", "licensed under the Eclipse Public License, version 2.0": "EPL-2.0",
+    "Redistributions of source code must retain the above copyright notice, this list of\nconditions and the following disclaimer.": "BSD", "Copyright 2019 by the company. All rights reserved.": "proprietary",
+    "GNU General Public License": "", "it under the terms of the GNU General Public License as published by": "", "a license of the city": "", "SPDX-License-Identifier: NOASSERTION": "",
+}
+
+
+def test_licences_of_near_families(spark):
+    rows = list(enumerate(NOTICES))
+    got = {r.doc_id: r.families for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {t: got[i] for i, t in rows} == NOTICES
+
+
+def test_licences_equal_a_plain_scorer_of_all_passages(spark):
+    """Without anchors, dictionaries instead of joins: leaving out passages changes nothing."""
+    families, weights, bias, threshold = licences.train()
+
+    def plain(passage):
+        grams = licences.grams_of(passage)
+        p = licences._softmax((bias + sum((weights[g] for g in sorted(grams) if g in weights), np.zeros(len(families))))[None])[0]
+        found: dict[str, float] = {}
+        for family, text in licences.templates():
+            own = licences.grams_of(text)
+            if own & grams & set(licences.anchors()):
+                found[family] = max(found.get(family, 0), len(own & grams) / len(own))
+        best = families[int(p.argmax())]
+        sure = p.max() >= threshold and found.get(best, 0) >= licences.CONFIRM and all(found[best] > x for f, x in found.items() if f != best)
+        return best if sure and best != licences.UNKNOWN else None
+
+    rng = random.Random(5)
+    parts = [*NOTICES, "words that mean nothing here", "under version 2", "\n\n", "\n", "\n \n", "* ", "é", "All rights", "reserved", "CC BY", "-SA 4.0", "the MIT", "License"]
+    rows = [(i, " ".join(rng.choice(parts) for _ in range(rng.randint(0, 9)))) for i in range(120)] + [(200, "w " * 3000 + "Released under the MIT License " + "w " * 3000)]
+    got = {r.doc_id: (r.n_paragraphs, r.n_licences, r.families) for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string").withColumn("passage", F.lit(1)).withColumn("n", F.lit(1))).collect()}
+    for i, text in rows:
+        every = [p for p in re.split(r"\n\s*\n", text) if re.search("[A-Za-z0-9]", p)]
+        each = []
+        for paragraph in every:
+            words = re.findall(licences.WORD, paragraph.lower())
+            seen = [*paragraph.split("\n"), *(" ".join(words[k : k + licences.WINDOW]) for k in range(0, len(words), licences.STEP))]
+            each.append({f for f in map(plain, seen) if f})
+        assert got[i] == (len(every), sum(map(bool, each)), ",".join(sorted(set().union(*each)))), text
+
+
+def test_licences_of_repeated_and_null_rows(spark):
+    rows = [(1, "Released under the MIT License."), (1, "Released under the MIT License."), (1, None), (None, "All rights reserved."), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id is None, r.n_paragraphs, r.n_licences, r.families) for r in licences.scan(df).collect())
+    assert got == [(False, 0, 0, ""), (False, 1, 1, "MIT"), (False, 1, 1, "MIT"), (True, 0, 0, ""), (True, 1, 1, "proprietary")]
+    assert licences.scan(df.where("false")).collect() == []
