@@ -7,8 +7,10 @@ with any others is done with. Lists are merged in two steps. First
 each set meets a few hubs of its lists only; sets that turn out linked through hubs share a
 component and need not meet again, which keeps a group of many near copies linear. Sets of
 lists that still hold several components are posted anew under their rarest shingles, and all
-pairs that meet there in different components are merged. Pairs met under coordinates skip on
-when fewer than ``T`` agree; all others are confirmed on their full sets.
+pairs that meet there in different components are merged. Of every pair met, the coordinates on
+which both signatures agree are counted; pairs skip on when fewer than ``T`` do, and all others
+are confirmed on their full sets. A list of many sets is dealt over several tasks, and its sets
+meet tile by tile.
 
 Texts with equal sets are one class from the start, so copies are never paired.
 """
@@ -24,14 +26,16 @@ from pyspark.sql import functions as F
 
 from cellweave.llm.batches import map_texts
 from cellweave.llm.textkit import Texts, chunks, mixed
+from cellweave.operators import components as graph
+from cellweave.operators import skew
 from cellweave.session import prepare, written
 
 WORDS = 5
 #: Links: 100 * intersection >= SHARE * union.
 SHARE = 75
-#: Coordinates of a signature, and how many must agree. At a similarity of 0.75 fewer than
-#: 76 of 128 agree about once in 50,000 pairs; above it sooner never.
-K, T = 128, 76
+#: Coordinates of a signature, and how many must agree. At a similarity of exactly 0.75 fewer
+#: than 64 of 128 agree about once in three billion pairs; above it sooner never.
+K, T = 128, 64
 #: Signatures that agree on T coordinates have so many pairs in common among their first PREFIX.
 SHARED = 12
 PREFIX = K - T + SHARED
@@ -93,7 +97,6 @@ def _signed(texts: list[str | None]) -> dict[str, list]:
     return out
 
 
-
 def _signatures(column: pa.Array) -> np.ndarray:
     joined = b"".join(column.to_pylist())
     return np.frombuffer(joined, np.uint32).reshape(-1, K)
@@ -219,39 +222,23 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(id, component) for each id of ``edges`` (a, b): the smallest id reachable.
+    """(id, component) for each id of ``edges`` (a, b) that is linked to a smaller one: the smallest id reachable."""
+    found = graph.components(edges.select(F.col("a").alias("v"), F.col("b").alias("u")))
+    return found.select(F.col("v").alias("id"), F.col("u").alias("component"))
 
-    Alternates two steps until nothing changes: every vertex hands its smallest neighbour to its
-    larger ones, then to its smaller ones. Trees flatten into stars in few rounds, whatever
-    their shape, and minima are pre-aggregated, so a hub's neighbours are never gathered.
-    """
-    edges = written(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).where("u <> v").distinct(), "edges")
-    state = None
-    while True:
-        both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        least = both.groupBy("v").agg(F.min("u").alias("m")).withColumn("m", F.least("v", "m"))
-        large = both.where("u > v").join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("u <> v").distinct()
-        least = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = large.join(least, "v")
-        small = small.select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(least.select("v", F.col("m").alias("u")))
-        edges = written(small.where("u <> v").distinct(), "stars")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            return edges.groupBy(F.col("v").alias("id")).agg(F.min("u").alias("component"))
-        state = now
-
-
-def _open(lists: DataFrame, found: DataFrame | None) -> tuple[DataFrame, int, int]:
-    """Lists that still hold sets of several components, their number and their pairs of such sets."""
+
+def _open(lists: DataFrame, found: DataFrame | None) -> tuple[DataFrame, DataFrame, int, int]:
+    """Lists that still hold sets of several components, (key, m) with their sizes, their number and their pairs of such sets."""
     if found is None:
         current = lists.withColumn("component", F.col("id"))
     else:
         current = lists.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     members = current.groupBy("key", "component").agg(F.count("*").alias("m"))
     per_key = members.groupBy("key").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"), F.count("*").alias("parts")).where("parts > 1")
-    per_key = written(per_key.select("key", ((F.col("m") * F.col("m") - F.col("mm")) / 2).cast("long").alias("pairs")), "open-lists")
+    per_key = written(per_key.select("key", "m", ((F.col("m") * F.col("m") - F.col("mm")) / 2).cast("long").alias("pairs")), "open-lists")
     total = per_key.agg(F.sum("pairs").alias("pairs"), F.count("*").alias("n")).first()
-    return written(current.join(per_key.select("key"), "key", "left_semi"), "open-postings"), total["n"], total["pairs"] or 0
+    sizes = per_key.select("key", "m")
+    return written(skew.split_join(current, sizes, ["key"], "m").drop("m"), "open-postings"), sizes, total["n"], total["pairs"] or 0
 
 
 def _busy(lists: DataFrame) -> DataFrame:
@@ -260,8 +247,9 @@ def _busy(lists: DataFrame) -> DataFrame:
 
 
 def _several(lists: DataFrame) -> DataFrame:
-    """Rows of lists that hold more than one set."""
-    return lists.join(lists.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"), "key", "left_semi")
+    """Rows of lists that hold more than one set, with the list's size as ``m``."""
+    sizes = written(lists.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "list-sizes")
+    return skew.split_join(lists, sizes, ["key"], "m")
 
 
 def _enough(support: str, a: str, b: str):
@@ -303,13 +291,12 @@ def rare_postings(lists: DataFrame, sets: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(made, names=["key", "id", "n"])
 
     rows = sets.join(ids, "id", "left_semi").select("id", "shingles").mapInArrow(run, "key long, id long, n long")
-    several = rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     own = Window.partitionBy("id")
     place = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("m", "key")) - 1
-    placed = rows.join(several, "key").withColumn("place", place).where(100 * F.col("place") <= (100 - SHARE) * F.col("n"))
-    placed = placed.select("key", "id", "n", (F.col("n") - F.col("place")).alias("support"))
-    least = placed.groupBy("key").agg(F.min("n").alias("least"))
-    return placed.join(least, "key").where(_enough("support", "n", "least")).drop("least")
+    placed = _several(rows).withColumn("place", place).where(100 * F.col("place") <= (100 - SHARE) * F.col("n"))
+    placed = written(placed.select("key", "id", "n", (F.col("n") - F.col("place")).alias("support")), "rare-postings")
+    least = placed.groupBy("key").agg(F.min("n").alias("least"), F.count("*").alias("m"))
+    return skew.split_join(placed, least, ["key"], "m").where(_enough("support", "n", "least")).drop("least", "m")
 
 
 def links(classes: DataFrame, texts: DataFrame) -> DataFrame | None:
@@ -318,38 +305,34 @@ def links(classes: DataFrame, texts: DataFrame) -> DataFrame | None:
     ``classes``: (id, n, signature), n the size of the set; ``texts``: (id, text).
     """
     made = postings(classes, frequency_sketch(classes))
-    lists = written(_several(made), "shared-postings")
-    lists = written(_several(_busy(lists)).withColumn("support", F.col("n")), "shared-postings")
+    lists = written(_several(made).drop("m"), "shared-postings")
+    lists = written(_several(_busy(lists)).drop("m").withColumn("support", F.col("n")), "shared-postings")
     sets = written(class_sets(texts, lists.select("id").distinct()), "sets")
     edges: DataFrame | None = None
     found: DataFrame | None = None
     before: int | None = None
     few = classes.count()
     for turn in range(ROUNDS + 1):
-        current, n, pairs_left = _open(lists, found)
+        current, sizes, n, pairs_left = _open(lists, found)
         if n and turn == 1:
-            current, n, pairs_left = _open(rare_postings(_busy(current), sets), found)
+            current, sizes, n, pairs_left = _open(rare_postings(_busy(current), sets), found)
         if not n:
             break
         lists = current.drop("component")
         last = turn == ROUNDS or (turn > 0 and (pairs_left <= max(8 * n, few) or (before is not None and pairs_left > 0.9 * before)))
         before = pairs_left if turn else None
         if last:
-            left = current.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("support").alias("pa"))
-            right = current.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("support").alias("pb"))
-            pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
+            met = skew.pairs(current, sizes, ["key"], "m", "id").where(F.col("a.component") != F.col("b.component"))
+            pairs = _possible(met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb"), F.col("a.support").alias("pa"), F.col("b.support").alias("pb"))).select("a", "b")
         else:
-            hubs = current.groupBy("key").agg(*(
+            hubs = current.groupBy("key").agg(F.count("*").alias("m"), *(
                 F.min_by(F.struct("id", "n", "component", "support"), F.xxhash64(F.col("id"), F.lit(100 * turn + i))).alias(f"h{i}") for i in range(HUBS)
             ))
-            hubs = hubs.select("key", F.explode(F.array_distinct(F.array(*(f"h{i}" for i in range(HUBS))))).alias("hub"))
-            met = current.join(hubs, "key").where((F.col("id") != F.col("hub.id")) & (F.col("component") != F.col("hub.component")))
+            hubs = written(hubs.select("key", "m", F.array_distinct(F.array(*(f"h{i}" for i in range(HUBS)))).alias("hubs")), "hubs")
+            met = skew.split_join(current, hubs, ["key"], "m").select("id", "n", "component", "support", F.explode("hubs").alias("hub"))
+            met = met.where((F.col("id") != F.col("hub.id")) & (F.col("component") != F.col("hub.component")))
             pairs = _best_met(met.select("id", F.col("hub.id").alias("hub"), F.col("n").alias("na"), F.col("hub.n").alias("nb"), F.col("support").alias("pa"), F.col("hub.support").alias("pb")))
-        if last:
-            pairs = _possible(pairs).select("a", "b")
-        pairs = pairs.distinct()
-        # pairs from rarest shingles are judged on their sets alone: nearly all of their signatures agree
-        good = written(confirmed(agreeing(pairs, classes) if turn == 0 else pairs, sets), "links")
+        good = written(confirmed(agreeing(pairs.distinct(), classes), sets), "links")
         edges = good if edges is None else edges.unionByName(good)
         if not good.isEmpty():
             found = written(components(edges), "components")
@@ -358,16 +341,12 @@ def links(classes: DataFrame, texts: DataFrame) -> DataFrame | None:
     return found
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each row of ``docs``.
-
-    Documents with equal sets are linked; a null text or one without words is linked with
-    nothing. Rows that repeat a key get the same results each; a row with a null key is its own
-    component under a null id and is kept.
-    """
+def _judged(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id, kept) for each row of ``docs``."""
     spark = prepare(docs.sparkSession)
-    narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    made = written(map_texts(narrow, "text", _signed, "n_shingles long, set_a long, set_b long, signature binary", keep=["doc_id"]), "signatures")
+    whole = F.col(text).cast("string")
+    narrow = docs.select(F.col(key).cast("long").alias("doc_id"), whole.alias("text"), F.xxhash64(whole).alias("text_hash"))
+    made = written(map_texts(narrow, "text", _signed, "n_shingles long, set_a long, set_b long, signature binary", keep=["doc_id", "text_hash"]), "signatures")
     usable = made.where("doc_id IS NOT NULL AND n_shingles > 0")
     named = usable.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("id"))
     named = written(named, "classes")
@@ -378,12 +357,26 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     labelled = named.withColumn("component_id", F.col("id"))
     if found is not None:
         labelled = named.join(found, "id", "left").withColumn("component_id", F.coalesce("component", "id"))
-    labelled = labelled.select("set_a", "set_b", "n_shingles", "component_id")
-    out = made.drop("signature").join(labelled, ["set_a", "set_b", "n_shingles"], "left")
-    alone = F.col("n_shingles") == 0
-    component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
-    component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(component)
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    # a class of many equal texts is dealt over several tasks
+    sizes = usable.groupBy("set_a", "set_b", "n_shingles").agg(F.count("*").alias("m"))
+    labelled = written(labelled.select("set_a", "set_b", "n_shingles", "component_id").join(sizes, ["set_a", "set_b", "n_shingles"]), "labels")
+    slim = made.drop("signature")
+    out = skew.split_join(slim.where("n_shingles > 0"), labelled, ["set_a", "set_b", "n_shingles"], "m").drop("m")
+    out = out.unionByName(slim.where("n_shingles = 0").withColumn("component_id", F.col("doc_id")))
+    component = F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
+    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for each row of ``docs``.
+
+    Documents with equal sets are linked; a null or empty text or one without words is linked
+    with nothing. Very long texts are taken whole. Rows that repeat a key get the same results
+    each if their texts are equal; a row with a null key is its own component under a null id and
+    is kept. An empty table gives no rows. Only key and text are read, so other columns' names do
+    not matter.
+    """
+    return _judged(docs, key, text).drop("text_hash")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -391,9 +384,14 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str | None = None) -> DataFrame:
-    """Pipeline stage: of each group of near-duplicates the document with the smallest id stays.
+    """Pipeline stage: of each group of near-duplicates the document with the smallest id stays, once.
 
-    Rows that repeat a kept key with an equal text all stay only once per row they are.
+    Rows are told apart by id and text. Documents without words, and without an id, all stay.
     """
-    dropped = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    on = ["doc_id", "_text_hash"]
+    judged = written(_judged(docs, "doc_id", "text").withColumnRenamed("text_hash", "_text_hash"), "judged")
+    dropped = judged.where("NOT kept").select(on).distinct()
+    again = judged.where("kept AND n_shingles > 0 AND doc_id IS NOT NULL").groupBy(on).agg(F.count("*").alias("n")).where("n > 1").select(on)
+    left = docs.withColumn("_text_hash", F.xxhash64(F.col("text").cast("string"))).join(dropped, on, "left_anti")
+    once = left.join(again, on, "left_anti").unionByName(left.join(again, on, "left_semi").dropDuplicates(on))
+    return once.select(docs.columns)
