@@ -37,17 +37,23 @@ def record_id(page_id: int | None) -> str:
     return f"<urn:uuid:{uuid.uuid5(_NAMES, f'page:{page_id}')}>"
 
 
-def chunked(pages: DataFrame) -> DataFrame:
-    """(row, page_id, url, n_bytes, sha1, chunk_no, data): payloads in UTF-8, null read as empty.
+def chunked(pages: DataFrame, decided: DataFrame | None = None) -> DataFrame:
+    """(row, page_id, url, n_bytes, sha1, refers_to, chunk_no, data): payloads in UTF-8, null read as empty.
 
-    An empty payload has one empty chunk.
+    An empty payload has one empty chunk. What :func:`roles` ``decided`` comes first: a page
+    that refers to another is one chunk without data, so that only payloads that are stored are
+    cut up and moved.
     """
     html = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
-    whole = pages.select(
-        F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), html.alias("html"),
-    )
+    whole = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), html.alias("html"))
     whole = whole.withColumns({"n_bytes": F.octet_length("html").cast("long"), "sha1": F.sha1("html")})
-    numbers = F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n_bytes") / CHUNK) - 1, F.lit(0)).cast("int"))
+    refers = F.lit(None).cast("long")
+    if decided is not None:
+        known = decided.where("response_id <> page_id").select(F.col("page_id").alias("_page_id"), F.col("sha1").alias("_sha1"), "response_id")
+        whole = whole.join(known, (F.col("sha1") == F.col("_sha1")) & (F.col("page_id") == F.col("_page_id")), "left")
+        refers = F.col("response_id")
+    whole = whole.select(F.monotonically_increasing_id().alias("row"), "page_id", "url", "n_bytes", "sha1", refers.alias("refers_to"), F.when(refers.isNull(), F.col("html")).otherwise(F.lit(b"")).alias("html"))
+    numbers = F.sequence(F.lit(0), F.greatest(F.ceil(F.octet_length("html") / CHUNK) - 1, F.lit(0)).cast("int"))
     return whole.withColumn("chunk_no", F.explode(numbers)).withColumn("data", F.substr("html", F.col("chunk_no") * CHUNK + 1, F.lit(CHUNK))).drop("html")
 
 
@@ -74,12 +80,9 @@ def write(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
     leaves at most an archive that nothing names. ``folder`` may be on any file system that
     pyarrow can open.
     """
-    decided = roles(pages, least).withColumnsRenamed({"page_id": "_page_id", "sha1": "_sha1"})
-    rows = chunked(pages).join(decided, (F.col("sha1") == F.col("_sha1")) & F.col("page_id").eqNullSafe(F.col("_page_id")))
-    # a page of its own payload's smallest id, or without any id, is a response
-    revisit = F.coalesce(F.col("response_id") != F.col("page_id"), F.lit(False))
-    rows = rows.select("row", "chunk_no", "page_id", "url", "n_bytes", "sha1", F.when(revisit, F.col("response_id")).alias("refers_to"), "data")
-    rows = rows.where(F.col("refers_to").isNull() | (F.col("chunk_no") == 0)).sortWithinPartitions("row", "chunk_no")
+    # roles know digests and ids only; a page of its own payload's smallest id, or without any id, is a response
+    rows = chunked(pages, written(roles(pages, least), "roles"))
+    rows = rows.select("row", "chunk_no", "page_id", "url", "n_bytes", "sha1", "refers_to", "data").sortWithinPartitions("row", "chunk_no")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)

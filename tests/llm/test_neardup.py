@@ -67,19 +67,6 @@ def test_whole_table_equals_brute_force(spark):
     assert got == brute([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
 
 
-def test_a_group_larger_than_a_tile(spark, monkeypatch):
-    """Small tiles, so that lists are dealt over several of them."""
-    monkeypatch.setattr(neardup.skew, "SPLIT", 20)
-    rng = np.random.default_rng(4)
-    base, rows = [f"w{k}" for k in range(100)], []
-    for i in range(160):
-        rows.append((i, edited(rng, base, rng.integers(2, 9))))
-    rows += [(500 + i, " ".join(base[:30]) + " " + " ".join(f"u{i}x{k}" for k in range(25))) for i in range(60)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(df).collect()}
-    assert got == brute(rows)
-
-
 def test_keep_one_tells_rows_apart_by_text(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (2, "another text of six words here"), (3, None), (3, None), (None, "a b c d e f"), (None, "a b c d e f")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumnsRenamed({}).selectExpr("*", "1 AS n", "2 AS component_id")
