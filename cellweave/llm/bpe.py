@@ -223,7 +223,9 @@ def encode(docs: DataFrame, path: str | Callable[[], str] | None = None, keep: l
 
     Returns ``keep`` columns (all, if None), the count of ids, digests of ids and decoded text,
     and with ``outputs`` the ids and the decoded text themselves. Repeated rows get repeated
-    results. A worker's memos are emptied at ``MEMO`` entries, whatever the input.
+    results; very long texts are encoded whole; an empty table gives no rows. A worker's memos
+    are emptied at ``MEMO`` entries, whatever the input. The result's columns must not be among
+    ``keep``.
     """
     held: list[Encoder] = []
 

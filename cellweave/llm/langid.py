@@ -19,6 +19,8 @@ from cellweave.llm.quality import fold
 
 #: Documents used for fitting, at most; those with the smallest hash of their key are taken.
 FIT_ROWS = 3_000
+#: Texts longer than this are not learnt from.
+FIT_CHARS = 50_000
 FOLDS, HELD_OUT = 4, 2
 BUCKETS_LOG2 = 15
 GRAMS = (2, 3, 4)
@@ -109,7 +111,9 @@ def fit(texts: list[str], langs: list[str], width: int = 12, epochs: int = 4, ra
             back = weight @ p
             weight -= 0.1 * step * np.outer(mean, p)
             bias -= 0.01 * step * p
-            embedding[ids] -= step * np.outer(np.sqrt(share) * share.sum() ** 0.5 * 0.05, back)
+            # the gradient is share x back; each row's step is over the root of its share, so that
+            # long texts, whose shares are small, move their embeddings too
+            embedding[ids] -= 0.05 * step * np.outer(share / np.sqrt(share), back)
     table = (embedding @ weight).astype(np.float32)
     held = [i for i in range(len(texts)) if i % 5 == 0]
     logits = np.array([bags[i][1] @ table[bags[i][0]] + bias for i in held]).reshape(len(held), -1)
@@ -127,10 +131,17 @@ def fit(texts: list[str], langs: list[str], width: int = 12, epochs: int = 4, ra
 
 
 def train(docs: DataFrame, rows: int = FIT_ROWS) -> Model:
-    """Fit on at most ``rows`` whole documents with text and language outside the held-out fold."""
-    usable = docs.where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").where(fold(folds=FOLDS) != HELD_OUT)
-    chosen = usable.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).distinct()
-    sample = usable.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id", "left_semi").toPandas()
+    """Fit on at most ``rows`` whole documents with text and language outside the held-out fold.
+
+    Texts of more than ``FIT_CHARS`` characters take no part, and a row that repeats another
+    counts once, so what the driver holds is bounded by ``rows * FIT_CHARS`` characters.
+    """
+    whole = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    usable = whole.where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").where(fold(folds=FOLDS) != HELD_OUT)
+    usable = usable.where(F.length("text") <= FIT_CHARS).withColumn("text_hash", F.xxhash64("text", "lang"))
+    key = ["doc_id", "text_hash"]
+    chosen = usable.select(key).distinct().orderBy(F.xxhash64("doc_id"), *key).limit(rows)
+    sample = usable.join(F.broadcast(chosen), key, "left_semi").dropDuplicates(key).drop("text_hash").toPandas()
     sample = sample.sort_values(["doc_id", "lang", "text"])
     return fit(sample["text"].tolist(), sample["lang"].tolist())
 
@@ -138,7 +149,9 @@ def train(docs: DataFrame, rows: int = FIT_ROWS) -> Model:
 def identify(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (all, if None), the language of each whole text, its probability and acceptance.
 
-    A text that is null or has no letter is ``und`` with score 0; repeated rows get repeated results.
+    A text that is null, empty or has no letter is ``und`` with score 0; repeated rows get repeated
+    results; very long texts are read whole; an empty table gives no rows. The result's columns
+    must not be among ``keep``.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return map_texts(docs, "text", lambda texts: shared.value.predict(texts), "lang_pred string, score double, accepted boolean", keep)

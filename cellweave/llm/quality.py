@@ -130,14 +130,16 @@ def fold(key: str = "doc_id", folds: int = FOLDS):
 def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Trees:
     """Fit on at most ``rows`` labelled documents outside the held-out fold.
 
-    Only the bounded sample's statistics reach the driver. Labels that are null are left out.
+    Only the bounded sample's statistics reach the driver. Labels that are null are left out; of
+    several texts of one id the least is taken, so the bound holds.
     """
     sample = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(fold() != HELD_OUT)
         .groupBy("doc_id").agg(F.max("quality").cast("int").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id").select("label", "text")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
+    texts = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("label", "text")
     got = map_texts(texts, "text", lambda batch: {"x": list(features(batch))}, "x array<double>", keep=["label"]).toPandas()
     x = np.array(got["x"].tolist()).reshape(-1, len(FEATURES))
     order = np.lexsort([got["label"].to_numpy(), *x.T])  # whatever the order of arrival
@@ -147,14 +149,18 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Trees:
 def score(docs: DataFrame, model: Trees, text: str = "text", keep: list[str] | None = None, name: str = "score") -> DataFrame:
     """``keep`` columns (all, if None) and the score of every whole text.
 
-    Repeated rows get repeated scores; a null or empty text is scored as one without words.
+    Repeated rows get repeated scores; a null or empty text is scored as one without words; very
+    long texts are read whole; an empty table gives no rows. ``name`` must not be among ``keep``.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return map_texts(docs, text, lambda texts: {name: shared.value.score(features(texts))}, f"{name} double", keep)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Score of each row of ``docs`` by trees learnt from ``labels`` outside the held-out fold."""
+    """Score of each row of ``docs`` by trees learnt from ``labels`` outside the held-out fold.
+
+    As :func:`score`; only ``doc_id`` and ``text`` are read, so other columns' names do not matter.
+    """
     scored = score(docs, train(docs, labels), keep=["doc_id"])
     return scored.select("doc_id", (fold() == HELD_OUT).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
 

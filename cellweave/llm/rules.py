@@ -120,7 +120,8 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     Statistics and votes are computed on Spark over all texts. Votes form at most
     3 ** len(RULES) patterns, whose counts over the whole corpus are all that EM needs.
     A null or empty text has no words and fails the base rule; repeated rows get
-    repeated results; the key may be null.
+    repeated results; the key may be null; very long texts are read whole; an empty table gives
+    no rows. Only key and text are read, so other columns' names do not matter.
     """
     stats = written(with_statistics(docs, key, text), "rules")
     spark = stats.sparkSession
