@@ -176,8 +176,7 @@ def train(seed: int = 5, variants: int = 8, epochs: int = 120) -> tuple[list[str
     rng = np.random.default_rng(seed)
     known = templates()
     families = [UNKNOWN, *sorted({f for f, _ in known})]
-    vocabulary = sorted(set().union(*(grams_of(t) for _, t in known), *(grams_of(t) for t in OTHERS)))
-    index = {g: i for i, g in enumerate(vocabulary)}
+    index = {g: i for i, g in enumerate(vocabulary())}
     columns = lambda text: sorted(index[g] for g in grams_of(text) if g in index)
     filler = sorted({w for t in OTHERS for w in re.findall(WORD, t.lower())} | COMMON)
     everything = [w for _, t in known for w in t.split()]
@@ -198,12 +197,12 @@ def train(seed: int = 5, variants: int = 8, epochs: int = 120) -> tuple[list[str
         rows.append(columns(" ".join(words[: len(words) // 3])))
         target += [0, 0]
     x, y = Rows(rows), np.array(target)
-    weight, bias = np.zeros((len(vocabulary), len(families))), np.zeros(len(families))
+    weight, bias = np.zeros((len(index), len(families))), np.zeros(len(families))
     goal = np.eye(len(families))[y]
     step, velocity, drift = 6.0, np.zeros_like(weight), np.zeros_like(bias)
     for _ in range(epochs):
         error = (_softmax(x.times(weight) + bias) - goal) / len(y)
-        velocity = 0.9 * velocity - step * (x.transposed_times(error, len(vocabulary)) + 1e-5 * weight)
+        velocity = 0.9 * velocity - step * (x.transposed_times(error, len(index)) + 1e-5 * weight)
         drift = 0.9 * drift - step * error.sum(axis=0)
         weight, bias = weight + velocity, bias + drift
     held = Rows([columns(t) for _, t in CALIBRATION])
@@ -241,18 +240,30 @@ def _parts(text: Column) -> Column:
     return F.filter(F.split(text, r"\n\s*\n"), lambda p: p.rlike("[A-Za-z0-9]"))
 
 
+@functools.cache
+def vocabulary() -> list[str]:
+    """All n-grams that have a weight: those of the templates and of what only sounds like them."""
+    return sorted(set().union(*(grams_of(t) for _, t in templates()), *(grams_of(t) for t in OTHERS)))
+
+
 def passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text_hash, number, passage) of the passages that hold an anchor, of every whole text."""
+    """(doc_id, text_hash, number, grams, h1, h2) of the passages that hold an anchor, of every whole text.
+
+    ``grams`` are those of the vocabulary, all that a passage's class depends on; two digests name them.
+    """
     whole = F.col(text).cast("string")
     rows = docs.where(whole.rlike(anchor())).select(F.col(key).alias("doc_id"), F.xxhash64(whole).alias("text_hash"), F.posexplode(_parts(whole)).alias("number", "paragraph"))
-    rows = rows.where(F.col("paragraph").rlike(anchor()))
-    return rows.select("doc_id", "text_hash", "number", F.explode(_passages(F.col("paragraph"))).alias("passage"))
+    rows = rows.where(F.col("paragraph").rlike(anchor())).select("doc_id", "text_hash", "number", F.explode(_passages(F.col("paragraph"))).alias("passage"))
+    known = vocabulary()
+    rows = rows.select("doc_id", "text_hash", "number", F.array_sort(F.filter(_grams(F.col("passage")), lambda g: g.isin(known))).alias("grams"))
+    return rows.withColumns({"h1": F.xxhash64("grams", F.lit(1)), "h2": F.xxhash64("grams", F.lit(2))})
 
 
 def classify(distinct: DataFrame) -> DataFrame:
-    """(passage, family, probability, found) of distinct passages; those without a family are ``unknown``.
+    """(h1, h2, family, probability) of those of the distinct ``grams`` (h1, h2, grams) that have a family.
 
-    Of families whose probability is the same the first by name is taken.
+    Of families whose probability is the same the first by name is taken. Templates are compared
+    for passages with a likely family only.
     """
     spark = distinct.sparkSession
     families, weights, bias, threshold = train()
@@ -260,22 +271,21 @@ def classify(distinct: DataFrame) -> DataFrame:
     known = spark.createDataFrame(
         [(t, f, len(grams_of(s)), g, g in anchors()) for t, (f, s) in enumerate(templates()) for g in sorted(grams_of(s))], "template int, family string, size int, gram string, key boolean",
     )
-    grams = written(distinct.select("passage", F.explode(_grams(F.col("passage"))).alias("gram")), "licence-grams")
+    name = ["h1", "h2"]
     # both tables are as large as the templates above, whatever the corpus
     sums = [F.sum(F.get("weights", F.lit(i))).alias(f"w{i}") for i in range(len(families))]
-    scores = grams.join(F.broadcast(table), "gram").groupBy("passage").agg(*sums)
+    scores = distinct.select(*name, F.explode("grams").alias("gram")).join(F.broadcast(table), "gram").groupBy(name).agg(*sums)
     logits = [F.round(F.col(f"w{i}") + float(bias[i]), 9) for i in range(len(families))]
     top = F.greatest(*logits)
     best = F.coalesce(*(F.when(x == top, F.lit(f)) for f, x in zip(families, logits, strict=True)))
     total = sum((F.exp(x - top) for x in logits[1:]), F.exp(logits[0] - top))
-    scores = scores.select("passage", best.alias("family"), F.round(1 / total, 9).alias("probability"))
-    match = grams.join(F.broadcast(known), "gram").groupBy("passage", "family", "template").agg((F.count("*") / F.max("size")).alias("found"), F.max("key").alias("key")).where("key")
-    match = match.groupBy("passage", "family").agg(F.max("found").alias("found"))
-    most = match.groupBy("passage").agg(F.max("found").alias("most"), F.sort_array(F.collect_list("found"), asc=False).alias("every"))
-    most = most.select("passage", "most", F.coalesce(F.get("every", F.lit(1)), F.lit(0.0)).alias("second"))
-    both = scores.join(match, ["passage", "family"], "left").join(most, "passage", "left").withColumn("found", F.coalesce("found", F.lit(0.0)))
-    sure = (F.col("probability") >= threshold) & (F.col("found") >= CONFIRM) & (F.col("found") == F.col("most")) & (F.col("found") > F.col("second"))
-    return both.select("passage", F.when(sure, F.col("family")).otherwise(F.lit(UNKNOWN)).alias("family"), "probability", "found")
+    scores = scores.select(*name, best.alias("best"), F.round(1 / total, 9).alias("probability")).where((F.col("best") != UNKNOWN) & (F.col("probability") >= threshold))
+    likely = written(distinct.join(scores, name), "licence-likely")
+    match = likely.select(*name, "best", "probability", F.explode("grams").alias("gram")).join(F.broadcast(known), "gram")
+    match = match.groupBy(*name, "best", "probability", "family", "template").agg((F.count("*") / F.max("size")).alias("found"), F.max("key").alias("key")).where("key")
+    own = F.col("family") == F.col("best")
+    fits = match.groupBy(*name, "best", "probability").agg(F.max(F.when(own, F.col("found"))).alias("found"), F.coalesce(F.max(F.when(~own, F.col("found"))), F.lit(0.0)).alias("other"))
+    return fits.where((F.col("found") >= CONFIRM) & (F.col("found") > F.col("other"))).select(*name, F.col("best").alias("family"), "probability")
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -289,11 +299,10 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     not, has its own text's result; an empty table gives no rows. Only key and text are read.
     """
     prepare(docs.sparkSession)
-    found = written(passages(docs, key, text).withColumn("hash", F.xxhash64("passage", F.lit(1))), "licence-passages")
-    distinct = written(found.groupBy("passage", "hash").agg(F.count("*").alias("n")), "licence-distinct")
-    named = classify(distinct.select("passage")).where(F.col("family") != UNKNOWN)
-    named = written(named.join(distinct, "passage").groupBy("hash").agg(F.sum("n").alias("n"), F.min("family").alias("family"), F.max("probability").alias("probability")), "licence-classes")
-    hits = split_join(found.select("doc_id", "text_hash", "number", "hash"), named, ["hash"], "n")
+    found = written(passages(docs, key, text), "licence-passages")
+    distinct = written(found.groupBy("h1", "h2").agg(F.any_value("grams").alias("grams"), F.count("*").alias("n")), "licence-distinct")
+    named = written(classify(distinct.select("h1", "h2", "grams")).join(distinct.select("h1", "h2", "n"), ["h1", "h2"]), "licence-classes")
+    hits = split_join(found.select("doc_id", "text_hash", "number", "h1", "h2"), named, ["h1", "h2"], "n")
     per_doc = hits.groupBy(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")).agg(
         F.count_distinct("number").alias("n_licences"), F.concat_ws(",", F.array_sort(F.collect_set("family"))).alias("families"), F.max("probability").alias("confidence"),
     )
