@@ -34,20 +34,3 @@ def split_join(rows: DataFrame, one: DataFrame, key: list[str], n: str) -> DataF
     copied = one.join(found, key, "left").withColumn("_tile", every).drop("tiles")
     return dealt.join(copied, [*key, "_tile"]).drop("_tile")
 
-
-def pairs(rows: DataFrame, counted: DataFrame, key: list[str], n: str, by: str) -> DataFrame:
-    """Each two rows (structs ``a`` and ``b``) with one key, ``a.by < b.by``, once.
-
-    The rows of a frequent key are dealt into tiles, and each two tiles meet in a task of their
-    own, so that no task has more than two tiles of a key. ``by`` is distinct within a key.
-    """
-    found = F.broadcast(tiles(counted, key, n))
-    whole = F.struct(*rows.columns)
-    own = rows.withColumn("_row", whole).select(*key, "_row").join(found, key, "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
-    own = own.withColumn("_tile", F.pmod(F.xxhash64(F.col(f"_row.{by}")), F.col("tiles")).cast("int"))
-    dealt = own.select(*key, "_row", "_tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("_other"))
-    dealt = dealt.select(*key, "_row", "_tile", F.least("_tile", "_other").alias("_low"), F.greatest("_tile", "_other").alias("_high"))
-    left = dealt.withColumnsRenamed({"_row": "a", "_tile": "_at"})
-    right = dealt.withColumnsRenamed({"_row": "b", "_tile": "_bt"})
-    met = left.join(right, [*key, "_low", "_high"]).where((F.col(f"a.{by}") < F.col(f"b.{by}")) & ((F.col("_at") != F.col("_bt")) | (F.col("_low") == F.col("_high"))))
-    return met.select("a", "b")
