@@ -24,10 +24,10 @@ def components(edges: DataFrame, group: list[str] | None = None) -> DataFrame:
     while True:
         turned = edges.select(*group, F.col("u").alias("v"), F.col("v").alias("u"))
         both = edges.unionByName(turned)
-        least = both.groupBy(*group, "v").agg(F.min("u").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("v", "m"))
+        least = written(both.groupBy(*group, "v").agg(F.min("u").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("v", "m")), "least")
         large = split_join(turned, least, [*group, "v"], "n").select(*group, F.col("u").alias("v"), F.col("m").alias("u"))
         large = written(large.where("u <> v").distinct(), "stars")
-        least = large.groupBy(*group, "v").agg(F.min("u").alias("m"), F.count("*").alias("n"))
+        least = written(large.groupBy(*group, "v").agg(F.min("u").alias("m"), F.count("*").alias("n")), "least")
         small = split_join(large, least, [*group, "v"], "n").select(*group, F.col("u").alias("v"), F.col("m").alias("u"))
         small = small.unionByName(least.select(*group, "v", F.col("m").alias("u"))).where("u <> v").distinct()
         edges = written(small, "stars")

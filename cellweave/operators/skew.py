@@ -11,26 +11,20 @@ SPLIT = 1024
 KEYS = 1 << 16
 
 
-def tiles(counted: DataFrame, key: list[str], n: str) -> DataFrame:
-    """(key, tiles) of the keys with more than ``SPLIT`` rows by ``counted`` (key, n).
-
-    A key qualifies with a ``KEYS``-th of all rows at least, so there are ``KEYS`` of them at
-    most: small enough to be sent to every task.
-    """
-    rows = counted.agg(F.sum(n)).first()[0] or 0
-    least = max(SPLIT, rows // KEYS)
-    return counted.where(F.col(n) > least).select(*key, F.ceil(F.col(n) / least).cast("int").alias("tiles"))
-
-
 def split_join(rows: DataFrame, one: DataFrame, key: list[str], n: str) -> DataFrame:
-    """``rows`` joined with ``one``, which has a row for each key and in ``n`` how many of ``rows`` it has.
+    """``rows`` joined with ``one``, which has a row for each key and in ``n`` how many of ``rows`` it has at most.
 
-    Rows of a frequent key go to a tile each, and that key's row of ``one`` to all its tiles.
-    Null keys match nothing.
+    Rows of a key with more than ``SPLIT`` rows go to a tile each, and that key's row of ``one`` to
+    all its tiles. Such a key has a ``KEYS``-th of all rows at least, so there are ``KEYS`` of them
+    at most: small enough to be sent to every task. Null keys match nothing. ``one`` is read
+    more than once, so it should be a written table.
     """
-    found = F.broadcast(tiles(one, key, n))
+    size = one.agg(F.sum(n).alias("rows"), F.max(n).alias("most")).first()
+    least = max(SPLIT, (size["rows"] or 0) // KEYS)
+    if (size["most"] or 0) <= least:
+        return rows.join(one, key)
+    found = F.broadcast(one.where(F.col(n) > least).select(*key, F.ceil(F.col(n) / least).cast("int").alias("tiles")))
     dealt = rows.join(found, key, "left").withColumn("_tile", F.coalesce(F.pmod(F.xxhash64(*rows.columns), F.col("tiles")).cast("int"), F.lit(0))).drop("tiles")
     every = F.explode(F.sequence(F.lit(0), F.coalesce("tiles", F.lit(1)) - 1))
     copied = one.join(found, key, "left").withColumn("_tile", every).drop("tiles")
     return dealt.join(copied, [*key, "_tile"]).drop("_tile")
-
