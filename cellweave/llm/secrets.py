@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellweave.operators.skew import split_join
 from cellweave.session import prepare, written
 
 #: Fixed by the contract: kind, pattern, group that holds the secret, least length of that group.
@@ -75,14 +76,14 @@ def base_spans(text: Column) -> Column:
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
-    """(hash, n_owners, n_repositories, copied) of rows (hash, owner, repository).
+    """(hash, n_owners, n_repositories, n_rows, copied) of rows (hash, owner, repository).
 
     Equal pairs are merged before they are moved, so a secret that a third of all rows hold
     is one row a task.
     """
     owners = candidates.select("hash", "owner").distinct().groupBy("hash").agg(F.count("owner").alias("n_owners"))
     repositories = candidates.select("hash", "repository").distinct().groupBy("hash").agg(F.count("repository").alias("n_repositories"))
-    both = owners.join(repositories, "hash")
+    both = owners.join(repositories, "hash").join(candidates.groupBy("hash").agg(F.count("*").alias("n_rows")), "hash")
     return both.withColumn("copied", (F.col("n_owners") >= OWNERS) | (F.col("n_repositories") >= REPOSITORIES))
 
 
@@ -95,11 +96,14 @@ def _found(docs: DataFrame, key: str, text: str, owner: str, repository: str) ->
 
 
 def _known(found: DataFrame) -> DataFrame:
-    """(hash, doc_id, text_hash, s, n_owners, n_repositories, copied): each span with its secret's verdict."""
+    """(hash, doc_id, text_hash, s, n_owners, n_repositories, n_rows, copied): each span with its secret's verdict.
+
+    Spans of a secret that many rows hold are dealt over several tasks.
+    """
     each = found.where(F.size("spans") > 0).select("doc_id", "text_hash", "owner", "repository", F.explode("spans").alias("s"))
     each = each.withColumn("hash", F.sha2(F.col("s.value"), 256))
-    owned = ownership(each.select("hash", "owner", "repository"))
-    return each.select("doc_id", "text_hash", "s", "hash").distinct().join(owned, "hash")
+    owned = written(ownership(each.select("hash", "owner", "repository")), "secret-owners")
+    return split_join(each.select("doc_id", "text_hash", "s", "hash").distinct(), owned, ["hash"], "n_rows")
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "doc_id") -> DataFrame:
