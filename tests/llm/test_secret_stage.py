@@ -43,3 +43,10 @@ def test_marks_follow_the_operator(spark):
             want, at = want + text[at:b] + (secrets.MASK if live else secrets.COPIED_MASK), e
         assert got[i][0] == want + text[at:]
     assert any(secrets.MASK in t for t, _ in got.values()) and any(secrets.COPIED_MASK in t for t, _ in got.values())
+
+
+def test_a_secret_of_many_rows_is_dealt_over_tasks(spark):
+    rows = [(i, f"token = copied_everywhere1 y{i}", f"s{i % 3}") for i in range(3000)] + [(9000, "token = only_mine_here_1", "s1"), (None, "token = copied_everywhere1", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = secrets.scan(docs).select("doc_id", "n_live", "n_copied", "most_owners").collect()
+    assert sorted(map(tuple, found), key=repr) == sorted([*((i, 0, 1, 3) for i in range(3000)), (9000, 1, 0, 1), (None, 0, 1, 3)], key=repr)
