@@ -139,18 +139,12 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-def _needed(text: Column) -> Column:
-    """Whether a text may hold a base span."""
-    return F.coalesce(text.rlike("|".join(NEEDS.values())), F.lit(False))
-
-
-def masked(text: Column, live: Column) -> Column:
-    """The text with every base span replaced; overlapping spans are replaced together.
+def masked(text: Column, spans: Column, live: Column) -> Column:
+    """The text with each of its base ``spans`` replaced; overlapping spans are replaced together.
 
     ``live`` holds the hashes of live secrets: a replaced place with one of them gets ``MASK``,
     any other ``COPIED_MASK``.
     """
-    spans = F.array_sort(base_spans(text))
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("done"), F.lit("").alias("mark"))
 
     def step(state: Column, x: Column) -> Column:
@@ -161,23 +155,27 @@ def masked(text: Column, live: Column) -> Column:
         mark = F.when(is_live, F.lit(MASK)).otherwise(F.lit(COPIED_MASK))
         return F.struct(F.greatest(state["at"], x["end"]).alias("at"), done.alias("done"), mark.alias("mark"))
 
-    return F.aggregate(spans, start, step, lambda s: F.concat(s["done"], s["mark"], F.substr(text, s["at"] + 1)))
+    return F.aggregate(F.array_sort(spans), start, step, lambda s: F.concat(s["done"], s["mark"], F.substr(text, s["at"] + 1)))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str | None = None) -> DataFrame:
     """Pipeline stage: every document stays, its secrets masked and its length brought up to date.
 
     What owners and repositories in all of ``docs`` say of a secret decides its mark: nothing
-    that looks like a secret stays, and live secrets are told from copied examples. Only
-    documents that may hold a secret are moved.
+    that looks like a secret stays, and live secrets are told from copied examples. Spans are found
+    once and written beside the rows; only documents that hold a secret are moved.
     """
-    may = _needed(F.col("text"))
-    found = written(_found(docs.where(may), "doc_id", "text", "source", "doc_id").where(F.size("spans") > 0), "secret-spans")
+    spans, text_hash = base_spans(F.col("text")), F.xxhash64(F.col("text").cast("string"))
+    rows = written(docs.withColumns({"_cw_spans": spans, "_cw_hash": text_hash}), "secret-rows")
+    holds = F.size("_cw_spans") > 0
+    found = rows.where(holds).select(
+        "doc_id", F.col("source").cast("string").alias("owner"), F.col("doc_id").cast("string").alias("repository"),
+        F.col("_cw_hash").alias("text_hash"), F.col("_cw_spans").alias("spans"),
+    )
     live = _known(found).where(~F.col("copied")).groupBy(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")).agg(F.collect_set("hash").alias("_live"))
-    text_hash = F.xxhash64(F.col("text").cast("string"))
-    held = docs.where(may).join(live, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (text_hash == F.col("_text_hash")), "left")
+    held = rows.where(holds).join(live, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_cw_hash") == F.col("_text_hash")), "left")
     none = F.array().cast("array<string>")
-    out = held.withColumn("text", masked(F.col("text"), F.coalesce("_live", none))).select(docs.columns).unionByName(docs.where(~may))
+    out = held.withColumn("text", masked(F.col("text"), F.col("_cw_spans"), F.coalesce("_live", none))).select(docs.columns).unionByName(rows.where(~holds).select(docs.columns))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out
