@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellweave.llm import annforest, bpe, langid, licences, neardup, packing, quality, rules, secrets, warc
+from cellweave.llm import annforest, bpe, centroids, langid, licences, neardup, packing, periods, pivots, quality, rules, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licence_classifier": licences.query,
@@ -19,6 +19,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hash_prefix_forest": annforest.query,
     "op9_quality_rules": rules.query,
     "op10_quality_classifier": quality.query,
+    "op11_orchard_clusters": centroids.query,
+    "op12_pivot_top_k": pivots.query,
+    "op13_periodic_runs": periods.query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op11_orchard_clusters": centroids.ORACLE_SQL,
+    "op12_pivot_top_k": pivots.ORACLE_SQL,
+}
