@@ -23,9 +23,18 @@ def both_barcoded(config: dict) -> bool:
     return bool(config.get("barcode_struct_r2", {}).get("blocks"))
 
 
-def barcode_mate(rows: DataFrame, layout: Layout, either_strand: bool) -> int:
+def _some(rows: DataFrame | fastq.Reads, pair: int | None = None, mate: int | None = None, last: int | None = None) -> DataFrame:
+    """Rows of one pair of files, one mate, or up to a record number; of files, no others are read."""
+    if isinstance(rows, fastq.Reads):
+        return rows.rows(pair, mate, last)
+    for name, value in (("file_pair", pair), ("mate", mate)):
+        rows = rows if value is None else rows.where(F.col(name) == value)
+    return rows if last is None else rows.where(F.col("rec_idx") <= last)
+
+
+def barcode_mate(rows: DataFrame | fastq.Reads, layout: Layout, either_strand: bool) -> int:
     """Which mate (1 or 2) holds the barcodes: the one with the better mean score, 2 if alike."""
-    sample = rows.where((F.col("file_pair") == 0) & (F.col("rec_idx") <= ORIENTATION_SAMPLE))
+    sample = _some(rows, pair=0, last=ORIENTATION_SAMPLE)
     found = {r["mate"]: r["score"] for r in aligned(sample, layout, either_strand).groupBy("mate").agg(F.avg("score").alias("score")).collect()}
     return 1 if found.get(1, float("-inf")) > found.get(2, float("-inf")) else 2
 
@@ -46,20 +55,20 @@ def _cut(found: DataFrame, forward_slice: bool) -> DataFrame:
     return good.withColumns({"qual": qual, "seq": F.col("trimmed")}).drop(*gone)
 
 
-def extracted(rows: DataFrame, config: dict) -> dict[int, DataFrame]:
+def extracted(rows: DataFrame | fastq.Reads, config: dict) -> dict[int, DataFrame]:
     """For each mate with barcodes its reads with tags and ``passes``, written."""
     either, first = bool(config["unknown_read_orientation"]), Layout.of(config["barcode_struct_r1"])
     layouts = {1: first, 2: Layout.of(config["barcode_struct_r2"])} if both_barcoded(config) else {barcode_mate(rows, first, either): first}
-    return {m: written(reads.judged(written(extract(rows.where(F.col("mate") == m), x, either), "extracted")), "judged") for m, x in layouts.items()}
+    return {m: written(reads.judged(written(extract(_some(rows, mate=m), x, either), "extracted")), "judged") for m, x in layouts.items()}
 
 
-def paired_up(rows: DataFrame, found: dict[int, DataFrame], forward_slice: bool = True) -> DataFrame:
+def paired_up(rows: DataFrame | fastq.Reads, found: dict[int, DataFrame], forward_slice: bool = True) -> DataFrame:
     """One row for each pair that passes: tags, and read_id, description, seq and qual of both mates.
 
     ``found`` as :func:`extracted` gives it. With barcodes in both mates both have to pass,
     strings are dot-joined and linker lengths added.
     """
-    mates = {m: _cut(found[m], forward_slice) if m in found else rows.where(F.col("mate") == m).drop("mate") for m in (1, 2)}
+    mates = {m: _cut(found[m], forward_slice) if m in found else _some(rows, mate=m).drop("mate") for m in (1, 2)}
     joined, two, mate = reads.pair_reads(mates[1], mates[2]), len(found) == 2, min(found)
     tags = {n: F.concat_ws(".", f"{n}_1", f"{n}_2") if two else F.col(f"{n}_{mate}") for n in ("cb", "cr", "ur")}
     tags["fl"] = F.col("fl_1") + F.col("fl_2") if two else F.col(f"fl_{mate}")
@@ -67,7 +76,7 @@ def paired_up(rows: DataFrame, found: dict[int, DataFrame], forward_slice: bool
     return joined.select(*_KEY, F.lit(mate).alias("barcode_mate"), *(c.alias(n) for n, c in tags.items()), *names)
 
 
-def extracted_pairs(rows: DataFrame, config: dict, forward_slice: bool = True) -> DataFrame:
+def extracted_pairs(rows: DataFrame | fastq.Reads, config: dict, forward_slice: bool = True) -> DataFrame:
     """Passing pairs of ``rows`` as :func:`cellweave.sources.fastq.read` gives them."""
     return paired_up(rows, extracted(rows, config), forward_slice)
 
@@ -84,9 +93,9 @@ def counters(found: dict[int, DataFrame], pairs: DataFrame) -> DataFrame:
     return out
 
 
-def name_positions(rows: DataFrame) -> dict[int, list[int]]:
+def name_positions(rows: DataFrame | fastq.Reads) -> dict[int, list[int]]:
     """For each pair of files the places in which mates' names differ, from their first records."""
-    heads = rows.where("rec_idx = 0").groupBy("file_pair").pivot("mate", [1, 2]).agg(F.first("read_id"))
+    heads = _some(rows, last=0).groupBy("file_pair").pivot("mate", [1, 2]).agg(F.first("read_id"))
     return {r["file_pair"]: files.difference_positions(r["1"] or "", r["2"] or "") for r in heads.collect()}
 
 
@@ -96,7 +105,7 @@ def preprocess(spark: SparkSession, folder: str, config: dict, out: str, forward
     A mate with barcodes is written only if its struct keeps what is left of it. An output that exists is an error.
     """
     pairs = files.paired(folder)
-    rows = fastq.read(spark, pairs)
+    rows = fastq.Reads(spark, pairs)
     if files.exists(f"{out}/tags"):
         raise FileExistsError(f"{out}/tags")
     places = name_positions(rows)
@@ -147,7 +156,7 @@ def count(rows: DataFrame, tags: DataFrame, positions: list[int] | dict[int, lis
             raise ValueError("pairs of files number their mates at different places: give each pair's alignments by itself")
     if files.exists(f"{out}/alignments"):
         raise FileExistsError(f"{out}/alignments")
-    known = rows.drop("cb", "cr", "ur", "ub", "fl")
+    known = rows.drop("cb", "cr", "ur", "ub", "fl", "path_no")
     tagged = reads.annotate(known, tags, positions) if isinstance(positions, dict) else reads.annotate(known, tags.drop("file_pair"), positions)
     umis = tags.where("ur IS NOT NULL").limit(1).count() > 0
     made = with_umis(tagged) if umis else tagged.withColumn("ub", F.lit(None).cast("string"))
@@ -164,18 +173,26 @@ def count_reads(spark: SparkSession, folder: str, config: dict, paths: list[str]
     """
     tags = spark.read.parquet(f"{prepared}/tags") if prepared else preprocess(spark, folder, config, f"{out}/preprocessed")
     places = {r["file_pair"]: list(r["positions"]) for r in spark.read.parquet(f"{prepared or out + '/preprocessed'}/names").collect()}
+    rows = load_alignments(spark, paths)
     if len(paths) == len(places) > 1:
-        each = [load_alignments(spark, [p]).withColumn("file_pair", F.lit(i)) for i, p in zip(sorted(places), paths, strict=True)]
-        rows = each[0]
-        for more in each[1:]:
-            rows = rows.unionByName(more)
-    else:
-        rows = load_alignments(spark, paths)
+        rows = rows.withColumn("file_pair", F.array(*(F.lit(p) for p in sorted(places)))[F.col("path_no")])
     return count(rows, tags, places, out)
 
 
 def load_alignments(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Alignments from BAM files or folders of them, SAM text or Parquet, by the first path's ending."""
+    """Alignments from BAM files or folders of them, SAM text or Parquet, by the first path's ending.
+
+    ``path_no`` is the place of a record's path among those given, and what ``align_ordinal``
+    orders by first: several files are one whole, in the order given.
+    """
     if paths[0].endswith(".bam"):
         return sam.read_bam(spark, paths)
-    return sam.read_sam(spark, paths) if paths[0].endswith((".sam", ".sam.gz")) else spark.read.parquet(*paths)
+    if paths[0].endswith((".sam", ".sam.gz")):
+        return sam.read_sam(spark, paths)
+    found = None
+    for i, path in enumerate(paths):
+        rows = spark.read.parquet(path).withColumn("path_no", F.lit(i))
+        if "align_ordinal" in rows.columns:
+            rows = rows.withColumn("align_ordinal", F.struct(F.lit(i).alias("path"), F.col("align_ordinal").alias("place")))
+        found = rows if found is None else found.unionByName(rows)
+    return found

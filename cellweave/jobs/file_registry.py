@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellweave.functions.sequences import reverse_complement
 from cellweave.jobs import count as jobs
-from cellweave.jobs.registry import _ALL, _COUNTABLE, _FEATURES, _LAYOUT, ORACLE_SQL, QUERIES, _ctes, _near, _query
+from cellweave.jobs.registry import _ALL, _COUNTABLE, _COUNTS, _FEATURES, _LAYOUT, _PARENTS, _ROOTS, ORACLE_SQL, QUERIES, _ctes, _near, _query
 from cellweave.operators import extract, matrix, reads
 from cellweave.session import fresh_path, written
 from cellweave.sources import alignments as sam
@@ -30,15 +32,19 @@ _MATES = f"""mates AS (SELECT file_pair, 1 AS mate, rec_idx, name || '/1' AS rea
 
 def _read_files(spark: SparkSession, sf_dir: str, barcoded: int = 1, share: int = fastq.SHARE) -> tuple[str, DataFrame]:
     """A folder with a pair of read files for each of two pairs, and what is read from it."""
+    folder = fresh_path(spark, "reads")
+    fastq.write(_both_mates(spark, sf_dir, barcoded), folder)
+    return folder, fastq.read(spark, files.paired(folder), share)
+
+
+def _both_mates(spark: SparkSession, sf_dir: str, barcoded: int = 1) -> DataFrame:
+    """Both mates' records under the names of their files."""
     rows = kinds(spark, sf_dir)
     sides = [rows.select("file_pair", F.lit(m).alias("mate"), "rec_idx", F.concat("name", F.lit(f"/{m}")).alias("read_id"), seq.alias("seq")) for m, seq in (
         (barcoded, F.concat("cr", "linker", "ur", "tail")), (3 - barcoded, F.col("other")))]
-    both = sides[0].unionByName(sides[1]).select(
+    return sides[0].unionByName(sides[1]).select(
         F.format_string("x%d_%d", F.col("file_pair"), F.col("mate")).alias("name"), "rec_idx", F.concat_ws(" ", "read_id", F.lit("more")).alias("description"), "seq", F.repeat(F.lit("F"), F.length("seq")).alias("qual"),
     )
-    folder = fresh_path(spark, "reads")
-    fastq.write(both, folder)
-    return folder, fastq.read(spark, files.paired(folder), share)
 
 
 @_query("fastq_round_trip", _ctes(_MATES) + "SELECT *, read_id || ' more' AS description, repeat('F', length(seq)) AS qual FROM mates")
@@ -73,10 +79,11 @@ def sam_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sam.read_sam(spark, folder).select(_SEEN)
 
 
-def _bam(spark: SparkSession, sf_dir: str, share: int = sam.SHARE) -> DataFrame:
+def _bam(spark: SparkSession, sf_dir: str, share: int = sam.SHARE, region: sam.Region | None = None, more: bool = False) -> DataFrame:
     folder = fresh_path(spark, "bam")
-    sam.write_bam(_records(spark, sf_dir), folder, _REFERENCES)
-    return sam.read_bam(spark, [folder], share)
+    rows = _records(spark, sf_dir)
+    sam.write_bam(rows.withColumns({n: F.expr(x) for n, x in _MORE.items()}) if more else rows, folder, _REFERENCES)
+    return sam.read_bam(spark, [folder], share, more, region)
 
 
 @_query("bam_round_trip", _ctes(_RECORD) + f"SELECT {', '.join(_SEEN)} FROM rec")
@@ -86,13 +93,36 @@ def bam_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("bam_of_one_reference", _ctes(_RECORD) + f"SELECT {', '.join(_SEEN)} FROM rec WHERE ref = 'chr1'")
 def bam_of_one_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bam(spark, sf_dir).where("ref = 'chr1'").select(_SEEN)
+    return _bam(spark, sf_dir, region=sam.Region(("chr1",))).select(_SEEN)
+
+
+@_query("bam_of_a_region", _ctes(_RECORD) + f"SELECT {', '.join(_SEEN)} FROM rec WHERE ref IN ('chr0', 'chr2') AND pos >= 1 AND pos < 3")
+def bam_of_a_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two references' records of some places, through parts' spans, indexes and small shares."""
+    return _bam(spark, sf_dir, 40_000, sam.Region(("chr0", "chr2"), 1, 3)).select(_SEEN)
+
+
+#: Fields of mates, records without a place, and tags of every type.
+_MORE = {
+    "flag": "cast(CASE WHEN read_no % 13 = 0 THEN 4 ELSE flag END AS int)", "ref": "CASE WHEN read_no % 13 = 0 THEN '*' ELSE ref END", "pos": "CASE WHEN read_no % 13 = 0 THEN -1 ELSE pos END",
+    "mate_ref": "CASE read_no % 3 WHEN 0 THEN 'chr2' WHEN 1 THEN '*' ELSE 'chr0' END", "mate_pos": "CASE WHEN read_no % 3 = 1 THEN -1 ELSE read_no % 900 END", "template_length": "cast(250 - read_no % 500 AS int)",
+    "tags": "array('NM:C:' || (read_no % 200), 'AS:i:' || (-read_no), 'XA:A:q', 'XB:B:S,7,' || (read_no % 60000), 'XF:f:0.5', 'XZ:Z:a:' || (read_no % 7), 'GX:Z:hidden')",
+}
+
+
+@_query("bam_whole_records", _ctes(_RECORD) + """SELECT query_name, cast(CASE WHEN read_no % 13 = 0 THEN 4 ELSE flag END AS int) AS flag, CASE WHEN read_no % 13 = 0 THEN '*' ELSE ref END AS ref, CASE WHEN read_no % 13 = 0 THEN -1 ELSE pos END AS pos,
+ CASE read_no % 3 WHEN 0 THEN 'chr2' WHEN 1 THEN '*' ELSE 'chr0' END AS mate_ref, CASE WHEN read_no % 3 = 1 THEN -1 ELSE read_no % 900 END AS mate_pos, cast(250 - read_no % 500 AS int) AS template_length, gx, cb,
+ 'NM:C:' || (read_no % 200) || '|AS:i:' || (-read_no) || '|XA:A:q|XB:B:S,7,' || (read_no % 60000) || '|XF:f:0.5|XZ:Z:a:' || (read_no % 7) AS tags FROM rec""")
+def bam_whole_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of mates, records without a place and tags that no column stands for, with their types, out and in again."""
+    return _bam(spark, sf_dir, more=True).select("query_name", "flag", "ref", "pos", "mate_ref", "mate_pos", "template_length", "gx", "cb", F.array_join("tags", "|").alias("tags"))
 
 
 @_query("bam_sorted_places", _ctes() + "SELECT query_name, row_number() OVER (ORDER BY ref, pos, is_reverse, read_no) AS place FROM aln")
 def bam_sorted_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each record's place in the coordinate order of written files, read through shares of 30,000 bytes."""
-    rows = written(_bam(spark, sf_dir, share=30_000).select("query_name", F.expr(f"align_ordinal div {sam.FILE}").alias("file"), (F.col("align_ordinal") % sam.FILE).alias("at")), "places")
+    rows = _bam(spark, sf_dir, share=30_000).select("query_name", "align_ordinal.file", "align_ordinal.place")
+    rows = written(rows.withColumn("at", F.row_number().over(Window.partitionBy("file").orderBy("place")) - 1), "places")
     # one row for each file
     sizes = rows.groupBy("file").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return rows.join(F.broadcast(sizes), "file").select("query_name", (F.col("before") + F.col("at") + 1).alias("place"))
@@ -236,36 +266,130 @@ def passing_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.passing(alignments(spark, sf_dir).withColumn("rec_idx", F.expr("read_no div 4"))).select("read_no")
 
 
-@_query("count_run", _RUN + f""", tagged AS (SELECT ok.d1 AS cb, ok.file_pair, ok.rec_idx, a.gx, a.gn, a.is_paired, a.is_read1, a.is_read2, a.mate_is_unmapped FROM ok JOIN aln a ON a.read_no = ok.read_no WHERE passes AND d1 IS NOT NULL)
- SELECT string_split(gx,';')[i] AS gx, string_split(gn,';')[i] AS gn, cb, count(*) AS n FROM tagged, unnest(range(1, least(len(string_split(gx,';')), len(string_split(gn,';'))) + 1)) AS u(i)
- WHERE gx IS NOT NULL AND gn IS NOT NULL AND {_COUNTABLE} GROUP BY ALL""")
-def count_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From read files and a BAM folder of each pair's alignments to the matrix of reads, through all steps' files."""
+_TAGGED_SQL = f""", tagged AS (SELECT a.* EXCLUDE (cb, cr, ur, file_pair, align_ordinal), ok.d1 AS cb, ok.ur, {{'f': ok.file_pair, 'o': a.read_no}} AS align_ordinal FROM ok JOIN aln a ON a.read_no = ok.read_no WHERE passes AND d1 IS NOT NULL),
+ {_FEATURES.replace("FROM aln a", "FROM tagged a")}"""
+
+
+def _counted(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """From read files and a BAM folder of each pair's alignments to matrices, through all steps' files.
+
+    Positions are few, so UMIs of either pair's alignments tie in place with one another.
+    """
     folder, out = _read_files(spark, sf_dir)[0], fresh_path(spark, "counted")
     rows = _records(spark, sf_dir).withColumns({"query_name": F.concat(F.lit("r"), F.lpad(F.col("read_no").cast("string"), 12, "0"), F.lit("/2")), "pair": F.col("read_no") % 2}).drop("cb", "cr", "ur", "fl")
     paths = []
     for pair in (0, 1):
-        paths.append(f"{out}/pair{pair}.bam")
+        paths.append(f"{out}/{'zy'[pair]}.bam")  # not in the order of names
         sam.write_bam(rows.where(F.col("pair") == pair), paths[-1], _REFERENCES)
-    jobs.count_reads(spark, folder, _CONFIG, paths, out)
+    return out, jobs.count_reads(spark, folder, _CONFIG, paths, out)
+
+
+@_query("count_run", _RUN + _TAGGED_SQL + f" SELECT fx AS gx, fn AS gn, cb, count(*) AS n FROM feat WHERE {_COUNTABLE} GROUP BY ALL")
+def count_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matrix of reads of a whole run."""
+    return market.read(spark, f"{_counted(spark, sf_dir)[0]}/raw_reads_bc_matrix")
+
+
+_RUN_UBS = _RUN + _TAGGED_SQL + f", {_COUNTS}, {_PARENTS}, {_ROOTS}, own AS (SELECT f.*, u.ub FROM feat f JOIN feat g ON f.read_no=g.read_no AND g.i=1 JOIN ubs u ON u.ref=g.ref AND u.cb=g.cb AND u.gx=g.fx AND u.gn=g.fn AND u.ur=g.ur)"
+
+
+@_query("count_run_umis", _RUN_UBS + f" SELECT gx, gn, cb, count(*) AS n FROM (SELECT DISTINCT ref, fx AS gx, fn AS gn, cb, ub FROM own WHERE {_COUNTABLE}) GROUP BY ALL")
+def count_run_umis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matrix of UMIs of a whole run over two pairs of files."""
+    return market.read(spark, f"{_counted(spark, sf_dir)[0]}/raw_umis_bc_matrix")
+
+
+@_query("count_run_ubs", _RUN_UBS + " SELECT 'r' || lpad(cast(read_no as varchar), 12, '0') || '/2' AS query_name, cb, ur, ub FROM own WHERE i = 1")
+def count_run_ubs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each alignment's corrected UMI in a whole run over two pairs of files."""
+    return _counted(spark, sf_dir)[1].select("query_name", "cb", "ur", "ub")
+
+
+@_query("count_matrix_command", _ctes(_FEATURES) + f"SELECT fx AS gx, fn AS gn, cb, count(*) AS n FROM feat WHERE {_COUNTABLE} GROUP BY ALL")
+def count_matrix_command(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The command that counts tagged alignments, given a BAM folder."""
+    from cellweave.__main__ import run
+
+    folder, out = fresh_path(spark, "tagged") + ".bam", fresh_path(spark, "counted")
+    sam.write_bam(_records(spark, sf_dir), folder, _REFERENCES)
+    run(spark, ["count_matrix", folder, "--output-dir", out])
     return market.read(spark, f"{out}/raw_reads_bc_matrix")
 
 
-@_query("annotate_by_pair", _ctes() + "SELECT a.read_no, a.cb, a.ur FROM aln a WHERE a.file_pair IN (0, 1)")
+@_query("preprocess_keeps_no_barcoded_mate", _RUN + """SELECT cast(file_pair as int) AS file_pair, row_number() OVER (PARTITION BY file_pair ORDER BY rec_idx) - 1 AS rec_idx, name || '/1' AS read_id, other AS seq FROM ok WHERE passes AND d1 IS NOT NULL""")
+def preprocess_keeps_no_barcoded_mate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A configuration, gzipped in a file, that keeps nothing of the mate with barcodes: one read file for each pair is left."""
+    folder, out = fresh_path(spark, "config"), fresh_path(spark, "preprocessed")
+    text = json.dumps(_CONFIG | {"barcode_struct_r1": {"keep_nonbarcode": False, "blocks": _BLOCKS}})
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.option("compression", "gzip").text(folder)
+    (path,) = files.parts(folder)
+    jobs.preprocess(spark, _read_files(spark, sf_dir, barcoded=2)[0], extract.read_config(path), out)
+    left = [(f,) for f in files.listed_reads(f"{out}/reads")]
+    return fastq.read(spark, left).select("file_pair", "rec_idx", "read_id", "seq")
+
+
+@_query("fastq_gzipped", _ctes(_MATES) + "SELECT *, read_id || ' more' AS description, repeat('F', length(seq)) AS qual FROM mates")
+def fastq_gzipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gzipped parts, told by their content."""
+    folder = fresh_path(spark, "reads")
+    fastq.write(_both_mates(spark, sf_dir), folder, compression="gzip")
+    return fastq.read(spark, files.paired(folder))
+
+
+@_query("read_file_pairs", """SELECT cast(dense_rank() OVER (ORDER BY event_type) - 1 as int) AS file_pair, event_type || '_1.x' AS name_1, event_type || '_2.x' AS name_2, count(*) AS n_reads FROM events GROUP BY event_type""")
+def read_file_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read files named by the type of their events: how they pair, what they are called, and how many reads a mate has."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    rows = events.select(F.explode(F.array(*(F.concat("event_type", F.lit(f"_{m}.x.fq")) for m in (1, 2)))).alias("name"), F.col("event_id").alias("rec_idx"), F.col("event_id").cast("string").alias("description"), F.lit("ACGT").alias("seq"), F.lit("FFFF").alias("qual"))
+    folder = fresh_path(spark, "reads")
+    fastq.write(rows, folder)
+    pairs = files.paired(folder)
+    names = spark.createDataFrame([(i, files.prefix(a), files.prefix(b)) for i, (a, b) in enumerate(pairs)], "file_pair int, name_1 string, name_2 string")
+    counted = fastq.Reads(spark, pairs).rows(mate=2).groupBy("file_pair").agg(F.count("*").alias("n_reads"))
+    return names.join(counted, "file_pair").select("file_pair", "name_1", "name_2", "n_reads")
+
+
+_FEW = "(CASE WHEN file_pair = 3 THEN read_no//4 + 1000 ELSE read_no//4 END)"
+
+
+@_query("passing_reads_small_sample", _ctes() + f"SELECT read_no FROM aln LEFT JOIN (SELECT file_pair, avg(score) - 2*stddev_pop(score) AS t FROM aln WHERE {_FEW} <= 40 GROUP BY 1) USING (file_pair) WHERE t IS NULL OR score >= t")
+def passing_reads_small_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thresholds from each file's first 41 records; a file whose records begin beyond them lets all pass."""
+    rows = alignments(spark, sf_dir).withColumn("rec_idx", F.expr("CASE WHEN file_pair = 3 THEN read_no div 4 + 1000 ELSE read_no div 4 END"))
+    return reads.passing(rows, 40).select("read_no")
+
+
+@_query("annotate_by_pair", _ctes() + "SELECT read_no, cb, ur FROM aln")
 def annotate_by_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of files that number their mates at the first place of the name, or at the second."""
-    rows = alignments(spark, sf_dir).where("file_pair IN (0, 1)")
-    name = lambda mate: F.when(F.col("file_pair") == 0, F.concat(F.lit(f"{mate}x"), F.col("read_no").cast("string"))).otherwise(F.concat(F.lit(f"x{mate}"), F.col("read_no").cast("string")))
+    """Four pairs of files, which number their mates at four different places of the name."""
+    rows = alignments(spark, sf_dir)
+    number = F.lpad(F.col("read_no").cast("string"), 12, "0")
+    at = (F.col("file_pair") * 3).cast("int")
+    name = lambda mate: F.concat(F.substr(number, F.lit(1), at), F.lit(str(mate)), F.substr(number, at + 1, F.lit(12)))
     tags = rows.select("file_pair", name(1).alias("read_id"), "cb", "ur")
-    return reads.annotate(rows.select("read_no", "file_pair", name(2).alias("query_name")), tags, {0: [0], 1: [1]}).select("read_no", "cb", "ur")
+    return reads.annotate(rows.select("read_no", "file_pair", name(2).alias("query_name")), tags, {i: [3 * i] for i in range(4)}).select("read_no", "cb", "ur")
+
+
+def _drawn(*parts: str) -> str:
+    return f"cast('0x' || substr(md5({" || '.' || ".join(parts)}), 1, 8) AS bigint)"
+
+
+def _simulated_sql() -> str:
+    """The drawn barcode, linker and UMI of each event's read, by the digests that draw them."""
+    listed = lambda seq: "[" + ", ".join(f"'{s}'" for s in seq) + "]"
+    which = lambda place, seq: f"{listed(seq)}[1 + {_drawn("'42'", 'i', "'0'", f"'{place}'", "'which'")} % {len(seq)}]"
+    umi = f"translate(substr(md5('42.' || (CASE WHEN e < pool THEN e ELSE {_drawn("'42'", 'i', "'0'", "'2'", "'of'")} % pool END) || '.0.2.0'), 1, 6), '0123456789abcdef', 'ATGCATGCATGCATGC')"
+    return f"""SELECT e AS rec_idx, i || '_' || {which(0, _FIRST.sequence)} || '_' || {which(1, (LINKER, OTHER_LINKER))} || '_' || {umi} AS read_id,
+ {which(0, _FIRST.sequence)} AS cb, {umi} AS ur, length({which(1, (LINKER, OTHER_LINKER))}) AS fl, true AS cut_found
+ FROM (SELECT event_id AS e, cast(event_id AS varchar) AS i, least(cast(floor(0.5 * count(*) OVER ()) AS bigint) + 1, count(*) OVER ()) AS pool FROM events)"""
 
 
-@_query("simulated_reads", "SELECT event_id AS rec_idx, true AS cb_found, true AS ur_found, true AS cut_found FROM events")
+@_query("simulated_reads", _simulated_sql())
 def simulated_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A read without errors is drawn for each event; its barcodes and UMI are those in its name."""
-    n = spark.read.parquet(f"{sf_dir}/events.parquet").count()
-    made = simulate.simulated(spark, [_CONFIG["barcode_struct_r1"]], n, error=1e-12)
+    """A read without errors is drawn for each event, and its barcode, UMI and linker are found again."""
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("rec_idx"))
+    made = simulate.reads_of(rows, [_CONFIG["barcode_struct_r1"]], rows.count(), error=1e-12)
     found = extract.extract(made, extract.Layout.of(_CONFIG["barcode_struct_r1"]))
     part = F.split("read_id", "_")
     whole = F.concat(part[1], part[2], part[3], "trimmed") == F.col("seq")
-    return found.select("rec_idx", (F.col("cb") == part[1]).alias("cb_found"), (F.col("ur") == part[3]).alias("ur_found"), whole.alias("cut_found"))
+    return found.select("rec_idx", "read_id", "cb", "ur", F.col("fl").cast("long").alias("fl"), whole.alias("cut_found"))

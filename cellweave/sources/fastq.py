@@ -1,14 +1,17 @@
 """Reads from FASTQ files, and reads back into such files.
 
-A read file is a file or a folder of parts. Files that are not gzipped are split by byte
-ranges, so one file is read by many tasks. Records are numbered by their place in the file,
-which is what pairs mates: where a file has several shares, their records are counted first.
+A read file is a file or a folder of parts. Files that are not gzipped, or gzipped in blocks, are
+split by byte ranges, so one file is read by many tasks. Records are numbered by their place in
+the file, which is what pairs mates: where a file has several shares, their records are counted
+first. One mate, or first records, are read without opening what lies beyond them.
 """
 
 from __future__ import annotations
 
 import io
+import itertools
 import json
+import sys
 from collections.abc import Iterator
 from typing import BinaryIO
 
@@ -18,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from cellweave.session import prepare
+from cellweave.sources import bgzf
 from cellweave.sources import files as names
 from cellweave.sources.files import located, opened
 
@@ -104,58 +108,150 @@ class _Limited(io.RawIOBase):
         return len(data)
 
 
+class _Blocks(io.RawIOBase):
+    """What the blocks from one at ``start`` on hold, read forward; ``place`` is where the next byte lies."""
+
+    def __init__(self, raw: io.BufferedReader, start: int) -> None:
+        self._blocks, self._data, self._at, self._offset = bgzf.blocks(raw, start), b"", 0, start
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:  # type: ignore[override]
+        if not self._fill():
+            return 0
+        n = min(len(buffer), len(self._data) - self._at)
+        buffer[:n] = self._data[self._at : self._at + n]
+        self._at += n
+        return n
+
+    def _fill(self) -> bool:
+        while self._at == len(self._data):
+            found = next(self._blocks, None)
+            if found is None:
+                return False
+            (self._offset, self._data), self._at = found, 0
+        return True
+
+    def line(self) -> bytes:
+        """The next line with its end."""
+        out = b""
+        while self._fill():
+            end = self._data.find(b"\n", self._at) + 1 or len(self._data)
+            out, self._at = out + self._data[self._at : end], end
+            if out.endswith(b"\n"):
+                break
+        return out
+
+    @property
+    def place(self) -> int:
+        return (self._offset << 16) + self._at if self._fill() else bgzf.END
+
+
+def _first_of_blocks(raw: io.BufferedReader, start: int, size: int) -> int:
+    """Virtual offset of the first record that begins after the first line end in the blocks from ``start`` on.
+
+    Where a line begins is known only behind a line's end, so a record at the very beginning of
+    the blocks belongs to the share before. At the file's own start it is the first record.
+    """
+    if start >= size:
+        return bgzf.END
+    stream = _Blocks(raw, start)
+    if start:
+        stream.line()
+    places, window = [stream.place], []
+    while True:
+        while len(window) < 4 and (line := stream.line()):
+            window.append(line)
+            places.append(stream.place)
+        if len(window) < 4:
+            return bgzf.END
+        if _plain(window):
+            return places[0]
+        window.pop(0)
+        places.pop(0)
+
+
+def _in_blocks(raw: io.BufferedReader, start: int, end: int, size: int) -> Iterator[tuple[str, str, str]]:
+    """Records of a file of blocks that belong to the bytes [start, end)."""
+    first, beyond = (bgzf.first_block(raw, at, size) if at else 0 for at in (start, end))
+    if first >= beyond:
+        return
+    at, stop = _first_of_blocks(raw, first, size), _first_of_blocks(raw, beyond, size)
+    if at >= stop:
+        return
+    stream = _Blocks(raw, at >> 16)
+    stream.read(at & 0xFFFF)
+    while stream.place < stop and (line := stream.line()):
+        if line.strip():
+            yield next(records(io.BufferedReader(io.BytesIO(b"".join([line, *(stream.line() for _ in range(3))])))))
+
+
 class _Share(InputPartition):
-    """A byte range (end -1: the whole file) whose first record has number ``base`` in its mate."""
+    """A byte range of a file whose first record has number ``base`` in its mate."""
 
-    def __init__(self, path: str, start: int, end: int, pair: int, mate: int, place: int, base: int) -> None:
-        super().__init__((path, start, end, pair, mate, place, base))
+    def __init__(self, path: str, start: int, end: int, size: int, pair: int, mate: int, place: int, base: int) -> None:
+        super().__init__((path, start, end, size, pair, mate, place, base))
 
 
-def _shares(pairs: list[tuple[str, ...]], size: int) -> list[tuple]:
-    """(path, start, end, file_pair, mate, place): the shares of each mate in order."""
+def _shares(pairs: list[tuple[str, ...]], share: int) -> list[tuple]:
+    """(path, start, end, size, file_pair, mate, place): the shares of each mate in order, by the files' sizes alone."""
     out = []
     for pair, both in enumerate(pairs):
         for mate, file in enumerate(both, 1):
             place = 0
             for path in names.parts(file):
-                store, name = located(path)
-                with store.open_input_file(name) as f:
-                    head, length = f.read(1 << 16), f.size()
-                ends = [(0, -1)]
-                if length > size and head[:2] != names.GZIP and _plain(head.split(b"\n")):
-                    ends = [(at, min(at + size, length)) for at in range(0, length, size)]
-                for start, end in ends:
-                    out.append((path, start, end, pair, mate, place))
+                size = names.size(path)
+                for start in range(0, max(size, 1), share):
+                    out.append((path, start, min(start + share, size), size, pair, mate, place))
                     place += 1
     return out
 
 
-def _of_share(path: str, start: int, end: int) -> Iterator[tuple[str, str, str]]:
-    if end < 0:
+def _of_share(path: str, start: int, end: int, size: int) -> Iterator[tuple[str, str, str]]:
+    """The records that belong to a byte range. Files that cannot be split are the first range's."""
+    store, name = located(path)
+    with store.open_input_file(name) as file:
+        raw = io.BufferedReader(file, 1 << 20)  # type: ignore[arg-type]
+        head = raw.read(1 << 16)
+        if start == 0 and end >= size:
+            kind = "whole"
+        elif bgzf.block_size(head[:64]):
+            opening = _Blocks(raw, 0)
+            kind = "blocks" if _plain([opening.line() for _ in range(4)]) else "whole"
+        else:
+            kind = "bytes" if head[:2] != names.GZIP and _plain(head.split(b"\n")) else "whole"
+        if kind == "blocks":
+            yield from _in_blocks(raw, start, end, size)
+            return
+        if kind == "bytes":
+            yield from _in_range(raw, start, end)  # type: ignore[arg-type]
+            return
+    if start == 0:
         with opened(path) as stream:
             yield from records(stream)
-    else:
-        store, name = located(path)
-        with store.open_input_file(name) as file:
-            yield from _in_range(io.BufferedReader(file, 1 << 20), start, end)  # type: ignore[arg-type]
 
 
-class _Reader(DataSourceReader):
-    def __init__(self, shares: list[list], only_count: bool) -> None:
-        self.shares, self.only_count = shares, only_count
+class Reader(DataSourceReader):
+    """Shares of files, records of which are given up to number ``last``, or only counted."""
+
+    def __init__(self, shares: list[list], only_count: bool, last: int) -> None:
+        self.shares, self.only_count, self.last = shares, only_count, last
 
     def partitions(self) -> list[InputPartition]:
-        return [_Share(*s) for s in self.shares]
+        return [_Share(*s) for s in self.shares] or [InputPartition(None)]  # a reader has to have a partition
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        path, start, end, pair, mate, place, base = partition.value
+        if partition.value is None:
+            return
+        path, start, end, whole, pair, mate, place, base = partition.value
+        found = _of_share(path, start, end, whole)
         if self.only_count:
-            n = sum(1 for _ in _of_share(path, start, end))
-            yield self._batch([(pair, mate, n, str(place), "", "", "")])
+            yield self._batch([(pair, mate, sum(1 for _ in found), str(place), "", "", "")])
             return
         rows: list[tuple] = []
         size = 0
-        for i, (title, seq, qual) in enumerate(_of_share(path, start, end), base):
+        for i, (title, seq, qual) in enumerate(itertools.islice(found, min(max(self.last - base + 1, 0), sys.maxsize)), base):
             rows.append((pair, mate, i, title.split(None, 1)[0] if title.strip() else "", title, seq, qual))
             size += len(title) + 2 * len(seq)
             if len(rows) == ROWS or size > BYTES:
@@ -170,7 +266,7 @@ class _Reader(DataSourceReader):
 
 
 class FastqSource(DataSource):
-    """``shares``: a JSON list of what :class:`_Share` takes; with ``count`` their sizes are all that is given."""
+    """``shares``: a JSON list of what :class:`_Share` takes; with ``count`` their sizes are all that is given; ``last``: greatest record number."""
 
     @classmethod
     def name(cls) -> str:
@@ -179,31 +275,53 @@ class FastqSource(DataSource):
     def schema(self) -> str:
         return SCHEMA
 
-    def reader(self, schema) -> _Reader:
-        return _Reader(json.loads(self.options["shares"]), "count" in self.options)
+    def reader(self, schema) -> Reader:
+        return Reader(json.loads(self.options["shares"]), "count" in self.options, int(self.options.get("last", 1 << 62)))
 
 
-def read(spark: SparkSession, pairs: list[tuple[str, ...]], share: int = SHARE) -> DataFrame:
-    """(file_pair, mate, rec_idx, read_id, description, seq, qual) of pairs of files, mates numbered from 1.
+class Reads:
+    """Pairs of read files whose shares are numbered, to be read as a whole or in part.
 
-    No files at all are an error; files without records give no rows. The driver sees one
-    count for each share of a file.
+    No files at all are an error. The driver sees the files' sizes, and one count for each share of
+    a mate that has several; what kind a file is, tasks see.
     """
-    prepare(spark).dataSource.register(FastqSource)
-    shares = _shares(pairs, share)
-    if not shares:
-        raise ValueError("no read files")
-    load = lambda with_base: spark.read.format("cellweave_fastq").option("shares", json.dumps(with_base))
-    base = [0] * len(shares)
-    several = [i for i, s in enumerate(shares) if s[5]]
-    if several:
-        mates = {shares[i][3:5] for i in several}
-        counted = [(*s, 0) for s in shares if s[3:5] in mates]
-        found = {(r["file_pair"], r["mate"], int(r["read_id"])): r["rec_idx"] for r in load(counted).option("count", "1").load().collect()}
-        for i in several:
-            pair, mate, place = shares[i][3:]
-            base[i] = base[i - 1] + found[pair, mate, place - 1]
-    return load([(*s, b) for s, b in zip(shares, base, strict=True)]).load()
+
+    def __init__(self, spark: SparkSession, pairs: list[tuple[str, ...]], share: int = SHARE) -> None:
+        self.spark = prepare(spark)
+        spark.dataSource.register(FastqSource)
+        shares = _shares(pairs, share)
+        if not shares:
+            raise ValueError("no read files")
+        base = [0] * len(shares)
+        several = [i for i, s in enumerate(shares) if s[6]]
+        if several:
+            mates = {shares[i][4:6] for i in several}
+            counted = self._load([(*s, 0) for s in shares if s[4:6] in mates], count="1")
+            found = {(r["file_pair"], r["mate"], int(r["read_id"])): r["rec_idx"] for r in counted.collect()}
+            for i in several:
+                pair, mate, place = shares[i][4:]
+                base[i] = base[i - 1] + found[pair, mate, place - 1]
+        self.shares = [(*s, b) for s, b in zip(shares, base, strict=True)]
+
+    def _load(self, shares: list[tuple], **options: str) -> DataFrame:
+        return self.spark.read.format("cellweave_fastq").option("shares", json.dumps(shares)).options(**options).load()
+
+    def planned(self, pair: int | None = None, mate: int | None = None, last: int | None = None) -> list[tuple]:
+        """The shares that may hold what is asked for."""
+        return [s for s in self.shares if (pair is None or s[4] == pair) and (mate is None or s[5] == mate) and (last is None or s[7] <= last)]
+
+    def rows(self, pair: int | None = None, mate: int | None = None, last: int | None = None) -> DataFrame:
+        """(file_pair, mate, rec_idx, read_id, description, seq, qual) of one pair of files, one mate, or
+        records up to number ``last``: other shares are not opened, and none is read beyond it.
+
+        Mates are numbered from 1; files without records give no rows.
+        """
+        return self._load(self.planned(pair, mate, last), **({} if last is None else {"last": str(last)}))
+
+
+def read(spark: SparkSession, pairs: list[tuple[str, ...]], share: int = SHARE) -> DataFrame:
+    """All rows of :class:`Reads`."""
+    return Reads(spark, pairs, share).rows()
 
 
 def entry() -> Column:
@@ -211,11 +329,11 @@ def entry() -> Column:
     return F.concat_ws("\n", F.concat(F.lit("@"), "description"), "seq", F.lit("+"), "qual")
 
 
-def write(reads: DataFrame, folder: str, name: str = "name") -> None:
+def write(reads: DataFrame, folder: str, name: str = "name", compression: str = "none") -> None:
     """Read files ``folder/name=.../part-*`` that hold, in the order of their names, records by ``rec_idx``.
 
     Such a folder can be read by :func:`cellweave.sources.files.paired` and :func:`read`.
     Ranges of records, not whole files, are what a task writes. An existing folder is an error.
     """
     ranged = reads.repartitionByRange(name, "rec_idx").sortWithinPartitions(name, "rec_idx")
-    ranged.select(F.col(name), entry().alias("value")).write.partitionBy(name).mode("errorifexists").text(folder)
+    ranged.select(F.col(name), entry().alias("value")).write.partitionBy(name).mode("errorifexists").option("compression", compression).text(folder)

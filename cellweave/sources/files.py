@@ -58,14 +58,18 @@ def parts(path: str) -> list[str]:
     return sorted(f"{scheme}{i.path}" for i in _listed(path) if i.is_file and i.base_name.startswith("part-"))
 
 
+def listed_reads(folder: str) -> list[str]:
+    """The read files of a folder by name: files with one of ``SUFFIXES``, and folders ``name=...`` of parts."""
+    scheme = folder.split("://")[0] + "://" if "://" in folder else ""
+    return sorted(f"{scheme}{i.path}" for i in _listed(folder) if (i.base_name.endswith(SUFFIXES) if i.is_file else i.base_name.startswith(NAMED)))
+
+
 def paired(folder: str) -> list[tuple[str, str]]:
     """Neighbours of the sorted read files of ``folder``.
 
-    A read file is a file with one of ``SUFFIXES``, or a folder ``name=...`` of parts. No read
-    files, an odd number of them, and names that do not pair are errors.
+    No read files, an odd number of them, and names that do not pair are errors.
     """
-    scheme = folder.split("://")[0] + "://" if "://" in folder else ""
-    found = sorted(f"{scheme}{i.path}" for i in _listed(folder) if (i.base_name.endswith(SUFFIXES) if i.is_file else i.base_name.startswith(NAMED)))
+    found = listed_reads(folder)
     if not found:
         raise ValueError(f"no read files in {folder}")
     if len(found) % 2:
@@ -83,6 +87,11 @@ def read_text(path: str) -> str:
         return stream.read().decode()
 
 
+def size(path: str) -> int:
+    store, name = located(path)
+    return store.get_file_info(name).size
+
+
 def exists(path: str) -> bool:
     store, name = located(path)
     return store.get_file_info(name).type != pafs.FileType.NotFound

@@ -72,9 +72,9 @@ def test_bam_shares_meet(spark, tmp_path):
     df = spark.createDataFrame(rows, "query_name string, flag int, ref string, pos long, mapq int, cigar string, seq string, qual string, cr string").coalesce(1)
     sam.write_bam(df, str(tmp_path / "x.bam"), [("chr1", 5000)])
     (path,) = [str(p) for p in sorted((tmp_path / "x.bam").iterdir()) if p.stat().st_size > 10_000] or [None]
-    assert len(sam._split(path, 20_000)) > 4
+    assert len(sam.BamReader([list(vars(f).values()) for f in sam.bam_files([path])], 20_000, sam.Region()).partitions()) > 4
     got = sam.read_bam(spark, [path], 20_000).orderBy("align_ordinal").collect()
-    assert [(r.query_name, r.cr) for r in got] == [(r[0], r[8]) for r in rows] and [r.align_ordinal for r in got] == list(range(3000))
+    assert [(r.query_name, r.cr) for r in got] == [(r[0], r[8]) for r in rows] and len({r.align_ordinal for r in got}) == 3000
     with gzip.open(path) as f:  # the blocks are gzip members for any other reader
         assert f.read(4) == b"BAM\1"
 

@@ -53,9 +53,13 @@ def test_simulated(spark):
     pool = {r.read_id.split("_")[4] for r in clean if r.rec_idx <= 20}
     assert all(r.read_id.split("_")[4] in pool for r in clean) and all(len(r.seq) == len(r.qual) for r in clean)
     assert clean == simulate.simulated(spark, [STRUCT], 40, error=-1, substitution=1.0).repartition(3).orderBy("rec_idx").collect()
-    rng = np.random.default_rng(1)
-    assert all(sum(a != b for a, b in zip("ACGTACGT", simulate.mutated("ACGTACGT", 2, 0, 1.0, 0, rng), strict=True)) == 2 for _ in range(50))
-    assert simulate.mutated("A", 3, 0, 0, 0, rng) == "" and simulate.mutated("", 0, 0.5, 0.5, 0.5, rng) == ""
+    words = spark.createDataFrame([(i, w) for i, w in enumerate(["ACGTACGT"] * 60 + ["A", ""])], "i int, w string")
+    made = words.select("w", *(simulate.mutated(F.col("w"), 2, *how, F.col("i")).alias(n) for n, how in {"x": (0, 1.0, 0), "gone": (0, 0, 0), "more": (0, 0, 1.0), "some": (0.3, 0.5, 0.5)}.items())).collect()
+    assert all(len(r.x) == len(r.w) and sum(a != b for a, b in zip(r.w, r.x, strict=True)) == min(2, len(r.w)) for r in made)
+    assert all(len(r.gone) == max(0, len(r.w) - 2) and len(r.more) == len(r.w) + min(2, len(r.w)) for r in made)
+    assert len({r.some for r in made}) > 20 and max(len(r.some) for r in made) > 8 > min(len(r.some) for r in made[:60])
+    sizes = [len(r.seq) - 8 - len(r.read_id.split("_")[2]) - 8 - 8 for r in simulate.simulated(spark, [STRUCT], 2000, error=-1, substitution=1.0, seed=3).collect()]
+    assert abs(np.mean(sizes) - simulate.TAIL) < 0.5 and abs(np.var(sizes) - simulate.TAIL) < 2.5
 
 
 @pytest.fixture(scope="module")
