@@ -20,33 +20,64 @@ def encoded(texts: list[str], width: int | None = None) -> tuple[np.ndarray, np.
     return flat.reshape(len(raw), most), lengths
 
 
+#: How far from the diagonal reads are aligned at first.
+BAND = 5
+
+
 def align(templates: np.ndarray, reads: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Scores in tenths, and for each template letter the read letters used up when it is matched.
 
     ``templates``: (row, L), ``reads``: (row, M). A template letter without a partner has -1.
     Global alignment; gaps at the left end cost more, read letters after the template's end
     nothing. A read without letters has all letters of its template deleted.
+
+    A way through the matrix that goes further than ``BAND`` from the diagonal has more gaps than
+    that, so a read whose best score within the band is over all matches less so many gaps has
+    no way as good outside it. The others are aligned over the whole matrix.
     """
+    size, width = templates.shape[1], reads.shape[1]
+    if min(size, width) <= 2 * BAND:
+        return _aligned(templates, reads, lengths, max(size, width))
+    scores, used = _aligned(templates, reads, lengths, BAND)
+    most = MATCH * (templates != WILD).sum(axis=1) + max(WILDCARD, 0) * size
+    rest = np.flatnonzero(scores <= most + (BAND + 1) * GAP)
+    if len(rest):
+        scores[rest], used[rest] = _aligned(templates[rest], reads[rest], lengths[rest], max(size, width))
+    return scores, used
+
+
+def _aligned(templates: np.ndarray, reads: np.ndarray, lengths: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`align` by ways that stay within ``band`` of the diagonal, but for letters after the template's end."""
     rows, size = templates.shape
     width = reads.shape[1]
+    far = np.int32(-(1 << 20))
     # 0: a read letter without partner, 1: a template letter without partner, 2: a pair; of
     # steps that score alike the first of these is taken
     step = np.zeros((size + 1, width + 1, rows), np.int8)
     step[1:, 0] = 1
     above = np.repeat((np.arange(width + 1) * LEFT_GAP)[:, None], rows, axis=1).astype(np.int32)
+    above[band + 1 :] = far
+    turned = np.ascontiguousarray(reads.T)
+    wild = turned == WILD
     for i in range(1, size + 1):
         letter = templates[:, i - 1]
-        here = np.empty_like(above)
-        here[0] = i * LEFT_GAP
-        same = np.where(letter[None] == reads.T, MATCH, MISMATCH)
-        pair = above[:-1] + np.where((letter[None] == WILD) | (reads.T == WILD), WILDCARD, same)
-        skip = above[1:] + GAP
-        after = 0 if i == size else GAP
-        for j in range(1, width + 1):
-            insert = here[j - 1] + after
-            best = np.maximum(np.maximum(insert, skip[j - 1]), pair[j - 1])
-            step[i, j] = np.where(insert == best, 0, np.where(skip[j - 1] == best, 1, 2))
-            here[j] = best
+        low, high = max(1, i - band), min(width, i + band)
+        here = np.full_like(above, far)
+        if i <= band:
+            here[0] = i * LEFT_GAP
+        if low <= high:
+            part = slice(low - 1, high)
+            same = np.where(letter[None] == turned[part], MATCH, MISMATCH)
+            pair = above[part] + np.where((letter[None] == WILD) | wild[part], WILDCARD, same)
+            skip = above[low : high + 1] + GAP
+            after = 0 if i == size else GAP
+            best_of_two, two = np.maximum(skip, pair), np.where(skip >= pair, 1, 2).astype(np.int8)
+            for k, j in enumerate(range(low, high + 1)):
+                insert = here[j - 1] + after
+                here[j] = np.maximum(insert, best_of_two[k])
+                step[i, j] = np.where(insert >= best_of_two[k], 0, two[k])
+        if i == size and low <= high:
+            here[high + 1 :] = here[high]  # letters after the template's end cost nothing
         above = here
     every = np.arange(rows)
     scores = above[lengths, every]
@@ -55,6 +86,8 @@ def align(templates: np.ndarray, reads: np.ndarray, lengths: np.ndarray) -> tupl
     while (active := (i > 0) | (j > 0)).any():
         at = every[active]
         kind = step[i[at], j[at], at]
+        # a score from outside the band is of no use, but its way has to end
+        kind = np.where(i[at] == 0, 0, np.where(j[at] == 0, 1, kind))
         paired = at[kind == 2]
         used[paired, i[paired] - 1] = j[paired]
         i[at] -= kind != 0

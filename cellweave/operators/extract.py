@@ -24,6 +24,8 @@ from cellweave.session import written
 from cellweave.sources.files import read_text
 
 BATCH = 1000
+#: Bytes a core that are few: aligning takes far longer than dealing them out.
+FEW = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -86,6 +88,13 @@ def _cut(read: str, bounds: np.ndarray) -> list[str]:
     return [read[a:b] for a, b in zip([0, *bounds[:-1]], bounds, strict=True)]
 
 
+def _spread(reads: DataFrame) -> DataFrame:
+    """``reads`` dealt over all cores where the planner knows them to be few bytes; others as they come."""
+    cores = reads.sparkSession.sparkContext.defaultParallelism
+    known = int(reads._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return reads.repartition(2 * cores) if known <= cores * FEW else reads
+
+
 def aligned(reads: DataFrame, layout: Layout, either_strand: bool = False, seq: str = "seq") -> DataFrame:
     """``reads`` with ``oriented``, ``score``, ``aligned``, ``variant``, ``pieces`` and ``end_pos``.
 
@@ -94,16 +103,21 @@ def aligned(reads: DataFrame, layout: Layout, either_strand: bool = False, seq:
     undefined has ``aligned`` false and null pieces; a null read counts as empty.
     """
     strands = [F.coalesce(seq, F.lit(""))] + ([reverse_complement(F.coalesce(seq, F.lit("")))] if either_strand else [])
-    prepared = reads.select(*reads.columns, F.array(*strands).alias("_strands"))
+    prepared = _spread(reads).select(*reads.columns, F.array(*strands).alias("_strands"))
     variants = layout.variants
 
     def best(texts: list[str]) -> list[tuple]:
         found: list[tuple] = [(-np.inf, False, 0, None, 0)] * len(texts)
         for k, pieces in enumerate(variants):
             template = "".join(pieces)
-            letters, lengths = encoded(texts, int(PREFIX * len(template)))
-            scores, used = align(np.repeat(np.frombuffer(template.encode(), np.uint8)[None], len(texts), 0), letters, lengths)
-            bounds, ok = boundaries(used, list(itertools.accumulate(map(len, pieces))))
+            most = int(PREFIX * len(template))
+            # one alignment for each distinct prefix
+            distinct: dict[str, int] = {}
+            which = np.array([distinct.setdefault(t[:most], len(distinct)) for t in texts])
+            letters, lengths = encoded(list(distinct), most)
+            scores, used = align(np.repeat(np.frombuffer(template.encode(), np.uint8)[None], len(distinct), 0), letters, lengths)
+            bounds, ok = (x[which] for x in boundaries(used, list(itertools.accumulate(map(len, pieces)))))
+            scores = scores[which]
             for r, text in enumerate(texts):
                 score, old = scores[r] / 10 / len(template), found[r]
                 cut = _cut(text, bounds[r]) if ok[r] else None

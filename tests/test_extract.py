@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 
+from cellweave.functions import alignment
 from cellweave.functions.alignment import align, boundaries, encoded
 from cellweave.operators.extract import Block, Layout, aligned, extract
 
@@ -96,3 +97,22 @@ def test_layout():
     assert [LAYOUT.distance(i) for i in LAYOUT.places("barcodeList")] == ["levenshtein", "freediv"]
     with pytest.raises(ValueError, match="two blocks"):
         Layout(LAYOUT.blocks[:1])
+
+
+def test_the_band_changes_nothing():
+    rng = np.random.default_rng(4)
+    for size in (14, 25, 33):
+        made = rng.choice(list(b"ACGTN"), (300, size)).astype(np.uint8)
+        texts = []
+        for t in made:
+            s = [chr(c) if c != 78 else "ACGT"[rng.integers(4)] for c in t]
+            for _ in range(rng.integers(0, 9)):
+                at = rng.integers(0, max(1, len(s)))
+                s[at : at + rng.integers(0, 4)] = list("ACGT"[: rng.integers(0, 4)])
+            texts.append("".join(s) + "ACGTTGCA" * 3 if rng.random() < 0.9 else "".join(rng.choice(list("ACGT"), rng.integers(0, 40))))
+        letters, lengths = alignment.encoded(texts, int(1.5 * size))
+        scores, used = alignment.align(made, letters, lengths)
+        whole, all_used = alignment._aligned(made, letters, lengths, 99)
+        assert (scores == whole).all() and (used == all_used).all()
+        within = alignment._aligned(made, letters, lengths, alignment.BAND)[0]
+        assert (within <= whole).all() and (within == whole).any()
