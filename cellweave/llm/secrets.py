@@ -6,6 +6,8 @@ the lengths of gaps and matches give places in code points.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +28,43 @@ LIVE = "live"
 #: What the pipeline puts in the place of a live secret, and of a copied example.
 MASK, COPIED_MASK = "[SECRET]", "[EXAMPLE]"
 
-_FOUND = "array<struct<start:bigint,end:bigint,value:string>>"
+_SPAN = "struct<start:bigint,end:bigint,value:string>"
+#: Code points of a block of a text.
+BLOCK = 4096
+
+
+def folded(items: Column, first: Column, state: str, made: str, step: Callable[[Column, Column], tuple[Column, Column, Column]]) -> Column:
+    """(made, state) after ``step`` has gone over an array: it gives the next state, whether something is made, and what.
+
+    A fold copies what it has made whenever it adds to it. So parts of about the square root of
+    the array's length are folded one after another, and their results joined once: an array of a
+    hundred thousand is copied some hundred times, not a hundred thousand times.
+    """
+    inner = f"struct<s:{state},found:array<{made}>>"
+    outer = f"struct<done:array<array<{made}>>,last:{inner}>"
+    none = F.array().cast(f"array<{made}>")
+
+    def one(acc: Column, x: Column) -> Column:
+        following, is_made, what = step(acc["s"], x)
+        found = F.when(is_made, F.concat(acc["found"], F.array(what.cast(made)))).otherwise(acc["found"])
+        return F.struct(following.cast(state).alias("s"), found.alias("found")).cast(inner)
+
+    def part(acc: Column, chunk: Column) -> Column:
+        begun = F.struct(acc["last"]["s"].alias("s"), none.alias("found")).cast(inner)
+        return F.struct(F.concat(acc["done"], F.array(acc["last"]["found"])).alias("done"), F.aggregate(chunk, begun, one).alias("last")).cast(outer)
+
+    def whole(z: Column) -> Column:
+        size = (F.floor(F.sqrt(F.size(z))) + 1).cast("int")
+        chunks = F.transform(F.sequence(F.lit(0), F.floor(F.size(z) / size).cast("int")), lambda k: F.slice(z, k * size + 1, size))
+        begun = F.struct(F.array().cast(f"array<array<{made}>>").alias("done"), F.struct(first.cast(state).alias("s"), none.alias("found")).alias("last")).cast(outer)
+        return F.aggregate(chunks, begun, part, lambda acc: F.struct(F.flatten(F.concat(acc["done"], F.array(acc["last"]["found"]))).alias("made"), acc["last"]["s"].alias("state")))
+
+    return _bound(items, whole)
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is made once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _matches(text: Column, kind: str, pattern: str, grouped: bool, least: int) -> Column:
@@ -41,17 +79,14 @@ def _matches(text: Column, kind: str, pattern: str, grouped: bool, least: int) -
     whole = F.lit(f"{gap}({body}|\\z)")
     parts = [F.regexp_extract_all(text, whole, F.lit(i)) for i in ((1, 2, 3) if grouped else (1, 2, 2))]
     zipped = F.arrays_zip(*(p.alias(n) for p, n in zip(parts, ("gap", "hit", "value"), strict=True)))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_FOUND).alias("found"))
 
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + F.length(x["gap"])
+    def step(at: Column, x: Column) -> tuple[Column, Column, Column]:
+        begin = at + F.length(x["gap"])
         end = begin + F.length(x["hit"])
-        value = x["value"]
-        one = F.array(F.struct(begin.alias("start"), end.alias("end"), value.alias("value")))
-        found = F.when(F.length(value) >= least, F.concat(state["found"], one)).otherwise(state["found"])
-        return F.struct(end.cast("bigint").alias("at"), found.cast(_FOUND).alias("found"))
+        return end, F.length(x["value"]) >= least, F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value"))
 
-    return F.when(text.rlike(NEEDS[kind]), F.aggregate(zipped, start, step, lambda s: s["found"])).otherwise(F.array().cast(_FOUND))
+    found = folded(zipped, F.lit(0), "bigint", _SPAN, step)["made"]
+    return F.when(text.rlike(NEEDS[kind]), found).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
 def _named(found: Column, kind: str, order: int) -> Column:
@@ -112,7 +147,9 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str =
     Base spans of every row stay as they are; a span ``live`` is added at each secret that is
     specific to few owners and repositories in the whole corpus. Rows that repeat key and text
     get the same results each; null keys, owners and repositories are allowed and count as no
-    owner or repository.
+    owner or repository. Null and empty texts have no spans, an empty table no rows. Texts are
+    taken whole, and work grows with their length and their number of spans. Only the four
+    named columns are read, so other columns' names do not matter.
     """
     prepare(docs.sparkSession)
     found = written(_found(docs, key, text, owner, repository), "secret-spans")
@@ -139,23 +176,34 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-def masked(text: Column, spans: Column, live: Column) -> Column:
-    """The text with each of its base ``spans`` replaced; overlapping spans are replaced together.
+def masked(text: Column, spans: Column) -> Column:
+    """The text with each of its ``spans`` (start, end, copied) replaced; overlapping spans are replaced together.
 
-    ``live`` holds the hashes of live secrets: a replaced place with one of them gets ``MASK``,
-    any other ``COPIED_MASK``.
+    A replaced place that holds a live secret gets ``MASK``, any other ``COPIED_MASK``. Texts are
+    cut into blocks once, since a place in a long text is found by counting from its start.
     """
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("done"), F.lit("").alias("mark"))
 
-    def step(state: Column, x: Column) -> Column:
-        apart = x["start"] >= state["at"]
-        kept = F.substr(text, state["at"] + 1, x["start"] - state["at"])
-        done = F.when(apart, F.concat(state["done"], state["mark"], kept)).otherwise(state["done"])
-        is_live = F.array_contains(live, F.sha2(x["value"], 256)) | (~apart & (state["mark"] == MASK))
-        mark = F.when(is_live, F.lit(MASK)).otherwise(F.lit(COPIED_MASK))
-        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), done.alias("done"), mark.alias("mark"))
+    def made(z: Column) -> Column:
+        def between(begin: Column, end: Column) -> Column:
+            def piece(b: Column) -> Column:
+                low = F.greatest(begin - b * BLOCK, F.lit(0))
+                return F.substr(F.get(z["blocks"], b.cast("int")), (low + 1).cast("int"), (F.least(end - b * BLOCK, F.lit(BLOCK)) - low).cast("int"))
+
+            every = F.sequence(F.floor(begin / BLOCK), F.floor((end - 1) / BLOCK))
+            return F.when(end > begin, F.array_join(F.transform(every, piece), "")).otherwise("")
 
-    return F.aggregate(F.array_sort(spans), start, step, lambda s: F.concat(s["done"], s["mark"], F.substr(text, s["at"] + 1)))
+        def step(state: Column, x: Column) -> tuple[Column, Column, Column]:
+            apart = x["start"] >= state["at"]
+            live = ~x["copied"] | (~apart & (state["mark"] == MASK))
+            after = F.struct(F.greatest(state["at"], x["end"]).alias("at"), F.when(live, F.lit(MASK)).otherwise(F.lit(COPIED_MASK)).alias("mark"))
+            return after, apart, F.concat(state["mark"], between(state["at"], x["start"]))
+
+        first = F.struct(F.lit(0).alias("at"), F.lit("").alias("mark"))
+        found = folded(F.array_sort(z["spans"]), first, "struct<at:bigint,mark:string>", "string", step)
+        return _bound(found, lambda f: F.concat(F.array_join(f["made"], ""), f["state"]["mark"], between(f["state"]["at"], z["n"])))
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    return _bound(F.struct(blocks.alias("blocks"), spans.alias("spans"), F.length(text).cast("bigint").alias("n")), made)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str | None = None) -> DataFrame:
@@ -164,6 +212,11 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str | None = None
     What owners and repositories in all of ``docs`` say of a secret decides its mark: nothing
     that looks like a secret stays, and live secrets are told from copied examples. Spans are found
     once and written beside the rows; only documents that hold a secret are moved.
+
+    Null and empty texts stay as they are; null keys and sources count as no repository and
+    owner; rows that repeat stay, each masked; an empty table stays empty. Other columns are handed
+    on, but names that begin with ``_cw_`` are taken. Work grows with a text's length and its number
+    of spans.
     """
     spans, text_hash = base_spans(F.col("text")), F.xxhash64(F.col("text").cast("string"))
     rows = written(docs.withColumns({"_cw_spans": spans, "_cw_hash": text_hash}), "secret-rows")
@@ -172,10 +225,10 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str | None = None
         "doc_id", F.col("source").cast("string").alias("owner"), F.col("doc_id").cast("string").alias("repository"),
         F.col("_cw_hash").alias("text_hash"), F.col("_cw_spans").alias("spans"),
     )
-    live = _known(found).where(~F.col("copied")).groupBy(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")).agg(F.collect_set("hash").alias("_live"))
-    held = rows.where(holds).join(live, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_cw_hash") == F.col("_text_hash")), "left")
-    none = F.array().cast("array<string>")
-    out = held.withColumn("text", masked(F.col("text"), F.col("_cw_spans"), F.coalesce("_live", none))).select(docs.columns).unionByName(rows.where(~holds).select(docs.columns))
+    verdict = F.struct("s.start", "s.rank", "s.end", "copied")
+    judged = _known(found).groupBy(F.col("doc_id").alias("_cw_id"), F.col("text_hash").alias("_cw_text")).agg(F.collect_set(verdict).alias("_cw_judged"))
+    held = rows.where(holds).join(judged, F.col("doc_id").eqNullSafe(F.col("_cw_id")) & (F.col("_cw_hash") == F.col("_cw_text")))
+    out = held.withColumn("text", masked(F.col("text"), F.col("_cw_judged"))).select(docs.columns).unionByName(rows.where(~holds).select(docs.columns))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out

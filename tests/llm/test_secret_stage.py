@@ -1,6 +1,8 @@
 """The pipeline's secret stage follows the verdict over the whole corpus."""
 
 import random
+import re
+import time
 
 from cellweave.llm import secrets
 
@@ -50,3 +52,25 @@ def test_a_secret_of_many_rows_is_dealt_over_tasks(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     found = secrets.scan(docs).select("doc_id", "n_live", "n_copied", "most_owners").collect()
     assert sorted(map(tuple, found), key=repr) == sorted([*((i, 0, 1, 3) for i in range(3000)), (9000, 1, 0, 1), (None, 0, 1, 3)], key=repr)
+
+
+def test_a_text_of_many_secrets_takes_seconds(spark):
+    rng = random.Random(4)
+    keys = [f"{rng.getrandbits(132):033x}" for _ in range(50_000)]
+    text = " \u00e9\U0001f600".join(keys) + " password = "  # 1.8 million code points
+    docs = spark.createDataFrame([(1, text, "s", 0), (2, "token = abcdefghi", "s", 0)], COLUMNS)
+    begun = time.perf_counter()
+    got = {r.doc_id: r for r in secrets.scan(docs).collect()}
+    masked = {r.doc_id: r.text for r in secrets.mask_secrets(spark, docs).collect()}
+    assert time.perf_counter() - begun < 90
+    want = [f"hex:{m.start()}:{m.end()}" for m in re.finditer("[0-9a-f]+", text) if m.end() - m.start() >= 32]
+    assert got[1].n_hex == 50_000 and [x for x in got[1].spans.split(",") if x[0] == "h"] == want
+    assert masked[1] == re.sub("[0-9a-f]{33}", secrets.MASK, text) and masked[2] == secrets.MASK
+
+
+def test_places_at_the_edges_of_blocks(spark):
+    rows = []
+    for i, n in enumerate((secrets.BLOCK - 40, secrets.BLOCK - 33, secrets.BLOCK - 32, secrets.BLOCK - 1, secrets.BLOCK, 2 * secrets.BLOCK - 32, 3 * secrets.BLOCK)):
+        rows += [(i, "\u65e5" * n + "0123456789abcdef" * 2 + " z" * k, f"s{i}") for k in (0, 1, 5000)]
+    got = sorted(r.text for r in secrets.mask_secrets(spark, spark.createDataFrame([(i, t, s, 0) for i, t, s in rows], COLUMNS)).collect())
+    assert got == sorted(t.replace("0123456789abcdef" * 2, secrets.COPIED_MASK) for _, t, _ in rows)
