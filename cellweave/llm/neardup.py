@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from cellweave.llm.batches import map_texts
 from cellweave.llm.textkit import Texts, chunks, mixed
+from cellweave.operators import components as graph
 from cellweave.session import prepare, written
 
 WORDS = 5
@@ -219,26 +220,9 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(id, component) for each id of ``edges`` (a, b): the smallest id reachable.
-
-    Alternates two steps until nothing changes: every vertex hands its smallest neighbour to its
-    larger ones, then to its smaller ones. Trees flatten into stars in few rounds, whatever
-    their shape, and minima are pre-aggregated, so a hub's neighbours are never gathered.
-    """
-    edges = written(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).where("u <> v").distinct(), "edges")
-    state = None
-    while True:
-        both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        least = both.groupBy("v").agg(F.min("u").alias("m")).withColumn("m", F.least("v", "m"))
-        large = both.where("u > v").join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("u <> v").distinct()
-        least = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = large.join(least, "v")
-        small = small.select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(least.select("v", F.col("m").alias("u")))
-        edges = written(small.where("u <> v").distinct(), "stars")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            return edges.groupBy(F.col("v").alias("id")).agg(F.min("u").alias("component"))
-        state = now
+    """(id, component) for each id of ``edges`` (a, b) that is linked to a smaller one: the smallest id reachable."""
+    found = graph.components(edges.select(F.col("a").alias("v"), F.col("b").alias("u")))
+    return found.select(F.col("v").alias("id"), F.col("u").alias("component"))
 
 
 def _open(lists: DataFrame, found: DataFrame | None) -> tuple[DataFrame, int, int]:
@@ -260,8 +244,13 @@ def _busy(lists: DataFrame) -> DataFrame:
 
 
 def _several(lists: DataFrame) -> DataFrame:
-    """Rows of lists that hold more than one set."""
-    return lists.join(lists.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"), "key", "left_semi")
+    """Rows of lists that hold more than one set.
+
+    What a list is joined with is written first: Spark then sees both sides' sizes, and splits
+    the rows of a long list over several tasks.
+    """
+    sizes = written(lists.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"), "list-sizes")
+    return lists.join(sizes, "key", "left_semi")
 
 
 def _enough(support: str, a: str, b: str):
@@ -303,13 +292,12 @@ def rare_postings(lists: DataFrame, sets: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(made, names=["key", "id", "n"])
 
     rows = sets.join(ids, "id", "left_semi").select("id", "shingles").mapInArrow(run, "key long, id long, n long")
-    several = rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    several = written(rows.groupBy("key").agg(F.count("*").alias("m"), F.min("n").alias("least")).where("m > 1"), "shingle-counts")
     own = Window.partitionBy("id")
     place = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("m", "key")) - 1
     placed = rows.join(several, "key").withColumn("place", place).where(100 * F.col("place") <= (100 - SHARE) * F.col("n"))
-    placed = placed.select("key", "id", "n", (F.col("n") - F.col("place")).alias("support"))
-    least = placed.groupBy("key").agg(F.min("n").alias("least"))
-    return placed.join(least, "key").where(_enough("support", "n", "least")).drop("least")
+    placed = placed.withColumn("support", F.col("n") - F.col("place")).where(_enough("support", "n", "least"))
+    return placed.select("key", "id", "n", "support")
 
 
 def links(classes: DataFrame, texts: DataFrame) -> DataFrame | None:
@@ -342,8 +330,8 @@ def links(classes: DataFrame, texts: DataFrame) -> DataFrame | None:
             hubs = current.groupBy("key").agg(*(
                 F.min_by(F.struct("id", "n", "component", "support"), F.xxhash64(F.col("id"), F.lit(100 * turn + i))).alias(f"h{i}") for i in range(HUBS)
             ))
-            hubs = hubs.select("key", F.explode(F.array_distinct(F.array(*(f"h{i}" for i in range(HUBS))))).alias("hub"))
-            met = current.join(hubs, "key").where((F.col("id") != F.col("hub.id")) & (F.col("component") != F.col("hub.component")))
+            hubs = written(hubs.select("key", F.array_distinct(F.array(*(f"h{i}" for i in range(HUBS)))).alias("hubs")), "hubs")
+            met = current.join(hubs, "key").withColumn("hub", F.explode("hubs")).where((F.col("id") != F.col("hub.id")) & (F.col("component") != F.col("hub.component")))
             pairs = _best_met(met.select("id", F.col("hub.id").alias("hub"), F.col("n").alias("na"), F.col("hub.n").alias("nb"), F.col("support").alias("pa"), F.col("hub.support").alias("pb")))
         if last:
             pairs = _possible(pairs).select("a", "b")
@@ -374,7 +362,7 @@ def _judged(docs: DataFrame, key: str, text: str) -> DataFrame:
     labelled = named.withColumn("component_id", F.col("id"))
     if found is not None:
         labelled = named.join(found, "id", "left").withColumn("component_id", F.coalesce("component", "id"))
-    labelled = labelled.select("set_a", "set_b", "n_shingles", "component_id")
+    labelled = written(labelled.select("set_a", "set_b", "n_shingles", "component_id"), "labels")
     out = made.drop("signature").join(labelled, ["set_a", "set_b", "n_shingles"], "left")
     alone = F.col("n_shingles") == 0
     component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
