@@ -13,7 +13,7 @@ from __future__ import annotations
 import base64
 import zlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -229,6 +229,9 @@ def best_fit(histogram: dict[int, int], size: int = SIZE, opened: list[tuple[dic
 
 #: A configuration of the program is kept where it fills this share of a sequence; the least of the plans is taken.
 FILLS = (1.0, 0.996, 0.0)
+#: Rounds of the program, and pricings in each, one solution after another; and the share of the bound that is near enough.
+FINER = ((10, 16), (20, 32), (40, 64), (80, 64))
+GAP = 0.0002
 
 
 @dataclass(frozen=True)
@@ -245,16 +248,8 @@ class Plan:
         return sum(n for _, n in self.configurations)
 
 
-def plan(histogram: dict[int, int], size: int = SIZE) -> Plan:
-    """The linear program's solution rounded down, with what is left placed by best fit, in its gaps too.
-
-    Rounding and approximation may cost more than the program gains where best fit alone is
-    nearly optimal, so that is the last of the plans compared. None uses more sequences than it.
-    """
-    if not histogram:
-        return Plan([], 0, 0)
-    configurations, dual = configuration_lp(histogram, size)
-    bound = max(-(-sum(x * n for x, n in histogram.items()) // size), int(np.ceil(dual * (1 - 1e-9))))
+def _rounded(histogram: dict[int, int], configurations: list[tuple[dict[int, int], float]], size: int, bound: int) -> list[Plan]:
+    """Plans that begin with the program's configurations, their numbers rounded down, and end by best fit."""
     plans = []
     for least in FILLS:
         left, begun = dict(histogram), []
@@ -266,8 +261,28 @@ def plan(histogram: dict[int, int], size: int = SIZE) -> Plan:
                     left[x] -= n * whole
         filled = best_fit({x: n for x, n in left.items() if n}, size, begun)
         plans.append(Plan(filled, sum(n for _, n in begun), bound))
-    plans.append(Plan(best_fit(histogram, size), 0, bound))
-    return min(plans, key=lambda p: (p.sequences, -p.from_program))
+    return plans
+
+
+def plan(histogram: dict[int, int], size: int = SIZE) -> Plan:
+    """The linear program's solution rounded down, with what is left placed by best fit, in its gaps too.
+
+    The program is solved in finer and finer rounds, until the plan is within ``GAP`` of the lower
+    bound or a finer solution makes it no smaller. Rounding and approximation may cost more than the program gains
+    where best fit alone is nearly optimal, so that is the last of the plans compared. None uses
+    more sequences than it.
+    """
+    if not histogram:
+        return Plan([], 0, 0)
+    by = lambda p: (p.sequences, -p.from_program)
+    bound, best = -(-sum(x * n for x, n in histogram.items()) // size), Plan(best_fit(histogram, size), 0, 0)
+    for rounds, steps in FINER:
+        configurations, dual = configuration_lp(histogram, size, rounds, steps)
+        bound = max(bound, int(np.ceil(dual * (1 - 1e-9))))
+        before, best = best.sequences, min([*_rounded(histogram, configurations, size, bound), best], key=by)
+        if best.sequences <= bound * (1 + GAP) or (rounds != FINER[0][0] and best.sequences >= before):
+            break
+    return replace(best, bound=bound)
 
 
 @dataclass(frozen=True)
