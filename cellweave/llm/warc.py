@@ -25,6 +25,8 @@ from cellweave.session import fresh_path, prepare, written
 CHUNK = 256 << 10
 #: A reader's share of an archive: whole records of about so many compressed bytes.
 SEGMENT = 4 << 20
+#: Chunk rows handed on at a time.
+BATCH = 32
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the namespace of addresses
 
@@ -64,7 +66,8 @@ def roles(pages: DataFrame, least: int = 0) -> DataFrame:
     """
     html = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     known = pages.select(F.col("page_id").cast("long").alias("page_id"), F.sha1(html).alias("sha1"), F.octet_length(html).alias("n_bytes")).distinct()
-    first = known.where(F.col("n_bytes") >= least).groupBy("sha1").agg(F.min("page_id").alias("response_id"))
+    # written, so that Spark sees both sides' sizes and splits the pages of a frequent payload
+    first = written(known.where(F.col("n_bytes") >= least).groupBy("sha1").agg(F.min("page_id").alias("response_id")), "first-records")
     return known.join(first, "sha1", "left").select("page_id", "sha1", "response_id")
 
 
@@ -130,15 +133,16 @@ def write(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
     return written(rows.mapInArrow(run, "path string, start long, end long"), "warc-index")
 
 
-def records(stream, size: int) -> Iterator[dict]:
-    """Records of a stretch of gzip members: header fields, payload length and digest.
-
-    The payload passes by in pieces; ``running`` is its digest up to each chunk's end.
+def chunk_rows(stream, size: int) -> Iterator[dict]:
+    """Rows (record and chunk number) of a stretch of gzip members: ``CHUNK`` bytes of payload at most, and the
+    digest of the payload up to their end (``running``). The ``last`` row of a record comes once
+    its length and digest are found right; a record without stored payload has one empty chunk.
     """
     left, pending = size, b""
     while left > 0 or pending:
         member = zlib.decompressobj(31)
-        head, body, fields, sha, seen, running = b"", 0, None, hashlib.sha1(), 0, []
+        head, held, body, fields, sha, number = b"", bytearray(), 0, None, hashlib.sha1(), 0
+        row: dict = {}
         while not member.eof:
             if not pending:
                 pending = stream.read(min(left, CHUNK))
@@ -154,55 +158,86 @@ def records(stream, size: int) -> Iterator[dict]:
                 text, http, data = head.split(b"\r\n\r\n", 2)
                 fields = dict(line.split(": ", 1) for line in text.decode("utf-8", "surrogatepass").split("\r\n")[1:])
                 n = int(fields["Content-Length"]) - len(http) - 4
-                payload = int(http.rsplit(b": ", 1)[1])
-            data = data[: max(0, n - body)]
-            body += len(data)
-            sha.update(data)
-            seen += 1
-            running.append(sha.copy().digest())
+                row = {
+                    "record_id": fields["WARC-Record-ID"], "page_id": int(fields["X-Page-Id"]) if fields["X-Page-Id"] else None, "payload_bytes": int(http.rsplit(b": ", 1)[1]),
+                    "payload_digest": fields["WARC-Payload-Digest"].removeprefix("sha1:"), "record_type": fields["WARC-Type"],
+                    "refers_to": int(fields["X-Refers-To-Page-Id"]) if "X-Refers-To-Page-Id" in fields else None,
+                }
+            held += data[: max(0, n - body)]
+            body += min(len(data), max(0, n - body))
+            while len(held) > CHUNK:
+                part = bytes(held[:CHUNK])
+                del held[:CHUNK]
+                sha.update(part)
+                yield row | {"chunk_no": number, "data": part, "running": base32(sha.copy().digest()), "last": False}
+                number += 1
         if fields is None or body != n:
             raise ValueError("a record is shorter than its header says")
-        stored = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-        if fields["WARC-Type"] == "response" and base32(running[-1]) != stored:
-            raise ValueError(f"{fields['WARC-Record-ID']}: the payload does not match its digest")
-        yield {
-            "page_id": int(fields["X-Page-Id"]) if fields["X-Page-Id"] else None, "payload_bytes": payload, "payload_digest": stored,
-            "record_type": fields["WARC-Type"], "refers_to": int(fields["X-Refers-To-Page-Id"]) if "X-Refers-To-Page-Id" in fields else None,
-        }
+        sha.update(held)
+        if row["record_type"] == "response" and base32(sha.digest()) != row["payload_digest"]:
+            raise ValueError(f"{row['record_id']}: the payload does not match its digest")
+        yield row | {"chunk_no": number, "data": bytes(held), "running": base32(sha.digest()), "last": True}
 
 
-_READ = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
+_RECORD = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
+_CHUNKS = pa.schema([("record_id", pa.string()), *_RECORD, ("chunk_no", pa.int64()), ("data", pa.binary()), ("running", pa.string()), ("last", pa.bool_())])
 
 
-def read(index: DataFrame, folder: str) -> DataFrame:
-    """Records of the segments (path, start, end) of archives on ``folder``'s file system, checked as they are read."""
-
+def _segments(index: DataFrame, folder: str, schema: pa.Schema, ddl: str, whole: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = fs.FileSystem.from_uri(folder)
         for batch in batches:
             for path, start, end in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                rows: list[dict] = []
                 with store.open_input_file(path) as file:
                     file.seek(start)
-                    found = list(records(file, end - start))
-                yield pa.RecordBatch.from_pylist(found, schema=_READ)
+                    for row in chunk_rows(file, end - start):
+                        if whole or row["last"]:
+                            rows.append({n: row[n] for n in schema.names})
+                        if len(rows) == (BATCH if whole else 20 * BATCH):
+                            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                            rows = []
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     # one segment, one share of the work, wherever it was written
     spread = index.repartition(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path", "start")
-    return spread.select("path", "start", "end").mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return spread.select("path", "start", "end").mapInArrow(run, ddl)
+
+
+_RECORD_DDL = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+
+
+def read(index: DataFrame, folder: str) -> DataFrame:
+    """Records of the segments (path, start, end) of archives on ``folder``'s file system, checked as they are read."""
+    return _segments(index, folder, _RECORD, _RECORD_DDL, False)
+
+
+def read_chunks(index: DataFrame, folder: str) -> DataFrame:
+    """The same archives as rows (record_id, chunk_no) with ``data``: no row, and no task, holds a whole payload.
+
+    ``running`` is the payload's digest up to the chunk's end, so a reader of chunks in order can
+    tell at which of them a payload went wrong; in the ``last`` one it is the payload's own.
+    """
+    return _segments(index, folder, _CHUNKS, f"record_id string, {_RECORD_DDL}, chunk_no long, data binary, running string, last boolean", True)
 
 
 def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
     """Write ``pages`` and read the archives back: one row for each page.
 
     Rows that repeat id and payload get the same record each; a row without an id is a response
-    unless an equal payload has one. An empty table gives no rows.
+    unless an equal payload has one. A null html is an empty payload, payloads of any length pass in
+    chunks, and other columns are not looked at. An empty table gives no rows.
     """
-    spark = prepare(pages.sparkSession)
-    folder = fresh_path(spark, "warc")
-    folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
-    folder = folder.replace("file:/", "file:///", 1) if folder.startswith("file:/") and not folder.startswith("file://") else folder
+    folder = archive_folder(pages.sparkSession)
     return read(write(pages, folder, least), folder)
 
 
+def archive_folder(spark: SparkSession) -> str:
+    """A folder of its own in the shared folder, as a URI."""
+    folder = fresh_path(prepare(spark), "warc")
+    folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+    return folder.replace("file:/", "file:///", 1) if folder.startswith("file:/") and not folder.startswith("file://") else folder
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))

@@ -150,6 +150,28 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(df.where("false")).collect() == []
 
 
+def test_warc_chunk_rows_add_up(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SEGMENT", 1000)
+    rng = random.Random(2)
+    # one payload is longer than a segment, and one ends where a chunk does
+    rows = [(1, "u", "".join(rng.choice("abcdefghij") for _ in range(3 * warc.CHUNK + 5))), (2, "u", "x" * warc.CHUNK), (3, "u", "x" * warc.CHUNK), (4, "u", None), (5, "u", "\u65e5" * 200_000), (None, None, "y")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("data", F.lit(1)).withColumn("sha1", F.lit(2))
+    folder = warc.archive_folder(spark)
+    index = warc.write(df, folder)
+    chunks = warc.read_chunks(index, folder).collect()
+    assert index.count() > 2 and max(len(c.data) for c in chunks) <= warc.CHUNK
+    for page, _, html in rows:
+        own = sorted((c for c in chunks if c.page_id == page), key=lambda c: c.chunk_no)
+        assert [c.chunk_no for c in own] == list(range(len(own))) and [c.last for c in own] == [False] * (len(own) - 1) + [True]
+        stored = b"" if own[0].record_type == "revisit" else (html or "").encode()
+        assert b"".join(c.data for c in own) == stored and own[0].payload_bytes == len((html or "").encode())
+        upto = hashlib.sha1()
+        for c in own:
+            upto.update(c.data)
+            assert c.running == base64.b32encode(upto.digest()).decode()
+    assert {c.page_id for c in chunks if c.record_type == "revisit"} == {3}
+
+
 def test_neighbours_recall(spark):
     rng = np.random.default_rng(3)
     v = rng.normal(size=(1500, 16))
