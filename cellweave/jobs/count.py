@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from cellweave.operators import matrix, reads, umi
 from cellweave.operators.extract import Layout, aligned, extract
-from cellweave.session import written
+from cellweave.session import run_scope, written
 from cellweave.sources import alignments as sam
 from cellweave.sources import fastq, files, lists, market
+from cellweave.sources.output import MANIFEST, Output, part
 
 #: Last record of the sample that tells which file holds the barcodes. Fixed value.
 ORIENTATION_SAMPLE = 500
@@ -102,68 +103,72 @@ def name_positions(rows: DataFrame | fastq.Reads) -> dict[int, list[int]]:
 def preprocess(spark: SparkSession, folder: str, config: dict, out: str, forward_slice: bool = True) -> DataFrame:
     """Write ``out/reads`` (FASTQ without barcodes), ``out/tags``, ``out/tag-lines``, ``out/names`` and ``out/counters``; give the tags back.
 
-    A mate with barcodes is written only if its struct keeps what is left of it. An output that exists is an error.
+    A mate with barcodes is written only if its struct keeps what is left of it. The parts appear
+    together; an output that is finished is an error. Read files are counted where they have several shares,
+    and each mate is read once.
     """
     pairs = files.paired(folder)
-    rows = fastq.Reads(spark, pairs)
-    if files.exists(f"{out}/tags"):
-        raise FileExistsError(f"{out}/tags")
-    places = name_positions(rows)
-    mates = extracted(rows, config)
-    found = written(paired_up(rows, mates, forward_slice), "pairs")
-    names = spark.createDataFrame([(i, files.prefix(a), files.prefix(b)) for i, (a, b) in enumerate(pairs)], "file_pair int, name_1 string, name_2 string")
-    keep = {1: bool(config["barcode_struct_r1"].get("keep_nonbarcode")), 2: bool(config.get("barcode_struct_r2", {}).get("keep_nonbarcode"))}
-    two = both_barcoded(config)
-    sides = []
-    for i in (1, 2):
-        wanted = F.lit(keep[i]) if two else (F.col("barcode_mate") != i) | F.lit(keep[1])
-        side = found.join(F.broadcast(names), "file_pair").where(wanted)
-        sides.append(side.select(F.concat(F.lit("sans_bc_"), f"name_{i}").alias("name"), "rec_idx", *(F.col(f"{n}_{i}").alias(n) for n in ("description", "seq", "qual"))))
-    fastq.write(sides[0].unionByName(sides[1]), f"{out}/reads")
-    lists.write_counters(counters(mates, found), f"{out}/counters")
-    spark.createDataFrame(list(places.items()) or [], "file_pair int, positions array<int>").write.mode("errorifexists").parquet(f"{out}/names")
-    tags = found.select("file_pair", F.when(F.col("barcode_mate") == 1, F.col("read_id_1")).otherwise(F.col("read_id_2")).alias("read_id"), "cb", "cr", "fl", "ur")
-    reads.format_tags(tags).write.mode("errorifexists").text(f"{out}/tag-lines")
-    tags.write.mode("errorifexists").parquet(f"{out}/tags")
-    return spark.read.parquet(f"{out}/tags")
+    with Output(spark, out) as output, run_scope(spark):
+        rows = fastq.Reads(spark, pairs)
+        places = name_positions(rows)
+        mates = extracted(rows, config)
+        found = written(paired_up(rows, mates, forward_slice), "pairs")
+        names = spark.createDataFrame([(i, files.prefix(a), files.prefix(b)) for i, (a, b) in enumerate(pairs)], "file_pair int, name_1 string, name_2 string")
+        keep = {1: bool(config["barcode_struct_r1"].get("keep_nonbarcode")), 2: bool(config.get("barcode_struct_r2", {}).get("keep_nonbarcode"))}
+        two = both_barcoded(config)
+        sides = []
+        for i in (1, 2):
+            wanted = F.lit(keep[i]) if two else (F.col("barcode_mate") != i) | F.lit(keep[1])
+            side = found.join(F.broadcast(names), "file_pair").where(wanted)
+            sides.append(side.select(F.concat(F.lit("sans_bc_"), f"name_{i}").alias("name"), "rec_idx", *(F.col(f"{n}_{i}").alias(n) for n in ("description", "seq", "qual"))))
+        fastq.write(sides[0].unionByName(sides[1]), output.path("reads"))
+        lists.write_counters(counters(mates, found), output.path("counters"))
+        spark.createDataFrame(list(places.items()) or [], "file_pair int, positions array<int>").write.parquet(output.path("names"))
+        tags = found.select("file_pair", F.when(F.col("barcode_mate") == 1, F.col("read_id_1")).otherwise(F.col("read_id_2")).alias("read_id"), "cb", "cr", "fl", "ur")
+        reads.format_tags(tags).write.text(output.path("tag-lines"))
+        tags.write.parquet(output.path("tags"))
+    return spark.read.parquet(part(out, "tags"))
 
 
 def with_umis(rows: DataFrame) -> DataFrame:
     """Tagged alignments with corrected UMIs; those without features go."""
     rows = written(rows, "tagged")
-    return umi.apply(rows, umi.corrected(umi.umi_counts(rows)))
+    return umi.apply(rows, umi.corrected(umi.umi_counts(rows), counted=True))
 
 
-def matrices(rows: DataFrame, out: str) -> None:
-    """Write the matrices of tagged alignments: reads, and UMIs where there are any."""
-    counted = rows.where("ub IS NOT NULL").limit(1).count() > 0
-    made, value = {"raw_reads_bc_matrix": matrix.read_matrix(rows)}, {"raw_reads_bc_matrix": "n_reads"}
-    if counted:
-        made["raw_umis_bc_matrix"], value["raw_umis_bc_matrix"] = matrix.umi_matrix(rows), "n_umis"
-    market.write(made, rows, out, value)
+def matrices(rows: DataFrame, out: str) -> list[str]:
+    """Write the matrices of tagged alignments: reads, and UMIs where there are any; give their names."""
+    with run_scope(rows.sparkSession):
+        counted = rows.where("ub IS NOT NULL").limit(1).count() > 0
+        made, value = {"raw_reads_bc_matrix": matrix.read_matrix(rows)}, {"raw_reads_bc_matrix": "n_reads"}
+        if counted:
+            made["raw_umis_bc_matrix"], value["raw_umis_bc_matrix"] = matrix.umi_matrix(rows), "n_umis"
+        market.write(made, rows, out, value)
+    return list(made)
 
 
 def count(rows: DataFrame, tags: DataFrame, positions: list[int] | dict[int, list[int]], out: str) -> DataFrame:
     """Tag alignments by their reads' names, correct UMIs, write ``out/alignments`` and the matrices.
 
     Where pairs of files number their mates at different places of the names, ``rows`` have to
-    tell their ``file_pair``.
+    tell their ``file_pair``. What is written appears together; an output that is finished is an error.
     """
     if isinstance(positions, dict):
         if len({tuple(p) for p in positions.values()}) < 2:
             positions = next(iter(positions.values()), [])
         elif "file_pair" not in rows.columns:
             raise ValueError("pairs of files number their mates at different places: give each pair's alignments by itself")
-    if files.exists(f"{out}/alignments"):
-        raise FileExistsError(f"{out}/alignments")
-    known = rows.drop("cb", "cr", "ur", "ub", "fl", "path_no")
-    tagged = reads.annotate(known, tags, positions) if isinstance(positions, dict) else reads.annotate(known, tags.drop("file_pair"), positions)
-    umis = tags.where("ur IS NOT NULL").limit(1).count() > 0
-    made = with_umis(tagged) if umis else tagged.withColumn("ub", F.lit(None).cast("string"))
-    sam.coordinate_sorted(made).write.mode("errorifexists").parquet(f"{out}/alignments")
-    done = rows.sparkSession.read.parquet(f"{out}/alignments")
-    matrices(done, out)
-    return done
+    spark = rows.sparkSession
+    with Output(spark, out) as output, run_scope(spark):
+        known = rows.drop("cb", "cr", "ur", "ub", "fl", "path_no")
+        tagged = reads.annotate(known, tags, positions) if isinstance(positions, dict) else reads.annotate(known, tags.drop("file_pair"), positions)
+        umis = tags.where("ur IS NOT NULL").limit(1).count() > 0
+        made = with_umis(tagged) if umis else tagged.withColumn("ub", F.lit(None).cast("string"))
+        sam.coordinate_sorted(made).write.parquet(output.path("alignments"))
+        staged = output.path("alignments").rpartition("/")[0]
+        for name in matrices(spark.read.parquet(output.path("alignments")), staged):
+            output.path(name)
+    return spark.read.parquet(part(out, "alignments"))
 
 
 def count_reads(spark: SparkSession, folder: str, config: dict, paths: list[str], out: str, prepared: str | None = None) -> DataFrame:
@@ -171,8 +176,12 @@ def count_reads(spark: SparkSession, folder: str, config: dict, paths: list[str]
 
     ``paths``: alignments, one of each pair of files in order if there are as many.
     """
-    tags = spark.read.parquet(f"{prepared}/tags") if prepared else preprocess(spark, folder, config, f"{out}/preprocessed")
-    places = {r["file_pair"]: list(r["positions"]) for r in spark.read.parquet(f"{prepared or out + '/preprocessed'}/names").collect()}
+    if not prepared:
+        prepared = f"{out}/preprocessed"
+        if not files.exists(f"{prepared}/{MANIFEST}"):  # else an earlier run got so far
+            preprocess(spark, folder, config, prepared)
+    tags = spark.read.parquet(part(prepared, "tags"))
+    places = {r["file_pair"]: list(r["positions"]) for r in spark.read.parquet(part(prepared, "names")).collect()}
     rows = load_alignments(spark, paths)
     if len(paths) == len(places) > 1:
         rows = rows.withColumn("file_pair", F.array(*(F.lit(p) for p in sorted(places)))[F.col("path_no")])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cellweave.functions.sequences import deletions, divergence_keys, features, free_divergence, free_divergence_within_one, hamming
 from cellweave.operators.components import components
 from cellweave.operators.matrix import exploded
+from cellweave.operators.skew import split_join
 from cellweave.session import written
 
 GROUP = ["ref", "cb", "gx", "gn"]
@@ -70,8 +71,8 @@ def parents(counts: DataFrame, distance: str = "freediv", most: int = 1) -> Data
     return first.select(*GROUP, F.col("a.u").alias("ur"), F.col("b.u").alias("parent"))
 
 
-def corrected(counts: DataFrame, distance: str = "freediv", most: int = 1) -> DataFrame:
-    """(group, ur, ub): each UMI and the root of its tree of parents.
+def corrected(counts: DataFrame, distance: str = "freediv", most: int = 1, counted: bool = False) -> DataFrame:
+    """(group, ur, ub): each UMI and the root of its tree of parents; with ``counted`` its ``cnt`` too.
 
     Pointers jump to their targets' targets, so the number of rounds is the logarithm of the
     deepest tree. An empty table gives no rows.
@@ -85,7 +86,8 @@ def corrected(counts: DataFrame, distance: str = "freediv", most: int = 1) -> Da
         jump = moved.drop("moved")
         if moved.where("moved").isEmpty():
             break
-    return counts.select(*GROUP, "ur").join(jump, [*GROUP, "ur"], "left").select(*GROUP, "ur", F.coalesce("parent", "ur").alias("ub"))
+    kept = ["ur", "cnt"] if counted else ["ur"]
+    return counts.select(*GROUP, *kept).join(jump, [*GROUP, "ur"], "left").select(*GROUP, *kept, F.coalesce("parent", "ur").alias("ub"))
 
 
 def undirected(counts: DataFrame, distance: str = "freediv", most: int = 1) -> DataFrame:
@@ -98,8 +100,17 @@ def undirected(counts: DataFrame, distance: str = "freediv", most: int = 1) -> D
 
 
 def apply(alignments: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Alignments with ``ub`` by their first feature; those without features go."""
+    """Alignments with ``ub`` by their first feature; those without features go.
+
+    Where ``mapping`` has each UMI's ``cnt`` in these alignments, those of one that very many reads
+    have are dealt over several tasks. What the mapping does not have gets a null ``ub``.
+    """
     first = F.get(features(F.col("gx"), F.col("gn")), F.lit(0))
-    keyed = alignments.withColumn("f", first).where("f IS NOT NULL")
-    names = mapping.select("ref", "cb", F.col("gx").alias("f_gx"), F.col("gn").alias("f_gn"), "ur", "ub")
-    return keyed.withColumns({"f_gx": F.col("f.gx"), "f_gn": F.col("f.gn")}).drop("f").join(names, ["ref", "cb", "f_gx", "f_gn", "ur"], "left").drop("f_gx", "f_gn")
+    keyed = alignments.withColumn("f", first).where("f IS NOT NULL").withColumns({"f_gx": F.col("f.gx"), "f_gn": F.col("f.gn")}).drop("f")
+    key, counted = ["ref", "cb", "f_gx", "f_gn", "ur"], "cnt" in mapping.columns
+    names = mapping.select("ref", "cb", F.col("gx").alias("f_gx"), F.col("gn").alias("f_gn"), "ur", "ub", *(["cnt"] if counted else []))
+    if not counted:
+        return keyed.join(names, key, "left").drop("f_gx", "f_gn")
+    empty = F.exists(F.array(*(F.col(c).isNull() for c in key)), lambda x: x)
+    joined = split_join(keyed.where(~empty), written(names, "umi-names"), key, "cnt").drop("cnt")
+    return joined.unionByName(keyed.where(empty).withColumn("ub", F.lit(None).cast("string"))).drop("f_gx", "f_gn")

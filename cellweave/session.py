@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,13 +48,53 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/cellweave/{name}-{uuid.uuid4().hex}"
 
 
+#: Tables that each open :func:`run_scope` has written, innermost last.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
+def _located(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with what is in it, wherever Spark can; nothing there is no error."""
+    store, place = _located(spark, path)
+    store.delete(place, True)
+
+
+def renamed(spark: SparkSession, path: str, to: str) -> None:
+    store, place = _located(spark, path)
+    if not store.rename(place, _located(spark, to)[1]):
+        raise OSError(f"{path} could not be renamed {to}")
+
+
+@contextmanager
+def run_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediates of what runs inside once it has ended, well or not.
+
+    What it gives has to be written elsewhere by then: a table that :func:`written` gave is gone.
+    """
+    own: list[str] = []
+    token = _scopes.set((*_scopes.get(), own))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for path in own:
+            removed(spark, path)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     This cuts the lineage at a copy that survives lost executors, and lets several
-    later jobs read one result without computing it again.
+    later jobs read one result without computing it again. Inside a :func:`run_scope` the
+    copy goes when that ends; otherwise it stays.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
+    if _scopes.get():
+        _scopes.get()[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

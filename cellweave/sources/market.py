@@ -61,7 +61,9 @@ def write(counts: dict[str, DataFrame], alignments: DataFrame, folder: str, valu
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
-    """(gx, gn, cb, n) of a matrix that :func:`write` wrote."""
+    """(gx, gn, cb, n) of a matrix that :func:`write` wrote; one without its mark is an error."""
+    if not exists(f"{folder}/{DONE}"):
+        raise FileNotFoundError(f"{folder} is unfinished")
 
     def axis(file: str) -> DataFrame:
         lines = spark.read.text(f"{folder}/{file}").withColumn("part", F.col("_metadata.file_name")).withColumn("line", F.monotonically_increasing_id())

@@ -88,6 +88,8 @@ def test_sam_order_of_lines(spark, tmp_path):
 def test_whitelist_and_counters(spark, tmp_path):
     (tmp_path / "w.txt").write_bytes(gzip.compress(b"ACGT-1\nTTTT \n"))
     assert [r.barcode for r in lists.read_whitelist(spark, str(tmp_path / "w.txt")).collect()] == ["ACGT", "TTTT"]
+    (tmp_path / "w.gz").write_bytes(b"AC-1\r\nGT\n")  # plain, whatever its name says
+    assert [r.barcode for r in lists.read_whitelist(spark, str(tmp_path / "w.gz")).collect()] == ["AC", "GT"]
     (tmp_path / "e.txt").write_text("")
     with pytest.raises(ValueError, match="no barcodes"):
         lists.read_whitelist(spark, str(tmp_path / "e.txt"))
@@ -114,15 +116,58 @@ def free(a, b):
     return min(best, *d)
 
 
-def test_free_divergence_of_two_edits_equals_the_plain_rule(spark):
+@pytest.mark.parametrize("most", [1, 2, 3])
+def test_free_divergence_equals_the_plain_rule(spark, most):
     rng = random.Random(8)
     umis = sorted({"".join(rng.choice("AC") for _ in range(rng.randint(3, 7))) for _ in range(60)})
     counts = spark.createDataFrame([("r", "c", "g", "G", u, 1, i) for i, u in enumerate(umis)], "ref string, cb string, gx string, gn string, ur string, cnt long, ord long")
-    got = {(r.a, r.b) for r in edges(counts, "freediv", 2).collect()}
-    assert got == {(a, b) for a in umis for b in umis if a < b and abs(len(a) - len(b)) <= 2 and free(a, b) <= 2}
+    got = {(r.a, r.b) for r in edges(counts, "freediv", most).collect()}
+    assert got == {(a, b) for a in umis for b in umis if a < b and abs(len(a) - len(b)) <= most and free(a, b) <= most}
 
 
 def test_parts_and_prefixes(tmp_path):
     (tmp_path / "name=x_1").mkdir()
     (tmp_path / "name=x_1" / "part-0.txt").write_text("")
     assert files.parts(str(tmp_path / "name=x_1")) == [str(tmp_path / "name=x_1" / "part-0.txt")] and files.prefix(str(tmp_path / "name=x_1")) == "x_1"
+
+
+def test_a_run_leaves_a_whole_output_and_no_intermediates(spark, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    from cellweave.jobs import count as jobs
+    from cellweave.session import shared_dir
+    from cellweave.sources import output, simulate
+
+    config = {"unknown_read_orientation": False, "barcode_struct_r1": STRUCT}
+    made = simulate.simulated(spark, [STRUCT, STRUCT], 30, error=1e-9)
+    fastq.write(made.withColumn("name", F.concat(F.lit("run_"), F.col("mate").cast("string"))), str(tmp_path / "reads"))
+    shared = Path(shared_dir(spark).removeprefix("file:")) / "cellweave"
+    before = set(shared.iterdir()) if shared.exists() else set()
+    out = str(tmp_path / "out")
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    real = jobs.reads.format_tags
+    monkeypatch.setattr(jobs.reads, "format_tags", killed)  # reads and counters are written by then
+    with pytest.raises(KeyboardInterrupt):
+        jobs.preprocess(spark, str(tmp_path / "reads"), config, out)
+    monkeypatch.setattr(jobs.reads, "format_tags", real)
+    with pytest.raises(FileNotFoundError, match="unfinished"):
+        output.part(out, "tags")
+    assert not [p for p in (tmp_path / "out").iterdir() if p.name != output.STAGED]
+    assert jobs.preprocess(spark, str(tmp_path / "reads"), config, out).count() > 20
+    assert {p.name for p in (tmp_path / "out").iterdir()} - {output.STAGED, ".crc"} >= {"reads", "tags", "tag-lines", "names", "counters", output.MANIFEST}
+    with pytest.raises(FileExistsError):
+        jobs.preprocess(spark, str(tmp_path / "reads"), config, out)
+    # of two runs beside each other the later one fails, and changes nothing
+    one = output.Output(spark, str(tmp_path / "two")).__enter__()
+    spark.range(3).write.parquet(one.path("x"))
+    with output.Output(spark, str(tmp_path / "two")) as other:
+        spark.range(5).write.parquet(other.path("x"))
+    with pytest.raises(FileExistsError):
+        one.__exit__(None, None, None)
+    assert spark.read.parquet(output.part(str(tmp_path / "two"), "x")).count() == 5
+    with pytest.raises(FileNotFoundError, match="unfinished"):
+        market.read(spark, str(tmp_path / "two"))
+    assert (set(shared.iterdir()) if shared.exists() else set()) == before

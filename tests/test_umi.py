@@ -64,3 +64,13 @@ def test_ties_equal_the_plain_rule(spark):
     rows = [("".join(rng.choice("ACGT") for _ in range(4)), rng.randrange(3), rng.random() < 0.5) for _ in range(150)]
     found = umi.corrected(umi.umi_counts(alignments(spark, rows).repartition(7)), "hamming")
     assert {r.ur: r.ub for r in found.collect()} == roots(rows)
+
+
+def test_a_umi_of_very_many_reads_is_dealt_over_tasks(spark, monkeypatch):
+    from cellweave.operators import skew
+
+    monkeypatch.setattr(skew, "SPLIT", 50)
+    rows = alignments(spark, [("ACGT", 7, False)] * 400 + [("ACGA", 8, False), (None, 9, False), ("TTTT", 9, True)])
+    done = with_umis(rows)
+    assert sorted((r.ur or "", r.ub or "", r["count"]) for r in done.groupBy("ur", "ub").count().collect()) == [("", "", 1), ("ACGA", "ACGT", 1), ("ACGT", "ACGT", 400), ("TTTT", "TTTT", 1)]
+    assert set(done.columns) == {*rows.columns, "ub"}
