@@ -24,16 +24,17 @@ from pyspark.sql import functions as F
 
 from cellweave.session import prepare, written
 
-TREES = 64
+TREES = 512
 #: Symbols of a hash string and bits of a symbol: 2 ** 6 axes with two sides each.
-SYMBOLS, SYMBOL_BITS = 3, 7
+SYMBOLS, SYMBOL_BITS = 2, 7
 BITS = SYMBOLS * SYMBOL_BITS
+STORED = np.uint16 if BITS <= 16 else np.uint32
 #: Shortest prefix that an ascent ends at.
 SHORTEST = 3
-#: Rows that an ascent asks for, counted once a tree, as a share of its block.
-EFFORT = 0.4
-#: ... and this many more for each tree.
-LEAST = 8
+#: Rows that an ascent asks for, counted once a tree, as a share of all rows ...
+EFFORT = 0.05
+#: ... and this many more for each tree; each block gives its share of both.
+LEAST = 4
 NEAREST = 5
 EVERY = 50
 #: Entries in a block, and queries that meet a block in one task.
@@ -48,13 +49,14 @@ def projections(width: int, seed: int = 99) -> np.ndarray:
 
 def hash_strings(unit: np.ndarray, turned: np.ndarray) -> np.ndarray:
     """(vectors x trees) hash strings of ``BITS`` bits as whole numbers."""
-    out = np.zeros((len(unit), TREES), np.int64)
-    for t in range(TREES):
-        for s in range(turned.shape[1]):
-            image = unit @ turned[t, s]
-            axis = np.abs(image).argmax(axis=1)
-            side = image[np.arange(len(unit)), axis] > 0
-            out[:, t] = out[:, t] << SYMBOL_BITS | axis << 1 | side
+    out = np.zeros((len(unit), len(turned)), np.uint32)
+    every = np.arange(len(unit))
+    for t, symbols in enumerate(turned):
+        for projection in symbols:
+            image = unit @ projection
+            high, low = image.argmax(axis=1), image.argmin(axis=1)
+            side = image[every, high] > -image[every, low]
+            out[:, t] = out[:, t] << SYMBOL_BITS | np.where(side, high, low) << 1 | side
     return out
 
 
@@ -87,7 +89,7 @@ def hashed(entries: DataFrame, width: int) -> DataFrame:
                 v = np.array(part.column(1).to_pylist(), np.float64)
                 unit = (v / np.abs(v).max(axis=1, keepdims=True)).astype(np.float32)
                 unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-                strings = [row.tobytes() for row in hash_strings(unit, shared.value).astype(np.uint32)]
+                strings = [row.astype(STORED).tobytes() for row in hash_strings(unit, shared.value)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(strings, pa.binary())], names=["entry", "v", "strings"])
 
     return entries.select("entry", "v").mapInArrow(run, "entry long, v array<double>, strings binary")
@@ -119,12 +121,18 @@ class Forest:
 
     def under(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Rows of the block that lie in any of one query's ranges."""
+        size = last - first
+        at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first, size)
         held = np.zeros(len(self.order), bool)
-        for t, (low, high) in enumerate(zip(first, last, strict=True)):
-            held[self.order[low:high, t]] = True
+        held[self.order[at, np.repeat(np.arange(len(size)), size)]] = True
         return np.flatnonzero(held)
 
 
+def wanted_share(n: int, effort: float = EFFORT) -> float:
+    """What an ascent asks of each block of a table of ``n`` entries, as a share of the block."""
+    return effort + LEAST * TREES / max(n, 1)
+
+
 def cosines(v: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Cosine of each row of ``v`` and ``q``, in double precision; scaled first against overflow."""
     v, q = v / np.abs(v).max(axis=1, keepdims=True), q / np.abs(q).max()
@@ -136,7 +144,8 @@ def search(vectors: DataFrame, key: str = "vec_id", column: str = "embedding", n
 
     Vectors that are null, zero, or hold null or non-finite components take no part, nor do
     rows without an id or of another width than the most frequent one. Rows that repeat id and
-    vector count once. The stated queries meet all rows, block by block.
+    vector count once. Equal cosines go to the smaller id. The stated queries meet all blocks, and
+    in each what their prefixes hold. Only the two named columns are read; an empty table gives no rows.
     """
     spark = prepare(vectors.sparkSession)
     rows = usable(vectors, key, column)
@@ -151,7 +160,9 @@ def search(vectors: DataFrame, key: str = "vec_id", column: str = "embedding", n
     asking = rows.where(F.col("vec_id") % every == 0).distinct()
     asking = written(asking.join(made.select("entry", "v"), "v").select(F.col("vec_id").alias("query_id"), "entry"), "queries")
     queries = made.join(asking.select("entry").distinct(), "entry", "left_semi").select(F.col("entry").alias("query"), F.col("v").alias("q"), F.col("strings").alias("asked"))
-    blocks, query_blocks = (max(1, math.ceil(df.count() / BLOCK)) for df in (made, asking))
+    n_entries, n_asking = made.count(), asking.count()
+    blocks, query_blocks = (max(1, math.ceil(n / BLOCK)) for n in (n_entries, n_asking))
+    share = wanted_share(n_entries, effort)
 
     def dealt(name: str, n: int):
         return F.pmod(F.xxhash64(name), F.lit(n))
@@ -167,9 +178,9 @@ def search(vectors: DataFrame, key: str = "vec_id", column: str = "embedding", n
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if len(left) and len(right):
             names, v = right["entry"].to_numpy(), np.array(right["v"].tolist(), np.float64)
-            strings = [np.frombuffer(b"".join(side), np.uint32).reshape(-1, TREES) for side in (right["strings"], left["asked"])]
+            strings = [np.frombuffer(b"".join(side), STORED).reshape(-1, TREES).astype(np.uint32) for side in (right["strings"], left["asked"])]
             trees = Forest(strings[0])
-            first, last = trees.ranges(strings[1], math.ceil(effort * len(names)) + LEAST * TREES)
+            first, last = trees.ranges(strings[1], math.ceil(share * len(names)))
             for i, (query, q) in enumerate(zip(left["query"], left["q"], strict=True)):
                 at = trees.under(first[i], last[i])
                 cosine = cosines(v[at], np.asarray(q, np.float64))

@@ -193,9 +193,6 @@ def test_neighbours_recall(spark):
 
 
 def test_rules_equal_plain_counts(spark, odd):
-    docs = odd.unionByName(spark.read.parquet(f"{DATA}/documents.parquet").limit(60), allowMissingColumns=True)
-    text = {r.doc_id: r.text for r in docs.collect()}
-    text |= {r.doc_id: r.text for r in odd.collect() if r.doc_id is None}
     for r in rules.judge(odd).collect():
         t = ODD[r.doc_id] if r.doc_id is not None else "null key"
         w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
