@@ -6,7 +6,7 @@ sounds like them or names no version. Statements that take no part in training s
 temperature of the probabilities and the threshold under which a paragraph stays unknown. A
 paragraph ends at a blank line, and is scored in passages: its lines, and overlapping windows of
 its words that run on over ends of lines. A prediction stands if enough of a template of the
-family is found in the passage, a key word of it among them, and no other family's template fits as well. Scoring is joins and
+family is found in the passage, a key word of it among them and the whole of its short name, if it has one, and no other family's template fits as well. Scoring is joins and
 sums on Spark; the model and the templates have a fixed size.
 """
 
@@ -48,6 +48,11 @@ STATEMENTS = (
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
     ("CC0", "Licensed under CC0 1.0"),
     ("CC0", "Creative Commons CC0 1.0 Universal Public Domain Dedication"),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software"),
+    ("zlib", "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software"),
+    ("zlib", "Released under the zlib License"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0"),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003"),
     ("proprietary", "All rights reserved"),
     ("proprietary", "This software is proprietary and confidential. Unauthorized copying of this file is strictly prohibited"),
 )
@@ -58,7 +63,7 @@ VERSIONED = (
 )
 #: How such a version is named.
 WORDINGS = (
-    "This work is licensed under the {name}, version {v}", "{name} Version {v}", "released under the terms of the {name} v{v}",
+    "This work is licensed under the {name}, version {v}", "{name} Version {v}", "{name} v{v}", "released under the terms of the {name} v{v}",
     "under the terms of the {name} as published by the Free Software Foundation, either version {v} of the License, or (at your option) any later version",
     "{name}; either version {v} of the License, or (at your option) any later version",
     "either version {v} of the {name}, or (at your option) any later version",
@@ -66,7 +71,15 @@ WORDINGS = (
 #: Terms of the licences that combine them.
 TERMS = {"BY": "Attribution", "NC": "NonCommercial", "ND": "NoDerivatives", "SA": "ShareAlike"}
 COMBINED = ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")
-COMBINED_WORDINGS = ("Licensed under CC {short} 4.0", "licensed under a Creative Commons {long} license", "Creative Commons {long} 4.0 International License")
+COMBINED_WORDINGS = ("Licensed under CC {short} 4.0", "licensed under a Creative Commons {long} license", "Creative Commons {long} 4.0 International License", "Creative Commons {long} 3.0 Unported License")
+#: Short names of the licences, and how a line says that they hold, or that they do not.
+NAMES = {
+    "Apache-2.0": ("Apache 2.0", "Apache License 2.0"), "MIT": ("MIT",), "BSD": ("BSD", "BSD-3-Clause", "2-Clause BSD"), "ISC": ("ISC",), "MPL-2.0": ("MPL 2.0", "MPLv2", "MPLv2.0"), "EPL-2.0": ("EPL 2.0", "EPLv2"),
+    "GPL-2.0": ("GPLv2", "GPL 2.0", "GPL v2", "GPL version 2"), "GPL-3.0": ("GPLv3", "GPL 3.0", "GPL v3", "GPL version 3"), "LGPL-2.1": ("LGPLv2.1", "LGPL 2.1", "LGPL v2.1"), "LGPL-3.0": ("LGPLv3", "LGPL 3.0", "LGPL v3"),
+    "AGPL-3.0": ("AGPLv3", "AGPL 3.0", "AGPL v3"), "zlib": ("zlib",), "BSL-1.0": ("Boost 1.0", "BSL 1.0"), "CC0": ("CC0", "CC0 1.0"),
+}
+SHORT = ("License: {n}", "Licensed under {n}", "This is licensed under {n}", "Licensed under the {n} license", "{n} licensed", "This file is {n} licensed", "under the {n} license", "licensed under the terms of the {n} license")
+DENIED = ("not released under the {n} license", "This is not licensed under {n}", "no longer licensed under the {n} license")
 #: Identifiers that name a family in one line.
 IDENTIFIERS = {
     "Apache-2.0": "Apache-2.0", "MIT": "MIT", "BSD-2-Clause": "BSD", "BSD-3-Clause": "BSD", "ISC": "ISC", "MPL-2.0": "MPL-2.0", "EPL-2.0": "EPL-2.0", "Unlicense": "Unlicense", "CC0-1.0": "CC0",
@@ -93,8 +106,12 @@ CALIBRATION = (
     ("CC-BY-NC-ND", "This article is licensed under CC BY-NC-ND 4.0"), ("proprietary", "Copyright 2019 by the company. All rights reserved."), ("EPL-2.0", "Released under the Eclipse Public License, version 2.0"),
     (UNKNOWN, "the museum is open to the general public under the terms of its statute"), (UNKNOWN, "licensed to carry goods of any kind, version 2"), (UNKNOWN, "a license for the software"),
     (UNKNOWN, "permission to copy the key was granted by the owner"), (UNKNOWN, "the above notice was included in all copies of the newspaper"), (UNKNOWN, "GNU General Public License of any version"),
+    ("zlib", "This library is released under the zlib License"), ("BSL-1.0", "Use is subject to the Boost Software License, Version 1.0"), (UNKNOWN, "the book is not licensed under any license"),
     (UNKNOWN, "reserved seats for all members"), (UNKNOWN, "released under a new name"), (UNKNOWN, "redistribution of land in source regions"), (UNKNOWN, "creative work in common"),
 )
+#: The same for each short name, in words that training does not use.
+CALIBRATION_SHORT = ("This repository is licensed under {n}", "All code here is under the {n} license", "{n} licensed, see the file LICENSE")
+CALIBRATION_DENIED = ("Nothing here is released under the {n} license, it is not licensed under {n}",)
 WORD = r"[a-z0-9]+"
 CONFIRM = 0.6
 #: Words of a window and from one to the next: a statement of up to 49 words is whole in one.
@@ -102,15 +119,34 @@ WINDOW, STEP = 64, 16
 #: Words that any text may hold.
 COMMON = frozenset("a all an and any are as at be by can for from i in is it its may must no nor not of on or that the their this to use used which with you 0 1 2 3 4 v above any below "
                    "distributed file files following form forms free general http included later law made material materials name names obtain person provided public purpose released required "
+                   "will versions such being original plainly marked express implied event authors held arising "
                    "software source terms under use version without work your program condition conditions copies copy list binary documentation derived holder international products promote".split())
 
 
-def templates() -> list[tuple[str, str]]:
-    """(family, statement) of all statements, written out."""
+def named_templates() -> list[tuple[str, str, str]]:
+    """(family, statement, name) of all statements, written out; a statement with a short name needs all of it."""
     out = list(STATEMENTS)
     out += [(family, w.format(name=name, v=v)) for family, name, v in VERSIONED for w in WORDINGS]
     out += [(f"CC-{short}", w.format(short=short, long="-".join(TERMS[t] for t in short.split("-")))) for short in COMBINED for w in COMBINED_WORDINGS]
-    return out + [(family, f"SPDX-License-Identifier: {name}") for name, family in IDENTIFIERS.items()]
+    out += [(family, f"SPDX-License-Identifier: {name}") for name, family in IDENTIFIERS.items()]
+    return [(f, t, "") for f, t in out] + [(f, w.format(n=n), n) for f, names in NAMES.items() for n in names for w in SHORT]
+
+
+def templates() -> list[tuple[str, str]]:
+    return [(f, t) for f, t, _ in named_templates()]
+
+
+def others() -> list[str]:
+    """Statements of no family."""
+    return [*OTHERS, *(w.format(n=n) for names in NAMES.values() for n in names for w in DENIED)]
+
+
+def calibration() -> list[tuple[str, str]]:
+    out = list(CALIBRATION)
+    for family, names in NAMES.items():
+        for n in names:
+            out += [(family, w.format(n=n)) for w in CALIBRATION_SHORT] + [(UNKNOWN, w.format(n=n)) for w in CALIBRATION_DENIED]
+    return out
 
 
 def grams_of(text: str) -> set[str]:
@@ -171,17 +207,18 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 @functools.cache
-def train(seed: int = 5, variants: int = 8, epochs: int = 120) -> tuple[list[str], dict[str, np.ndarray], np.ndarray, float]:
+def train(seed: int = 5, variants: int = 6, epochs: int = 200) -> tuple[list[str], dict[str, np.ndarray], np.ndarray, float]:
     """Families, weights of n-grams, biases (both over the temperature) and the threshold."""
     rng = np.random.default_rng(seed)
     known = templates()
     families = [UNKNOWN, *sorted({f for f, _ in known})]
     index = {g: i for i, g in enumerate(vocabulary())}
     columns = lambda text: sorted(index[g] for g in grams_of(text) if g in index)
-    filler = sorted({w for t in OTHERS for w in re.findall(WORD, t.lower())} | COMMON)
-    everything = [w for _, t in known for w in t.split()]
+    filler = sorted({w for t in OTHERS for w in re.findall(WORD, t.lower())} | COMMON - {"not"})
+    long = [t for _, t, n in named_templates() if not n]
+    everything = [w for t in long for w in t.split()]
     rows, target = [], []
-    for family, text in (*known, *((UNKNOWN, t) for t in OTHERS)):
+    for family, text in (*known, *((UNKNOWN, t) for t in others())):
         short = len(text.split()) < 8
         # families of few statements are varied more often
         for k in range(variants * max(1, 6 // max(1, sum(f == family for f, _ in known)))):
@@ -191,22 +228,22 @@ def train(seed: int = 5, variants: int = 8, epochs: int = 120) -> tuple[list[str
             at = int(rng.integers(len(noise) + 1))
             rows.append(columns(" ".join([*noise[:at], *words, *noise[at:]])))
             target.append(families.index(family))
-    for _ in range(variants * len(known) // 4):  # words of all templates in no order, and parts of one
+    for _ in range(variants * len(long) // 4):  # words of all longer templates in no order, and parts of one
         rows.append(columns(" ".join(rng.choice(everything, rng.integers(1, 12)))))
-        words = known[int(rng.integers(len(known)))][1].split()
+        words = long[int(rng.integers(len(long)))].split()
         rows.append(columns(" ".join(words[: len(words) // 3])))
         target += [0, 0]
     x, y = Rows(rows), np.array(target)
     weight, bias = np.zeros((len(index), len(families))), np.zeros(len(families))
     goal = np.eye(len(families))[y]
-    step, velocity, drift = 6.0, np.zeros_like(weight), np.zeros_like(bias)
+    step, velocity, drift = 12.0, np.zeros_like(weight), np.zeros_like(bias)
     for _ in range(epochs):
         error = (_softmax(x.times(weight) + bias) - goal) / len(y)
         velocity = 0.9 * velocity - step * (x.transposed_times(error, len(index)) + 1e-5 * weight)
         drift = 0.9 * drift - step * error.sum(axis=0)
         weight, bias = weight + velocity, bias + drift
-    held = Rows([columns(t) for _, t in CALIBRATION])
-    right = np.array([families.index(f) for f, _ in CALIBRATION])
+    held = Rows([columns(t) for _, t in calibration()])
+    right = np.array([families.index(f) for f, _ in calibration()])
     logits = held.times(weight) + bias
     temperature = min(np.linspace(0.5, 6, 56), key=lambda t: -np.log(_softmax(logits / t)[np.arange(len(right)), right] + 1e-12).mean())
     p = _softmax(logits / temperature)
@@ -243,7 +280,7 @@ def _parts(text: Column) -> Column:
 @functools.cache
 def vocabulary() -> list[str]:
     """All n-grams that have a weight: those of the templates and of what only sounds like them."""
-    return sorted(set().union(*(grams_of(t) for _, t in templates()), *(grams_of(t) for t in OTHERS)))
+    return sorted(set().union(*(grams_of(t) for _, t in templates()), *(grams_of(t) for t in others())))
 
 
 def passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -269,7 +306,8 @@ def classify(distinct: DataFrame) -> DataFrame:
     families, weights, bias, threshold = train()
     table = spark.createDataFrame([(g, [float(x) for x in w]) for g, w in weights.items()], "gram string, weights array<double>")
     known = spark.createDataFrame(
-        [(t, f, len(grams_of(s)), g, g in anchors()) for t, (f, s) in enumerate(templates()) for g in sorted(grams_of(s))], "template int, family string, size int, gram string, key boolean",
+        [(t, f, len(grams_of(s)), len(grams_of(n)), g, g in anchors(), g in grams_of(n)) for t, (f, s, n) in enumerate(named_templates()) for g in sorted(grams_of(s))],
+        "template int, family string, size int, named int, gram string, key boolean, name boolean",
     )
     name = ["h1", "h2"]
     # both tables are as large as the templates above, whatever the corpus
@@ -282,7 +320,7 @@ def classify(distinct: DataFrame) -> DataFrame:
     scores = scores.select(*name, best.alias("best"), F.round(1 / total, 9).alias("probability")).where((F.col("best") != UNKNOWN) & (F.col("probability") >= threshold))
     likely = written(distinct.join(scores, name), "licence-likely")
     match = likely.select(*name, "best", "probability", F.explode("grams").alias("gram")).join(F.broadcast(known), "gram")
-    match = match.groupBy(*name, "best", "probability", "family", "template").agg((F.count("*") / F.max("size")).alias("found"), F.max("key").alias("key")).where("key")
+    match = match.groupBy(*name, "best", "probability", "family", "template").agg((F.count("*") / F.max("size")).alias("found"), F.max("key").alias("key"), (F.count_if("name") == F.max("named")).alias("whole")).where("key AND whole")
     own = F.col("family") == F.col("best")
     fits = match.groupBy(*name, "best", "probability").agg(F.max(F.when(own, F.col("found"))).alias("found"), F.coalesce(F.max(F.when(~own, F.col("found"))), F.lit(0.0)).alias("other"))
     return fits.where((F.col("found") >= CONFIRM) & (F.col("found") > F.col("other"))).select(*name, F.col("best").alias("family"), "probability")

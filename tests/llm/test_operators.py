@@ -259,6 +259,10 @@ NOTICES = {
     "licensed under a Creative Commons Attribution-ShareAlike license": "CC-BY-SA", "// SPDX-License-Identifier: MIT": "MIT", "# SPDX-License-Identifier: GPL-2.0-only": "GPL-2.0", "SPDX-License-Identifier: LGPL-3.0-or-later": "LGPL-3.0",
     "SPDX-License-Identifier: EPL-2.0": "EPL-2.0", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007": "GPL-3.0", "licensed under the Eclipse Public License, version 2.0": "EPL-2.0",
     "Redistributions of source code must retain the above copyright notice, this list of\nconditions and the following disclaimer.": "BSD", "Copyright 2019 by the company. All rights reserved.": "proprietary",
+    "License: MIT": "MIT", "This software is licensed under GPLv3.": "GPL-3.0", "License: GPL-3.0": "GPL-3.0", "Apache 2.0 licensed": "Apache-2.0", "Creative Commons Attribution-ShareAlike 3.0 Unported License": "CC-BY-SA",
+    "LGPL-2.1 licensed": "LGPL-2.1", "Licensed under the BSD-3-Clause license": "BSD", "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt)": "BSL-1.0",
+    "This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held liable for any damages\narising from the use of this software.": "zlib",
+    "This is not released under the MIT License.": "", "The old version was under the GPL, this one is no longer licensed under the GPLv3 license": "", "license of GPL-licensed plugins": "", "a license for version 3.0": "",
     "GNU General Public License": "", "it under the terms of the GNU General Public License as published by": "", "a license of the city": "", "SPDX-License-Identifier: NOASSERTION": "",
 }
 
@@ -277,9 +281,9 @@ def test_licences_equal_a_plain_scorer_of_all_passages(spark):
         grams = licences.grams_of(passage)
         p = licences._softmax((bias + sum((weights[g] for g in sorted(grams) if g in weights), np.zeros(len(families))))[None])[0]
         found: dict[str, float] = {}
-        for family, text in licences.templates():
+        for family, text, name in licences.named_templates():
             own = licences.grams_of(text)
-            if own & grams & set(licences.anchors()):
+            if own & grams & set(licences.anchors()) and licences.grams_of(name) <= grams:
                 found[family] = max(found.get(family, 0), len(own & grams) / len(own))
         best = families[int(p.argmax())]
         sure = p.max() >= threshold and found.get(best, 0) >= licences.CONFIRM and all(found[best] > x for f, x in found.items() if f != best)
