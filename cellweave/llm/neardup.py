@@ -43,6 +43,8 @@ SKETCH_LOG2 = 16
 MARKS_LOG2 = 24
 #: Hubs of each list in a round and hubs tried for each set, and rounds at most.
 HUBS, ROUNDS = 4, 6
+#: The last round begins when no more pairs than so many for each set are left: work that grows as the sets do.
+FEW = 32
 
 _rng = np.random.default_rng(1234577)
 _SCALE = _rng.integers(0, 2**63, K, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -229,7 +231,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.min("u").alias("m")).withColumn("m", F.least("v", "m"))
-        large = both.where("u > v").join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("u <> v").distinct()
+        large = both.where("u > v").join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("u <> v")
         least = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(least, "v")
         small = small.select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(least.select("v", F.col("m").alias("u")))
@@ -335,7 +337,7 @@ def links(classes: DataFrame, texts: DataFrame) -> DataFrame | None:
         if not n:
             break
         lists = current.drop("component")
-        last = turn == ROUNDS or (turn > 0 and (pairs_left <= max(8 * n, few) or (before is not None and pairs_left > 0.9 * before)))
+        last = turn == ROUNDS or (turn > 0 and (pairs_left <= max(8 * n, FEW * few) or (before is not None and pairs_left > 0.9 * before)))
         before = pairs_left if turn else None
         if last:
             left = current.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("support").alias("pa"))
@@ -404,7 +406,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str | None = None) -> DataFrame:
     """Pipeline stage: of each group of near-duplicates the document with the smallest id stays, once.
 
-    Rows are told apart by id and text. Documents without words, and without an id, all stay.
+    Rows are told apart by id and text. Documents without words, and without an id, all stay; of rows
+    that repeat id and text one stays. Texts are compared whole; an empty table stays empty. All
+    columns are handed on; the name ``_text_hash`` is taken.
     """
     on = ["doc_id", "_text_hash"]
     judged = written(_judged(docs, "doc_id", "text").withColumnRenamed("text_hash", "_text_hash"), "judged")

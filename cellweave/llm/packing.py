@@ -367,5 +367,10 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed_stage(spark: SparkSession, docs: DataFrame, sf_dir: str | None = None) -> DataFrame:
-    """Pipeline stage: pieces of ``docs`` and their places."""
+    """Pipeline stage: pieces of ``docs`` and their places.
+
+    Null and empty texts are one piece of one id each; texts longer than a sequence are cut; rows
+    that repeat, or have no id, are packed each; pieces of one length are alike to the plan; an
+    empty table gives no rows. Only ``doc_id`` and ``text`` are read.
+    """
     return pack_documents(docs)

@@ -172,7 +172,10 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: rows of ``docs`` predicted to be good, learnt from the labels in ``sf_dir``.
 
-    The score is computed where the row is, so no text is shuffled.
+    The score is computed where the row is, so no text is shuffled. Null and empty texts are scored
+    as texts without words; rows that repeat, or have no id, are each judged by their text;
+    long texts are read whole; an empty table stays empty. All columns are handed on; the name
+    ``_cw_score`` is taken.
     """
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score(docs, model, name="_cw_score").where(F.col("_cw_score") >= CUT).drop("_cw_score")

@@ -142,7 +142,10 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str | None = None) -> DataFrame:
     """Pipeline stage: rows of ``docs`` that the rules keep, with all their columns.
 
-    Votes are counted in one pass and cast again in a second one, so no text is shuffled.
+    Votes are counted in one pass and cast again in a second one, so no text is shuffled. Null and
+    empty texts fail the base rule and go; rows that repeat, or have no id, are each judged by their
+    text; texts with the same votes share a verdict; long texts are read whole; an empty table
+    stays empty. All columns are handed on; the name ``_cw_kept`` is taken.
     """
     counts = {r["votes"]: r["n"] for r in with_statistics(docs).groupBy("votes").agg(F.count("*").alias("n")).collect()}
     good = {k for k, p in fit_votes(counts).items() if p >= CUT}
