@@ -41,10 +41,11 @@ PREFIX = K - T + SHARED
 SKETCH_LOG2 = 16
 #: Bits of the map that tells tasks which texts' sets are wanted (2 MB).
 MARKS_LOG2 = 24
-#: Hubs of each list in a round and hubs tried for each set, and rounds at most.
-HUBS, ROUNDS = 4, 6
-#: The last round begins when no more pairs than so many for each set are left: work that grows as the sets do.
-FEW = 32
+#: Hubs of each list in the first round, of the few lists in later ones, hubs tried for each set, and rounds at most.
+HUBS, LATER_HUBS, ROUNDS = 4, 8, 6
+#: Steps towards stars between two rounds, and pairs left for each set at which the last round begins:
+#: its work grows as the sets do.
+BETWEEN, FEW = 1, 16
 
 _rng = np.random.default_rng(1234577)
 _SCALE = _rng.integers(0, 2**63, K, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -220,26 +221,38 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(id, component) for each id of ``edges`` (a, b): the smallest id reachable.
+def stars(edges: DataFrame, rounds: int | None = None) -> DataFrame:
+    """Edges (a, b), b before a, that join what ``edges`` (a, b) join, as stars around the smallest ids.
 
-    The two steps of :func:`cellweave.operators.components.components` with one written table a
-    round in place of four: many small rounds on many partitions cost more here than hubs do.
+    Alternates two steps until nothing changes, or ``rounds`` times: every vertex hands its
+    smallest neighbour to its larger ones, then to its smaller ones. Trees flatten in few rounds,
+    whatever their shape, and minima are pre-aggregated, so a hub's neighbours are never gathered.
     """
     edges = written(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).where("u <> v").distinct(), "edges")
-    state = None
-    while True:
+    state, turn = None, 0
+    while rounds is None or turn < rounds:
         both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.min("u").alias("m")).withColumn("m", F.least("v", "m"))
         large = both.where("u > v").join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("u <> v")
         least = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(least, "v")
         small = small.select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(least.select("v", F.col("m").alias("u")))
-        edges = written(small.where("u <> v").distinct(), "stars")
+        edges, turn = written(small.where("u <> v").distinct(), "stars"), turn + 1
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
-            return edges.groupBy(F.col("v").alias("id")).agg(F.min("u").alias("component"))
+            break
         state = now
+    return edges.select(F.col("v").alias("a"), F.col("u").alias("b"))
+
+
+def labelled(star_edges: DataFrame) -> DataFrame:
+    """(id, component) by the smallest id that each is joined with; ids joined with smaller ones only."""
+    return star_edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(id, component) for each id of ``edges`` (a, b) that is linked to a smaller one: the smallest id reachable."""
+    return labelled(stars(edges))
 
 
 def _open(lists: DataFrame, found: DataFrame | None) -> tuple[DataFrame, int, int]:
@@ -261,13 +274,8 @@ def _busy(lists: DataFrame) -> DataFrame:
 
 
 def _several(lists: DataFrame) -> DataFrame:
-    """Rows of lists that hold more than one set.
-
-    What a list is joined with is written first: Spark then sees both sides' sizes, and splits
-    the rows of a long list over several tasks.
-    """
-    sizes = written(lists.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"), "list-sizes")
-    return lists.join(sizes, "key", "left_semi")
+    """Rows of lists that hold more than one set."""
+    return lists.join(lists.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"), "key", "left_semi")
 
 
 def _enough(support: str, a: str, b: str):
@@ -309,12 +317,13 @@ def rare_postings(lists: DataFrame, sets: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(made, names=["key", "id", "n"])
 
     rows = sets.join(ids, "id", "left_semi").select("id", "shingles").mapInArrow(run, "key long, id long, n long")
-    several = written(rows.groupBy("key").agg(F.count("*").alias("m"), F.min("n").alias("least")).where("m > 1"), "shingle-counts")
+    several = rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     own = Window.partitionBy("id")
     place = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("m", "key")) - 1
     placed = rows.join(several, "key").withColumn("place", place).where(100 * F.col("place") <= (100 - SHARE) * F.col("n"))
-    placed = placed.withColumn("support", F.col("n") - F.col("place")).where(_enough("support", "n", "least"))
-    return placed.select("key", "id", "n", "support")
+    placed = placed.select("key", "id", "n", (F.col("n") - F.col("place")).alias("support"))
+    least = placed.groupBy("key").agg(F.min("n").alias("least"))
+    return placed.join(least, "key").where(_enough("support", "n", "least")).drop("least")
 
 
 def links(classes: DataFrame, texts: DataFrame) -> DataFrame | None:
@@ -344,10 +353,11 @@ def links(classes: DataFrame, texts: DataFrame) -> DataFrame | None:
             right = current.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("support").alias("pb"))
             pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
         else:
+            of_list = range(HUBS if turn == 0 else LATER_HUBS)
             hubs = current.groupBy("key").agg(*(
-                F.min_by(F.struct("id", "n", "component", "support"), F.xxhash64(F.col("id"), F.lit(100 * turn + i))).alias(f"h{i}") for i in range(HUBS)
+                F.min_by(F.struct("id", "n", "component", "support"), F.xxhash64(F.col("id"), F.lit(100 * turn + i))).alias(f"h{i}") for i in of_list
             ))
-            hubs = hubs.select("key", F.explode(F.array_distinct(F.array(*(f"h{i}" for i in range(HUBS))))).alias("hub"))
+            hubs = hubs.select("key", F.explode(F.array_distinct(F.array(*(f"h{i}" for i in of_list)))).alias("hub"))
             met = current.join(hubs, "key").where((F.col("id") != F.col("hub.id")) & (F.col("component") != F.col("hub.component")))
             pairs = _best_met(met.select("id", F.col("hub.id").alias("hub"), F.col("n").alias("na"), F.col("hub.n").alias("nb"), F.col("support").alias("pa"), F.col("hub.support").alias("pb")))
         if last:
@@ -355,12 +365,15 @@ def links(classes: DataFrame, texts: DataFrame) -> DataFrame | None:
         pairs = pairs.distinct()
         # pairs from rarest shingles are judged on their sets alone: nearly all of their signatures agree
         good = written(confirmed(agreeing(pairs, classes) if turn == 0 else pairs, sets), "links")
-        edges = good if edges is None else edges.unionByName(good)
-        if not good.isEmpty():
-            found = written(components(edges), "components")
         if last:
+            edges = good if edges is None else edges.unionByName(good)
             break
-    return found
+        if not good.isEmpty():
+            # between rounds one step towards stars is enough: equal labels are one component, though
+            # sets of one component may still have several, and meet again
+            edges = stars(good if edges is None else edges.unionByName(good), BETWEEN)
+            found = written(labelled(edges), "components")
+    return None if edges is None else written(components(edges), "components")
 
 
 def _judged(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -379,7 +392,7 @@ def _judged(docs: DataFrame, key: str, text: str) -> DataFrame:
     labelled = named.withColumn("component_id", F.col("id"))
     if found is not None:
         labelled = named.join(found, "id", "left").withColumn("component_id", F.coalesce("component", "id"))
-    labelled = written(labelled.select("set_a", "set_b", "n_shingles", "component_id"), "labels")
+    labelled = labelled.select("set_a", "set_b", "n_shingles", "component_id")
     out = made.drop("signature").join(labelled, ["set_a", "set_b", "n_shingles"], "left")
     alone = F.col("n_shingles") == 0
     component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
