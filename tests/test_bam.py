@@ -160,6 +160,15 @@ def test_a_region_leaves_out_parts(spark, path, tmp_path):
     assert sam.read_bam(spark, [str(tmp_path / "p.bam")], region=sam.Region(("chr2",))).count() == 0
 
 
+def test_a_part_without_places_is_read(spark, path, tmp_path):
+    """Of records without a place a part of their own is made where they are many."""
+    loose = sam.read_bam(spark, [path], unmapped=True).where("ref = '*'")
+    sam.write_bam(loose, str(tmp_path / "loose.bam"), REFS)
+    assert {r for f in sam.bam_files([str(tmp_path / "loose.bam")]) for r, _, _ in f.spans} == {"*"}
+    assert rows_of(sam.read_bam(spark, [str(tmp_path / "loose.bam")], unmapped=True)) == rows_of(loose) != []
+    assert sam.read_bam(spark, [str(tmp_path / "loose.bam")], unmapped=True, region=sam.Region(("chr1",))).count() == 0
+
+
 def test_a_killed_run_leaves_nothing_that_reads_as_whole(spark, path, tmp_path):
     bad = sam.read_bam(spark, [path]).withColumn("ref", F.when(F.col("query_name") == "q00700", "other").otherwise(F.col("ref")))
     with pytest.raises(Exception, match="other"):
