@@ -4,10 +4,13 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from cellweave.functions import alignment
 from cellweave.functions.alignment import align, boundaries, encoded
+from cellweave.operators import extract as extract_module
 from cellweave.operators.extract import Block, Layout, aligned, extract
 
 
@@ -116,3 +119,46 @@ def test_the_band_changes_nothing():
         assert (scores == whole).all() and (used == all_used).all()
         within = alignment._aligned(made, letters, lengths, alignment.BAND)[0]
         assert (within <= whole).all() and (within == whole).any()
+
+
+def test_the_whole_matrix_is_for_variants_that_may_win(spark, monkeypatch):
+    """Of two constants one at most fits, so the other's alignment is not looked for far from the diagonal."""
+    rows = [(i, FIRST[i % 4] + CONSTANTS[0] + SECOND[i % 3] + "TTACGGCA" + "GGGTTTAAACCCGGGTTT") for i in range(40)]
+    far = Layout((LAYOUT.blocks[0], Block("constantRegion", "linker", (CONSTANTS[0], "CCGTTGGACCATG")), *LAYOUT.blocks[2:]))
+    widened = []
+
+    class Frame:
+        columns, schema = [], []
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    monkeypatch.setattr(extract_module, "_spread", lambda reads: Frame())
+    monkeypatch.setattr(extract_module, "widened", lambda *given: widened.append(int(given[-1].sum())))
+    batch = pa.RecordBatch.from_arrays([pa.array([[s] for _, s in rows], pa.list_(pa.string()))], names=["_strands"])
+    (got,) = aligned(spark.range(0), far)([batch])
+    assert sum(widened) == 0 and set(got.column("variant").to_pylist()) == {0} and all(got.column("aligned").to_pylist())
+
+
+def test_reads_of_a_small_file_are_dealt_out(spark, tmp_path):
+    """A file's columns may pack many reads: how many tasks align them does not hang on the file's parts."""
+    spark.range(50).select(F.lit("ACGT").alias("seq")).coalesce(1).write.parquet(str(tmp_path / "few"))
+    one = spark.read.parquet(str(tmp_path / "few"))
+    wide = one.select("seq", *(F.repeat("seq", F.lit(1000)).alias(f"c{i}") for i in range(200)))
+    monster = extract_module.FEW
+    try:
+        extract_module.FEW = 10
+        dealt = extract_module._spread(wide)
+        assert dealt.rdd.getNumPartitions() > one.rdd.getNumPartitions()
+    finally:
+        extract_module.FEW = monster
+
+
+def test_pieces_too_many_to_send_decode_alike(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, FIRST[i % 4][:7] + "ACGT"[i % 3] + CONSTANTS[i % 2] + SECOND[i % 3] + "TTACGGCA" + "GGGTTTAAACCC") for i in range(60)], "name int, seq string")
+    sent = sorted(map(tuple, extract(rows, LAYOUT).collect()), key=repr)
+    monkeypatch.setattr(extract_module, "SENT", 0)
+    assert sorted(map(tuple, extract(rows, LAYOUT).collect()), key=repr) == sent
