@@ -227,6 +227,20 @@ def test_reads_gzipped_in_blocks_are_split(spark, tmp_path, block, share):
         assert [(r.mate, r.rec_idx, r.description, r.seq) for r in read] == [(m, i, t, s) for m in (1, 2) for i, (t, s) in enumerate(rows)]
 
 
+def test_small_shares_are_read_by_few_tasks(spark, tmp_path, monkeypatch):
+    """Shares begin and end inside records, but a task, and a file opened, is for a run of them."""
+    rows, text = read_text(3000)
+    for name in ("a_1.fq", "a_2.fq"):
+        (tmp_path / name).write_bytes(text)
+    read = fastq.Reads(spark, files.paired(str(tmp_path)), 500)
+    assert len(read.shares) > 400 and read.rows().rdd.getNumPartitions() == 2
+    got = read.rows().orderBy("mate", "rec_idx").collect()
+    assert [(r.mate, r.rec_idx, r.description, r.seq) for r in got] == [(m, i, t, s) for m in (1, 2) for i, (t, s) in enumerate(rows)]
+    assert read.rows(mate=2, last=1000).agg(F.count("*"), F.max("rec_idx")).first() == (1001, 1000)
+    monkeypatch.setattr(fastq, "RUN", 5_000)
+    assert read.rows().rdd.getNumPartitions() > 40 and read.rows().orderBy("mate", "rec_idx").collect() == got
+
+
 def test_first_reads_open_first_shares_alone(spark, tmp_path):
     rows, text = read_text(3000)
     for name in ("a_1.fq", "a_2.fq", "b_1.fq", "b_2.fq"):
