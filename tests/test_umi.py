@@ -74,3 +74,22 @@ def test_a_umi_of_very_many_reads_is_dealt_over_tasks(spark, monkeypatch):
     done = with_umis(rows)
     assert sorted((r.ur or "", r.ub or "", r["count"]) for r in done.groupBy("ur", "ub").count().collect()) == [("", "", 1), ("ACGA", "ACGT", 1), ("ACGT", "ACGT", 400), ("TTTT", "TTTT", 1)]
     assert set(done.columns) == {*rows.columns, "ub"}
+
+
+def test_few_corrected_umis_are_sent_to_the_alignments(spark, monkeypatch):
+    rows = alignments(spark, [("ACGT", 7, False)] * 400 + [("ACGA", 8, False), (None, 9, False), ("TTTT", 9, True)]).localCheckpoint()
+    mapping = umi.corrected(umi.umi_counts(rows), counted=True)
+    sent = umi.apply(rows, mapping)
+    plan = sent._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    want = sorted(map(tuple, sent.select("ur", "pos", "ub").collect()), key=repr)
+    monkeypatch.setattr(umi, "SENT", 0)
+    assert sorted(map(tuple, umi.apply(rows, mapping).select("ur", "pos", "ub").collect()), key=repr) == want and (None, 9, None) in want
+
+
+def test_features_of_lists(spark):
+    from cellweave.functions.sequences import features
+
+    rows = spark.createDataFrame([("a;b", "A;B;C"), ("a", "A"), ("a;b", "A"), (None, "A"), ("a", None), ("", "A"), ("a;", "A;B")], "gx string, gn string")
+    got = [[(f["gx"], f["gn"]) for f in r["f"]] for r in rows.select(features(rows["gx"], rows["gn"]).alias("f")).collect()]
+    assert got == [[("a", "A"), ("b", "B")], [("a", "A")], [("a", "A")], [], [], [("", "A")], [("a", "A"), ("", "B")]]
