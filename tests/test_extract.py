@@ -162,3 +162,44 @@ def test_pieces_too_many_to_send_decode_alike(spark, monkeypatch):
     sent = sorted(map(tuple, extract(rows, LAYOUT).collect()), key=repr)
     monkeypatch.setattr(extract_module, "SENT", 0)
     assert sorted(map(tuple, extract(rows, LAYOUT).collect()), key=repr) == sent
+
+
+def test_reads_without_gaps_are_not_aligned_in_a_matrix(spark, monkeypatch):
+    """Reads whose constants lie at their own places, a letter exchanged or not, are settled letter by letter."""
+    rng = np.random.default_rng(5)
+    texts = [FIRST[i % 4] + CONSTANTS[0] + SECOND[i % 3] + "TTACGGCA" + "".join(rng.choice(list("ACGT"), 18)) for i in range(40)]
+    filled = []
+    monkeypatch.setattr(alignment, "_aligned", lambda *given: filled.append(len(given[2])) or pytest.fail("a matrix is filled"))
+    size = len(texts[0]) - 18
+    letters, lengths = alignment.encoded(texts, int(1.5 * size))
+    made = alignment.encoded(["N" * len(FIRST[0]) + CONSTANTS[0] + "N" * (size - len(FIRST[0]) - len(CONSTANTS[0]))] * 40)[0]
+    scores, used = alignment.align(made, letters, lengths)
+    assert not filled and set(scores.tolist()) == {10 * len(CONSTANTS[0])} and (used == np.arange(1, size + 1)).all()
+
+
+def test_no_way_with_gaps_scores_more_than_is_foretold():
+    rng = np.random.default_rng(6)
+    for size in (9, 25):
+        made = rng.choice(list(b"ACGTN"), (500, size)).astype(np.uint8)
+        texts = []
+        for t in made:
+            s = [chr(c) if c != 78 or rng.random() < 0.1 else "ACGT"[rng.integers(4)] for c in t]
+            for _ in range(rng.integers(0, 4)):
+                at = rng.integers(0, max(1, len(s)))
+                s[at : at + rng.integers(0, 2)] = list("ACGTN"[: rng.integers(0, 3)])
+            texts.append("".join(s) + "ACGTTGCA"[: rng.integers(0, 9)])
+        letters, lengths = alignment.encoded(texts, int(1.5 * size))
+        scores, most = alignment.upright(made, letters, lengths)
+        whole, used = alignment._aligned(made, letters, lengths, 99)
+        assert (whole <= np.maximum(scores, most)).all() and (scores <= whole).all()
+        sure = scores > most
+        assert sure.any() and (whole[sure] == scores[sure]).all() and (used[sure] == np.arange(1, size + 1)).all()
+
+
+def test_letters_are_encoded_alike_whatever_their_lengths():
+    for texts in (["ACGT", "TTTT"], ["ACGT", "", "TTé€A"], ["", ""], []):
+        for width in (None, 2, 9):
+            got, lengths = alignment.encoded(texts, width)
+            raw = [t.encode("latin-1", "replace")[:width] for t in texts]
+            assert lengths.tolist() == [len(r) for r in raw]
+            assert [bytes(g) for g in got] == [r.ljust(got.shape[1], b"\0") for r in raw]

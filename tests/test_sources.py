@@ -153,3 +153,30 @@ def test_stream(spark, tmp_path):
         rows.where("rec_idx >= 20").write.mode("append").parquet(str(tmp_path / "in"))
     got = spark.read.parquet(str(tmp_path / "out")).select("rec_idx", "read_id", "ur").collect()
     assert len({r.rec_idx for r in got}) == len(got) > 30 and all(r.ur == r.read_id.split("_")[4] for r in got)
+
+
+def test_ranges_of_records_are_found_by_their_numbers(spark, tmp_path, monkeypatch):
+    """Rows are made once for it: a count of the rows that a run makes, the first pass for numbers aside."""
+    made = spark.sparkContext.accumulator(0)
+
+    def letters(i):
+        made.add(1)
+        return "ACGT"
+
+    monkeypatch.setattr(fastq, "PART", 30)
+    monkeypatch.setattr(fastq, "ROWS", 1)
+    rows = spark.range(200).select(F.when(F.col("id") < 150, "x_1").otherwise("x_2").alias("name"), F.abs(149 - F.col("id")).alias("rec_idx"), F.col("id").cast("string").alias("description"), F.lit("FFFF").alias("qual"), F.udf(letters)("id").alias("seq"))
+    fastq.write(rows, str(tmp_path / "out"))
+    assert made.value == 200
+    parts = sorted((tmp_path / "out" / "name=x_1").glob("part-*"))
+    assert len(parts) > 1 and max(len(p.read_text().splitlines()) for p in parts) <= 4 * 30
+    got = [line.removeprefix("@") for p in parts for line in p.read_text().splitlines()[::4]]
+    want = [r["description"] for r in rows.where("name = 'x_1'").orderBy("rec_idx").select("description").collect()]
+    assert got == want
+
+
+def test_ranges_of_records_whose_numbers_lie_far_apart(spark, tmp_path):
+    rows = spark.range(60).select(F.lit("x_1").alias("name"), F.expr("CASE WHEN id < 50 THEN id ELSE id * 1000000007 END").alias("rec_idx"), F.col("id").cast("string").alias("description"), F.lit("A").alias("seq"), F.lit("F").alias("qual"))
+    fastq.write(rows.repartition(5), str(tmp_path / "out"))
+    parts = sorted((tmp_path / "out" / "name=x_1").glob("part-*"))
+    assert [line[1:] for p in parts for line in p.read_text().splitlines()[::4]] == [str(i) for i in range(60)]
